@@ -11,7 +11,7 @@ from cohortloom.operators.worklist import by_frequency
 
 # Texts a CSV reader takes for a missing value.
 MISSING = (
-    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
@@ -68,8 +68,16 @@ def export_tables(store, tables: Iterable[str], folder: str) -> list[str]:
     return written
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
+    """CSV with header; texts keep their outer blanks."""
+    options = {
+        "header": True,
+        "sep": sep,
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_worklist(report: DataFrame, folder: str, file_name: str) -> str:
