@@ -177,9 +177,12 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self._folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._tables[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         text = EXTRACTS[name]

@@ -30,8 +30,11 @@ def _second_load(
 ) -> DataFrame:
     """New rows of a whole extract, where stored tables hold its ``earlier`` part already."""
     spec = spec_for(target, source)
-    store = ParquetStore(x.spark, shared_folder(x.spark)).create()
-    if target in schema.CODE_COLUMNS:
+    dimensions = ["location", "person", "care_site", "provider", "visit_occurrence"]
+    coded = target in schema.CODE_COLUMNS
+    store = ParquetStore(x.spark, shared_folder(x.spark))
+    store.create({target, *dimensions, *(_vocabulary(x) if coded else [])})
+    if coded:
         for name, rows in _vocabulary(x).items():
             store.append(name, rows)
     for table in needed:

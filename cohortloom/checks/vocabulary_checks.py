@@ -61,7 +61,7 @@ def concept_resolve(x: Inputs):
         x["concept_relationship"],
         loads.DRUG_CODES,
     )
-    return vocabulary.apply_codes(drugs, "code", found, "drug_concept_id")
+    return vocabulary.apply_codes(drugs, "code", found, {"drug_concept_id": "concept_id"})
 
 
 @check(
@@ -73,7 +73,7 @@ def concept_source(x: Inputs):
     drugs = x["medications"].select("encounter", "code")
     codes = vocabulary.used_codes(drugs, "code")
     found = vocabulary.source_concepts(codes, x["concept"], loads.DRUG_SOURCES)
-    return vocabulary.apply_codes(drugs, "code", found, "source_concept_id")
+    return vocabulary.apply_codes(drugs, "code", found, {"source_concept_id": "concept_id"})
 
 
 # --- work lists --------------------------------------------------------------------------

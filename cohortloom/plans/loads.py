@@ -25,12 +25,7 @@ from cohortloom.operators.joins import (
     own_or_looked_up,
 )
 from cohortloom.operators.rows import clamp_period, fill_either
-from cohortloom.operators.vocabulary import (
-    apply_codes,
-    resolve_codes,
-    source_concepts,
-    used_codes,
-)
+from cohortloom.operators.vocabulary import apply_codes, code_table, used_codes
 from cohortloom.plans.settings import Settings
 from cohortloom.sources.extracts import INPUT_ORDER
 from cohortloom.sources.tables import Tables
@@ -138,9 +133,27 @@ def _new_events(
     )
 
 
-def _resolver(codes: DataFrame, tables: Tables, vocabularies: Sequence[str]) -> DataFrame:
-    relationship = tables.read("concept_relationship")
-    return resolve_codes(codes, tables.read("concept"), relationship, vocabularies)
+def _codes(
+    mapped: DataFrame,
+    columns: Sequence[str],
+    tables: Tables,
+    vocabularies: Sequence[str],
+    own_vocabularies: Sequence[str] = (),
+) -> DataFrame:
+    """Ids of the codes the mapped table uses.
+
+    Staged, so that the planner knows its size before it plans the joins with the facts: a
+    small table is broadcast and the facts stay where they are.
+    """
+    return tables.stage(
+        code_table(
+            used_codes(mapped, *columns),
+            tables.read("concept"),
+            tables.read("concept_relationship"),
+            vocabularies,
+            own_vocabularies,
+        )
+    )
 
 
 def _coded(
@@ -156,11 +169,9 @@ def _coded(
     code = f"{stem}_source_concept_id"
     order = [*dates, code, f"{stem}_source_value", "visit_source_value", "person_id"]
     events = _new_events(mapped, tables, table, order)
-    codes = used_codes(mapped, code)
-    concepts = _resolver(codes, tables, vocabularies)
-    events = apply_codes(events, code, concepts, f"{stem}_concept_id")
-    own = source_concepts(codes, tables.read("concept"), sources)
-    return _stored(apply_codes(events, code, own, code), table)
+    ids = _codes(mapped, [code], tables, vocabularies, sources)
+    found = {f"{stem}_concept_id": "concept_id", code: "own_id"}
+    return _stored(apply_codes(events, code, ids, found), table)
 
 
 def condition_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
@@ -200,11 +211,11 @@ def visit_detail(mapped: DataFrame, tables: Tables, settings: Settings) -> DataF
         "visit_detail_id",
         _order(mapped, order),
     )
-    resolved = _resolver(used_codes(mapped, concept, admitted), tables, DETAIL_CODES)
-    own = source_concepts(used_codes(mapped, source), tables.read("concept"), DETAIL_CODES)
-    details = apply_codes(details, concept, resolved, concept)
-    details = apply_codes(details, admitted, resolved, admitted)
-    details = apply_codes(details, source, own, source)
+    columns = [concept, source, admitted]
+    ids = _codes(mapped, columns, tables, DETAIL_CODES, DETAIL_CODES)
+    details = apply_codes(details, concept, ids, {concept: "concept_id"})
+    details = apply_codes(details, source, ids, {source: "own_id"})
+    details = apply_codes(details, admitted, ids, {admitted: "concept_id"})
     return _stored(_with_provider_and_site(details, tables), "visit_detail")
 
 
@@ -218,14 +229,11 @@ def _observed(
         f"{table}_source_value", "visit_source_value", "person_id",
     ]
     events = _new_events(mapped, tables, table, order)
-    resolved = _resolver(used_codes(mapped, kind, concept, source), tables, vocabularies)
-    events = apply_codes(events, kind, resolved, kind)
-    events = apply_codes(events, concept, resolved, concept)
-    if own_source:
-        own = source_concepts(used_codes(mapped, source), tables.read("concept"), vocabularies)
-        events = apply_codes(events, source, own, source)
-    else:
-        events = apply_codes(events, source, resolved, source)
+    own = vocabularies if own_source else ()
+    ids = _codes(mapped, [kind, concept, source], tables, vocabularies, own)
+    events = apply_codes(events, kind, ids, {kind: "concept_id"})
+    events = apply_codes(events, concept, ids, {concept: "concept_id"})
+    events = apply_codes(events, source, ids, {source: "own_id" if own_source else "concept_id"})
     return _stored(events, table)
 
 

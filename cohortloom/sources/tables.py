@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cohortloom import schema
 from cohortloom.functions.parse import to_day, to_float, to_int
+from cohortloom.session import shared_folder
 
 CONCEPT_TABLES = tuple(schema.VOCABULARY)
 
@@ -27,6 +28,10 @@ class Tables:
             df = schema.empty_table(self.spark, table)
         return df.select(*columns) if columns else df
 
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Hook for tables that keep a result that several joins use; here it stays lazy."""
+        return df
+
     def with_frames(self, **frames: DataFrame) -> Tables:
         return Tables(self.spark, {**self._frames, **frames})
 
@@ -65,6 +70,15 @@ class ParquetStore(Tables):
         df = self.spark.read.schema(schema.table_schema(table)).parquet(self.path(table))
         return df.select(*columns) if columns else df
 
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Write a result to the shared scratch folder and go on from there.
+
+        It is computed once, survives the loss of executors, and has a known size.
+        """
+        path = shared_folder(self.spark)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def append(self, table: str, rows: DataFrame) -> None:
         """Append in files of even size; AQE also splits a hot partition here."""
         ordered = rows.select(*[f.name for f in schema.table_schema(table)])
