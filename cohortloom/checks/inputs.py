@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortloom.sources.extracts import spread
+
 _EVENT = """
     'pt-' || CAST(o_custkey AS STRING) AS patient,
     'enc-' || CAST(o_orderkey AS STRING) AS encounter,
@@ -181,7 +183,8 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+            table = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+            self._tables[name] = spread(table)
         return self._tables[name]
 
     def __getitem__(self, name: str) -> DataFrame:

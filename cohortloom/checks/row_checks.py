@@ -8,7 +8,8 @@ from cohortloom.checks.inputs import Inputs
 from cohortloom.checks.registry import SETTINGS, check
 from cohortloom.checks.sql import clean, first_by, lower, sid, ts
 from cohortloom.functions import parse
-from cohortloom.functions.keys import reveal
+from cohortloom.functions.keys import pseudonym, reveal
+from cohortloom.functions.text import alnum
 from cohortloom.operators import joins, rows
 from cohortloom.plans import entities
 from cohortloom.plans.runs import map_rows, spec_for
@@ -142,7 +143,7 @@ def _persons(x: Inputs):
 )
 def join_person(x: Inputs):
     facts = x["medications"].select(
-        "encounter", "code", entities._key("patient", SETTINGS).alias("person_source_value")
+        "encounter", "code", pseudonym(alnum(F.col("patient")), SETTINGS.secret).alias("person_source_value")
     )
     return joins.join_person(facts, _persons(x)).drop("person_source_value")
 
@@ -162,7 +163,7 @@ def join_provider_caresite(x: Inputs):
     facts = x["encounters"].select(
         "id",
         F.col("provider").alias("provider_source_value"),
-        entities._key("organization", SETTINGS).alias("care_site_source_value"),
+        pseudonym(alnum(F.col("organization")), SETTINGS.secret).alias("care_site_source_value"),
     )
     facts = joins.join_dimension(facts, providers, "provider_source_value", "provider_id")
     facts = joins.join_dimension(facts, sites, "care_site_source_value", "care_site_id")

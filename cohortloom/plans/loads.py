@@ -1,5 +1,7 @@
 """Load stage: mapped table and target state in, rows to append out.
 
+Natural keys arrive and leave as join keys, see ``functions.keys.join_key``.
+
 Lookups into dimensions are one to one, so the first row of each id can be picked before
 them; only joins that drop rows come earlier. The order of the joins keeps the fact table
 down to one exchange per key.
@@ -9,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom import schema
+from cohortloom.functions.keys import stored_join_key
 from cohortloom.functions.text import cut, whole_number_text
 from cohortloom.operators.intervals import condition_eras, dose_eras, drug_eras
 from cohortloom.operators.joins import (
@@ -42,13 +45,14 @@ OBSERVATION_CODES = ["LOINC", "SNOMED", "MeSH"]
 
 def _stored(df: DataFrame, table: str) -> DataFrame:
     """Columns of the stored table, source values cut to their length."""
-    return df.select(
-        *[
-            (cut(F.col(c), schema.field(c).max_length) if schema.field(c).max_length else F.col(c))
-            .alias(c)
-            for c in schema.LOADED[table]
-        ]
-    )
+
+    def shaped(name: str) -> Column:
+        length = schema.field(name).max_length
+        if length is None or name in schema.HIDDEN_KEYS:
+            return F.col(name)
+        return cut(F.col(name), length).alias(name)
+
+    return df.select(*[shaped(c) for c in schema.LOADED[table]])
 
 
 def _order(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -56,6 +60,25 @@ def _order(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [INPUT_ORDER] if INPUT_ORDER in df.columns else list(columns)
 
 
+def _dimension(tables: Tables, table: str, settings: Settings, *columns: str) -> DataFrame:
+    """Columns of a stored table, the pseudonym among them as join key."""
+    rows = tables.read(table, columns)
+    hidden = [c for c in schema.HIDDEN_KEYS if c in columns]
+    return rows.withColumns({c: stored_join_key(F.col(c), settings.secret) for c in hidden})
+
+
+def _persons(tables: Tables, settings: Settings, *extra: str) -> DataFrame:
+    return _dimension(tables, "person", settings, "person_source_value", "person_id", *extra)
+
+
+def _locations(tables: Tables, settings: Settings) -> DataFrame:
+    return _dimension(tables, "location", settings, "location_source_value", "location_id")
+
+
+def _sites(tables: Tables, settings: Settings) -> DataFrame:
+    return _dimension(tables, "care_site", settings, "care_site_source_value", "care_site_id")
+
+
 def location(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     existing = tables.read("location", ["location_id"])
     new = first_new(mapped, existing, "location_id", _order(mapped, ["city", "county"]))
@@ -63,14 +86,16 @@ def location(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame
 
 
 def person(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
-    new = only_new(mapped, tables.read("person"), "person_source_value")
-    placed = own_or_looked_up(new, tables.read("location"), "location_source_value", "location_id")
+    new = only_new(mapped, _persons(tables, settings), "person_source_value")
+    placed = own_or_looked_up(
+        new, _locations(tables, settings), "location_source_value", "location_id"
+    )
     order = _order(mapped, ["birth_datetime", "gender_source_value", "race_source_value"])
     return _stored(keep_first(placed, "person_id", order), "person")
 
 
 def death(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
-    dead = join_person(mapped, tables.read("person"))
+    dead = join_person(mapped, _persons(tables, settings))
     order = _order(mapped, ["death_datetime", "cause_source_value"])
     return _stored(
         first_new(dead, tables.read("death", ["person_id"]), "person_id", order), "death"
@@ -78,7 +103,9 @@ def death(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
 
 
 def observation_period(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
-    periods = join_person(mapped, tables.read("person"), ["birth_datetime"])
+    periods = join_person(
+        mapped, _persons(tables, settings, "birth_datetime"), ["birth_datetime"]
+    )
     start, end = "observation_period_start_date", "observation_period_end_date"
     periods = clamp_period(periods, start, end, F.col("birth_datetime").cast("date"))
     existing = tables.read("observation_period", ["person_id"])
@@ -91,26 +118,29 @@ def observation_period(mapped: DataFrame, tables: Tables, settings: Settings) ->
 def care_site(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     existing = tables.read("care_site", ["care_site_id"])
     new = first_new(mapped, existing, "care_site_id", _order(mapped, ["care_site_name"]))
-    placed = join_dimension(new, tables.read("location"), "location_source_value", "location_id")
+    placed = join_dimension(
+        new, _locations(tables, settings), "location_source_value", "location_id"
+    )
     return _stored(placed, "care_site")
 
 
 def provider(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     existing = tables.read("provider", ["provider_id"])
     new = first_new(mapped, existing, "provider_id", _order(mapped, ["provider_source_value"]))
-    sites = tables.read("care_site")
+    sites = _sites(tables, settings)
     return _stored(
         join_dimension(new, sites, "care_site_source_value", "care_site_id"), "provider"
     )
 
 
-def _with_provider_and_site(df: DataFrame, tables: Tables) -> DataFrame:
+def _with_provider_and_site(df: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+    sites = _sites(tables, settings)
     df = join_dimension(df, tables.read("provider"), "provider_source_value", "provider_id")
-    return join_dimension(df, tables.read("care_site"), "care_site_source_value", "care_site_id")
+    return join_dimension(df, sites, "care_site_source_value", "care_site_id")
 
 
 def visit_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
-    visits = join_person(mapped, tables.read("person")).drop("person_source_value")
+    visits = join_person(mapped, _persons(tables, settings)).drop("person_source_value")
     order = ["visit_start_datetime", "visit_end_datetime", "visit_concept_id", "person_id"]
     new = first_new(
         visits,
@@ -118,14 +148,14 @@ def visit_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> D
         "visit_occurrence_id",
         order,
     )
-    return _stored(_with_provider_and_site(new, tables), "visit_occurrence")
+    return _stored(_with_provider_and_site(new, tables, settings), "visit_occurrence")
 
 
 def _new_events(
-    mapped: DataFrame, tables: Tables, table: str, order: Sequence[str]
+    mapped: DataFrame, tables: Tables, settings: Settings, table: str, order: Sequence[str]
 ) -> DataFrame:
     """First new row of each id among the known persons, with its visit."""
-    events = join_person(mapped, tables.read("person")).drop("person_source_value")
+    events = join_person(mapped, _persons(tables, settings)).drop("person_source_value")
     key = f"{table}_id"
     new = first_new(events, tables.read(table, [key]), key, _order(mapped, order))
     return join_dimension(
@@ -159,6 +189,7 @@ def _codes(
 def _coded(
     mapped: DataFrame,
     tables: Tables,
+    settings: Settings,
     table: str,
     stem: str,
     dates: Sequence[str],
@@ -168,7 +199,7 @@ def _coded(
     """Events with one source code, which gives the concept and the source concept."""
     code = f"{stem}_source_concept_id"
     order = [*dates, code, f"{stem}_source_value", "visit_source_value", "person_id"]
-    events = _new_events(mapped, tables, table, order)
+    events = _new_events(mapped, tables, settings, table, order)
     ids = _codes(mapped, [code], tables, vocabularies, sources)
     found = {f"{stem}_concept_id": "concept_id", code: "own_id"}
     return _stored(apply_codes(events, code, ids, found), table)
@@ -177,14 +208,15 @@ def _coded(
 def condition_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     dates = ["condition_start_datetime", "condition_end_datetime"]
     return _coded(
-        mapped, tables, "condition_occurrence", "condition", dates, CONDITION_CODES, CONDITION_CODES
-    )
+        mapped, tables, settings, "condition_occurrence", "condition", dates, CONDITION_CODES,
+        CONDITION_CODES,
+    )
 
 
 def procedure_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     dates = ["procedure_datetime", "procedure_end_datetime"]
     return _coded(
-        mapped, tables, "procedure_occurrence", "procedure", dates, PROCEDURE_CODES,
+        mapped, tables, settings, "procedure_occurrence", "procedure", dates, PROCEDURE_CODES,
         PROCEDURE_SOURCES,
     )
 
@@ -192,7 +224,9 @@ def procedure_occurrence(mapped: DataFrame, tables: Tables, settings: Settings)
 def drug_exposure(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     dates = ["drug_exposure_start_datetime", "drug_exposure_end_datetime"]
     filled = fill_either(mapped, "drug_exposure_start_date", "drug_exposure_end_date")
-    return _coded(filled, tables, "drug_exposure", "drug", dates, DRUG_CODES, DRUG_SOURCES)
+    return _coded(
+        filled, tables, settings, "drug_exposure", "drug", dates, DRUG_CODES, DRUG_SOURCES
+    )
 
 
 def visit_detail(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
@@ -200,7 +234,7 @@ def visit_detail(mapped: DataFrame, tables: Tables, settings: Settings) -> DataF
     concept, source = "visit_detail_concept_id", "visit_detail_source_concept_id"
     admitted = "admitted_from_concept_id"
     mapped = mapped.withColumn(admitted, whole_number_text(F.col(admitted)))
-    details = join_person(mapped, tables.read("person")).drop("person_source_value")
+    details = join_person(mapped, _persons(tables, settings)).drop("person_source_value")
     details = join_parent(
         details, tables.read("visit_occurrence"), "visit_source_value", "visit_occurrence_id"
     )
@@ -216,11 +250,16 @@ def visit_detail(mapped: DataFrame, tables: Tables, settings: Settings) -> DataF
     details = apply_codes(details, concept, ids, {concept: "concept_id"})
     details = apply_codes(details, source, ids, {source: "own_id"})
     details = apply_codes(details, admitted, ids, {admitted: "concept_id"})
-    return _stored(_with_provider_and_site(details, tables), "visit_detail")
+    return _stored(_with_provider_and_site(details, tables, settings), "visit_detail")
 
 
 def _observed(
-    mapped: DataFrame, tables: Tables, table: str, vocabularies: Sequence[str], own_source: bool
+    mapped: DataFrame,
+    tables: Tables,
+    settings: Settings,
+    table: str,
+    vocabularies: Sequence[str],
+    own_source: bool,
 ) -> DataFrame:
     kind, concept = f"{table}_type_concept_id", f"{table}_concept_id"
     source = f"{table}_source_concept_id"
@@ -228,7 +267,7 @@ def _observed(
         f"{table}_datetime", source, "value_as_number", "unit_source_value", kind,
         f"{table}_source_value", "visit_source_value", "person_id",
     ]
-    events = _new_events(mapped, tables, table, order)
+    events = _new_events(mapped, tables, settings, table, order)
     own = vocabularies if own_source else ()
     ids = _codes(mapped, [kind, concept, source], tables, vocabularies, own)
     events = apply_codes(events, kind, ids, {kind: "concept_id"})
@@ -239,12 +278,16 @@ def _observed(
 
 def measurement(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     """All three code columns go through the resolver."""
-    return _observed(mapped, tables, "measurement", MEASUREMENT_CODES, own_source=False)
+    return _observed(
+        mapped, tables, settings, "measurement", MEASUREMENT_CODES, own_source=False
+    )
 
 
 def observation(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     """The source code is looked up as it is, the other two go through the resolver."""
-    return _observed(mapped, tables, "observation", OBSERVATION_CODES, own_source=True)
+    return _observed(
+        mapped, tables, settings, "observation", OBSERVATION_CODES, own_source=True
+    )
 
 
 def condition_era(tables: Tables, settings: Settings) -> DataFrame:

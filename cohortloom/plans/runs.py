@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortloom import schema
+from cohortloom.functions.keys import hide_join_key, join_key, pseudonym
 from cohortloom.functions.parse import coerce, project
 from cohortloom.operators.joins import only_new
 from cohortloom.plans import entities, loads
@@ -85,22 +87,45 @@ def spec_for(target: str, source: str | None = None) -> TableSpec:
     return next(s for s in SPECS if s.target == target and source in (None, s.source))
 
 
+def _fields(spec: TableSpec, extract: DataFrame, settings: Settings) -> DataFrame:
+    fields = spec.fields or schema.MAPPED[spec.target]
+    return project(spec.map_stage(extract, settings), fields, keep=(INPUT_ORDER,))
+
+
+def _keys_as(
+    df: DataFrame, shape: Callable[[Column, str], Column], settings: Settings
+) -> DataFrame:
+    keys = [c for c in schema.HIDDEN_KEYS if c in df.columns]
+    return df.withColumns({c: shape(F.col(c), settings.secret) for c in keys})
+
+
+def _typed(df: DataFrame, spec: TableSpec, settings: Settings, skip: Sequence[str]) -> DataFrame:
+    """Registry types; source codes stay text until they are looked up."""
+    codes = () if settings.coerce_first else schema.CODE_COLUMNS.get(spec.target, ())
+    return coerce(df, spec.target, skip=[*codes, *skip])
+
+
 def map_rows(spec: TableSpec, extract: DataFrame, settings: Settings) -> DataFrame:
-    """Map stage, field list and registry types.
+    """The mapped table: field list, pseudonyms and registry types.
 
     Source codes stay text until the load stage has looked them up, unless ``coerce_first``.
     """
-    fields = spec.fields or schema.MAPPED[spec.target]
-    mapped = project(spec.map_stage(extract, settings), fields, keep=(INPUT_ORDER,))
-    skip = () if settings.coerce_first else schema.CODE_COLUMNS.get(spec.target, ())
-    return coerce(mapped, spec.target, skip=skip)
+    fields = _fields(spec, extract, settings)
+    return _typed(_keys_as(fields, pseudonym, settings), spec, settings, ())
 
 
 def new_rows(
     spec: TableSpec, extract: DataFrame, tables: Tables, settings: Settings
 ) -> DataFrame:
-    """Rows of the extract the target does not hold yet, in the stored shape."""
-    return spec.load_stage(map_rows(spec, extract, settings), tables, settings)
+    """Rows of the extract the target does not hold yet, in the stored shape.
+
+    Facts are joined on plain keys and the much smaller dimensions are deciphered for it;
+    what is stored is enciphered last, when only the new rows are left.
+    """
+    fields = _fields(spec, extract, settings)
+    plain = _typed(_keys_as(fields, join_key, settings), spec, settings, schema.HIDDEN_KEYS)
+    loaded = spec.load_stage(plain, tables, settings)
+    return _keys_as(loaded, hide_join_key, settings)
 
 
 def new_eras(table: str, tables: Tables, settings: Settings) -> DataFrame:

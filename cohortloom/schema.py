@@ -115,6 +115,9 @@ MAPPED: dict[str, tuple[str, ...]] = {
     ),
 }
 
+# Natural keys that are stored as pseudonyms, in whichever table they appear.
+HIDDEN_KEYS = ("person_source_value", "care_site_source_value", "location_source_value")
+
 # Columns that hold a source code until the load stage has looked it up.
 CODE_COLUMNS: dict[str, tuple[str, ...]] = {
     "condition_occurrence": ("condition_source_concept_id",),
