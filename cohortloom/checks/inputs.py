@@ -7,12 +7,16 @@ intervals are put in by rules over the keys, because the given tables have none.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortloom.sources.extracts import spread
 
+# Bytes from which a single local file is spread over the cores.
+WORTH_SPREADING = 2_000_000
+
 _EVENT = """
     'pt-' || CAST(o_custkey AS STRING) AS patient,
     'enc-' || CAST(o_orderkey AS STRING) AS encounter,
@@ -183,8 +187,10 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            table = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
-            self._tables[name] = spread(table)
+            path = f"{self._folder}/{name}.parquet"
+            table = self.spark.read.parquet(path)
+            one_file = os.path.isfile(path) and os.path.getsize(path) >= WORTH_SPREADING
+            self._tables[name] = spread(table) if one_file else table
         return self._tables[name]
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -92,8 +92,12 @@ def join_key(plain: Column, secret: str) -> Column:
 
 
 def stored_join_key(stored: Column, secret: str) -> Column:
-    """``join_key`` of a stored pseudonym: deciphered once per dimension row."""
-    return F.when(F.length(stored) < STORED_LENGTH, reveal(stored, secret)).otherwise(stored)
+    """``join_key`` of a stored pseudonym that is not null: deciphered once per dimension row.
+
+    Marked as never null, or the join would test it for null first and so decipher it twice.
+    """
+    plain = F.when(F.length(stored) < STORED_LENGTH, reveal(stored, secret)).otherwise(stored)
+    return F.coalesce(plain, F.lit(""))
 
 
 def hide_join_key(key: Column, secret: str) -> Column:

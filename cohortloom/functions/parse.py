@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from cohortloom import schema
 from cohortloom.functions.text import column_or_null
 
-_OFFSET = r"\d{1,2}:\d{2}.*[+-]\d{2}:?\d{2}$"
+
+def _has_offset(text: Column) -> Column:
+    """A time that ends in +hh:mm or +hhmm; a bare date is too short to count."""
+    signs = ("+", "-")
+    ends = F.substring(text, -6, 1).isin(*signs) | F.substring(text, -5, 1).isin(*signs)
+    return (F.length(text) > 16) & ends
 
 
 def to_datetime(c: Column, formats: Sequence[str] = ()) -> Column:
@@ -21,7 +26,7 @@ def to_datetime(c: Column, formats: Sequence[str] = ()) -> Column:
     """
     text = c.cast("string")
     moved = F.to_utc_timestamp(text.try_cast("timestamp"), F.current_timezone())
-    iso = F.when(text.rlike(_OFFSET), moved.cast("timestamp_ntz")).otherwise(
+    iso = F.when(_has_offset(text), moved.cast("timestamp_ntz")).otherwise(
         text.try_cast("timestamp_ntz")
     )
     others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]

@@ -301,28 +301,30 @@ def collapse_visits(
         raise ValueError("gap_days must not be negative")
     width = gap_days + 1
     day = F.to_date(start)
-    rank = F.struct(day.alias("day"), *(order or [start, stop, source_id]))
-    slice_no = F.floor(F.unix_date(day) / width)
+    # ordering by the start orders by its day as well, any other order has to name the day
+    rank = [day.alias("_day"), *map(F.col, order)] if order else [
+        F.col(start), F.col(stop), F.col(source_id)
+    ]
+    carried = [F.col(start), F.col(stop), F.col(source_id)] if order else []
+    row = F.struct(*rank, *carried)
     first_columns = {
-        f"_first_{c}": F.min(F.when(F.col(c).isNotNull(), F.struct(rank, F.col(c).alias("v"))))
+        f"_first_{c}": F.min(F.when(F.col(c).isNotNull(), F.struct(*rank, F.col(c).alias("_v"))))
         for c in first_of
     }
-    head = F.struct(rank, F.col(start).alias("start"), F.col(source_id).alias("id"))
-    tail = F.struct(rank, F.col(stop).alias("stop"))
     slices = (
         encounters.filter(_has_all(keys))
-        .groupBy(*keys, slice_no.alias("_slice"))
+        .groupBy(*keys, F.floor(F.unix_date(day) / width).alias("_slice"))
         .agg(
             F.min(start).alias(start),
             F.max(stop).alias(stop),
-            F.min(head).alias("_head"),
-            F.max(tail).alias("_tail"),
+            F.min(row).alias("_head"),
+            F.max(row).alias("_tail"),
             *[c.alias(name) for name, c in first_columns.items()],
         )
     )
     ordered = Window.partitionBy(*keys).orderBy("_slice")
     seconds = F.timestamp_diff(
-        "SECOND", F.lag("_tail.stop").over(ordered), F.col("_head.start")
+        "SECOND", F.lag(F.col("_tail")[stop]).over(ordered), F.col("_head")[start]
     )
     opens = F.coalesce(seconds >= width * DAY_SECONDS, F.lit(False)).cast("int")
     visit = F.sum("_opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
@@ -337,8 +339,8 @@ def collapse_visits(
         *keys,
         start,
         stop,
-        F.col("_head.id").alias(source_id),
-        *[F.col(f"_first_{c}.v").alias(c) for c in first_of],
+        F.col("_head")[source_id].alias(source_id),
+        *[F.col(f"_first_{c}._v").alias(c) for c in first_of],
     )
 
 

@@ -32,13 +32,12 @@ def one_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def join_person(facts: DataFrame, persons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Facts of known persons, with the person id."""
-    columns = ["person_id", *extra]
-    known = persons.groupBy("person_source_value").agg(
-        F.min(F.struct(*columns)).alias("_person")
-    )
-    joined = facts.join(known, "person_source_value", "inner")
-    return joined.withColumns({c: F.col(f"_person.{c}") for c in columns}).drop("_person")
+    """Facts of known persons, with the person id and further person columns."""
+    key = "person_source_value"
+    if not extra:
+        return facts.join(one_per_key(persons, key, "person_id"), key, "inner")
+    known = keep_first(persons.select(key, "person_id", *extra), key, ["person_id"])
+    return facts.join(known, key, "inner")
 
 
 def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, value: str) -> DataFrame:

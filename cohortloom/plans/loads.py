@@ -62,8 +62,8 @@ def _order(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 def _dimension(tables: Tables, table: str, settings: Settings, *columns: str) -> DataFrame:
     """Columns of a stored table, the pseudonym among them as join key."""
-    rows = tables.read(table, columns)
     hidden = [c for c in schema.HIDDEN_KEYS if c in columns]
+    rows = tables.read(table, columns).dropna(subset=hidden)
     return rows.withColumns({c: stored_join_key(F.col(c), settings.secret) for c in hidden})
 
 

@@ -56,13 +56,11 @@ def read_extract(
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for a scan that comes in fewer splits than there are cores.
 
-    That is the case for one mid-size file with a single row group, whose map stage would
-    otherwise run in one task. Large inputs have more splits and are left alone, and so is a
-    single split, which is too little to be worth moving.
+    Meant for a mid-size file with a single row group, whose map stage would otherwise run
+    in one task. Large inputs have more splits than cores and are left alone.
     """
-    splits = df.rdd.getNumPartitions()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 1 < splits < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def export_tables(store, tables: Iterable[str], folder: str) -> list[str]:
