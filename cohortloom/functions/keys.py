@@ -78,33 +78,6 @@ def reveal(c: Column, secret: str) -> Column:
     return F.trim(F.aes_decrypt(cipher, key, F.lit("ECB"), F.lit("PKCS")).cast("string"))
 
 
-# Stored pseudonyms are cut to this length, which keys of up to 32 characters never reach.
-STORED_LENGTH, WHOLE_KEY = 50, 32
-
-
-def join_key(plain: Column, secret: str) -> Column:
-    """What facts are joined on: the plain key, so that no fact row has to be enciphered.
-
-    Only a key whose stored pseudonym is cut is compared by that pseudonym.
-    """
-    stored = F.substring(pseudonym(plain, secret), 1, STORED_LENGTH)
-    return F.when(F.length(plain) > WHOLE_KEY, stored).otherwise(plain)
-
-
-def stored_join_key(stored: Column, secret: str) -> Column:
-    """``join_key`` of a stored pseudonym that is not null: deciphered once per dimension row.
-
-    Marked as never null, or the join would test it for null first and so decipher it twice.
-    """
-    plain = F.when(F.length(stored) < STORED_LENGTH, reveal(stored, secret)).otherwise(stored)
-    return F.coalesce(plain, F.lit(""))
-
-
-def hide_join_key(key: Column, secret: str) -> Column:
-    """The pseudonym to store for a ``join_key``."""
-    return F.when(F.length(key) < STORED_LENGTH, pseudonym(key, secret)).otherwise(key)
-
-
 def joined_key(*columns: Column) -> Column:
     """Composite text key, parts joined with '_'."""
     return F.concat_ws("_", *[c.cast("string") for c in columns])

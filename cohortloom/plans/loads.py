@@ -1,6 +1,7 @@
 """Load stage: mapped table and target state in, rows to append out.
 
-Natural keys arrive and leave as join keys, see ``functions.keys.join_key``.
+Natural keys arrive and leave in plain text; the pseudonyms of the dimensions are deciphered
+for the joins, which takes one cipher call per dimension row instead of one per fact.
 
 Lookups into dimensions are one to one, so the first row of each id can be picked before
 them; only joins that drop rows come earlier. The order of the joins keeps the fact table
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom import schema
-from cohortloom.functions.keys import stored_join_key
+from cohortloom.functions.keys import reveal
 from cohortloom.functions.text import cut, whole_number_text
 from cohortloom.operators.intervals import condition_eras, dose_eras, drug_eras
 from cohortloom.operators.joins import (
@@ -61,10 +62,15 @@ def _order(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 
 def _dimension(tables: Tables, table: str, settings: Settings, *columns: str) -> DataFrame:
-    """Columns of a stored table, the pseudonym among them as join key."""
+    """Columns of a stored table with its pseudonyms deciphered.
+
+    A null key matches nothing and is left out. The plain key is marked as never null, or
+    the join would test it for null first and so decipher it twice.
+    """
     hidden = [c for c in schema.HIDDEN_KEYS if c in columns]
     rows = tables.read(table, columns).dropna(subset=hidden)
-    return rows.withColumns({c: stored_join_key(F.col(c), settings.secret) for c in hidden})
+    plain = {c: F.coalesce(reveal(F.col(c), settings.secret), F.lit("")) for c in hidden}
+    return rows.withColumns(plain)
 
 
 def _persons(tables: Tables, settings: Settings, *extra: str) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom import schema
-from cohortloom.functions.keys import hide_join_key, join_key, pseudonym
+from cohortloom.functions.keys import pseudonym
 from cohortloom.functions.parse import coerce, project
 from cohortloom.operators.joins import only_new
 from cohortloom.plans import entities, loads
@@ -92,26 +92,26 @@ def _fields(spec: TableSpec, extract: DataFrame, settings: Settings) -> DataFram
     return project(spec.map_stage(extract, settings), fields, keep=(INPUT_ORDER,))
 
 
-def _keys_as(
-    df: DataFrame, shape: Callable[[Column, str], Column], settings: Settings
-) -> DataFrame:
+def _hide_keys(df: DataFrame, settings: Settings) -> DataFrame:
     keys = [c for c in schema.HIDDEN_KEYS if c in df.columns]
-    return df.withColumns({c: shape(F.col(c), settings.secret) for c in keys})
+    return df.withColumns({c: pseudonym(F.col(c), settings.secret) for c in keys})
+
 
+def _plain_rows(spec: TableSpec, extract: DataFrame, settings: Settings) -> DataFrame:
+    """Field list in registry types, natural keys still plain.
 
-def _typed(df: DataFrame, spec: TableSpec, settings: Settings, skip: Sequence[str]) -> DataFrame:
-    """Registry types; source codes stay text until they are looked up."""
+    Source codes stay text until the load stage has looked them up, unless ``coerce_first``.
+    Keys are not cut to a length: a cut pseudonym could not be deciphered again.
+    """
+    fields = spec.fields or schema.MAPPED[spec.target]
+    rows = project(spec.map_stage(extract, settings), fields, keep=(INPUT_ORDER,))
     codes = () if settings.coerce_first else schema.CODE_COLUMNS.get(spec.target, ())
-    return coerce(df, spec.target, skip=[*codes, *skip])
+    return coerce(rows, spec.target, skip=[*codes, *schema.HIDDEN_KEYS])
 
 
 def map_rows(spec: TableSpec, extract: DataFrame, settings: Settings) -> DataFrame:
-    """The mapped table: field list, pseudonyms and registry types.
-
-    Source codes stay text until the load stage has looked them up, unless ``coerce_first``.
-    """
-    fields = _fields(spec, extract, settings)
-    return _typed(_keys_as(fields, pseudonym, settings), spec, settings, ())
+    """The mapped table, with pseudonyms for the natural keys."""
+    return _hide_keys(_plain_rows(spec, extract, settings), settings)
 
 
 def new_rows(
@@ -122,10 +122,8 @@ def new_rows(
     Facts are joined on plain keys and the much smaller dimensions are deciphered for it;
     what is stored is enciphered last, when only the new rows are left.
     """
-    fields = _fields(spec, extract, settings)
-    plain = _typed(_keys_as(fields, join_key, settings), spec, settings, schema.HIDDEN_KEYS)
-    loaded = spec.load_stage(plain, tables, settings)
-    return _keys_as(loaded, hide_join_key, settings)
+    plain = _plain_rows(spec, extract, settings)
+    return _hide_keys(spec.load_stage(plain, tables, settings), settings)
 
 
 def new_eras(table: str, tables: Tables, settings: Settings) -> DataFrame:
