@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.keys import joined_key, surrogate_id
 from cohortloom.functions.parse import to_float
 from cohortloom.functions.text import column_or_null, first_present, float_text
-from cohortloom.operators.joins import keep_first
+from cohortloom.operators.joins import keep_first, renewed
 
 DAY_SECONDS = 86400
 
@@ -33,7 +33,8 @@ def _has_all(keys: Sequence[str]) -> Column:
 
 def group_bounds(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     """Earliest start and latest end of each group."""
-    return df.groupBy(key).agg(F.min(start).alias("_first"), F.max(end).alias("_last"))
+    bounds = df.groupBy(key).agg(F.min(start).alias("_first"), F.max(end).alias("_last"))
+    return bounds.select(renewed(df, key), "_first", "_last")
 
 
 def fill_from_group(df: DataFrame, key: str, start: str, end: str) -> DataFrame:

@@ -26,9 +26,23 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) ->
     )
 
 
+def renewed(df: DataFrame, key: str) -> Column:
+    """The key as a new expression of the same value.
+
+    A side that was just aggregated by the join key would be joined in the stage of the
+    aggregate. Adaptive execution splits a hot key only between two plain exchanges, and the
+    new expression makes the planner add one.
+    """
+    kind = dict(df.dtypes)[key]
+    if kind == "string":
+        return F.concat(key, F.lit("")).alias(key)
+    return F.col(key).bitwiseOR(F.lit(0).cast(kind)).alias(key)
+
+
 def one_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
     """Dimension reduced to its key and one id, so that a join never multiplies rows."""
-    return df.groupBy(key).agg(F.min(value).alias(value))
+    unique = df.groupBy(key).agg(F.min(value).alias(value))
+    return unique.select(renewed(df, key), value)
 
 
 def join_person(facts: DataFrame, persons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -37,6 +51,7 @@ def join_person(facts: DataFrame, persons: DataFrame, extra: Sequence[str] = ())
     if not extra:
         return facts.join(one_per_key(persons, key, "person_id"), key, "inner")
     known = keep_first(persons.select(key, "person_id", *extra), key, ["person_id"])
+    known = known.select(renewed(known, key), "person_id", *extra)
     return facts.join(known, key, "inner")
 
 

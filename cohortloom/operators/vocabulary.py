@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.joins import renewed
+
 
 def used_codes(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct codes the given columns hold, as ``concept_code``."""
@@ -131,7 +133,7 @@ def apply_codes(
     """
     names = sorted(set(results.values()))
     ids = table.select(
-        F.col("concept_code").alias("_code"), *[F.col(c).alias(f"_{c}") for c in names]
+        renewed(table, "concept_code").alias("_code"), *[F.col(c).alias(f"_{c}") for c in names]
     )
     joined = facts.join(ids, F.col(code).cast("string") == F.col("_code"), "left")
     found = {name: F.coalesce(f"_{c}", F.lit(0)) for name, c in results.items()}
