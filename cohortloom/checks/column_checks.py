@@ -59,7 +59,7 @@ def schema_coerce(x: Inputs):
 
 @check(
     "catalog_coerce",
-    """SELECT coalesce(TRY_CAST(code AS BIGINT), NULL) AS code, substr(coalesce(units, ''), 1, 3) AS units,
+    """SELECT TRY_CAST(code AS BIGINT) AS code, substr(coalesce(units, ''), 1, 3) AS units,
         TRY_CAST(value AS DOUBLE) AS value, coalesce(category, '') AS category
     FROM (SELECT CASE WHEN regexp_full_match(code, '[0-9]+') THEN code END AS code, units, value,
         category FROM observations)""",
@@ -228,7 +228,9 @@ def first_alias(x: Inputs):
     patients = x["patients"]
     died = text.first_present(patients, entities.DEATH_DATES)
     cause = text.first_present(patients, entities.DEATH_CAUSES)
-    rows = patients.select("id", parse.datetime_of(patients, died).alias("died"), F.col(cause).alias("cause"))
+    rows = patients.select(
+        "id", parse.datetime_of(patients, died).alias("died"), F.col(cause).alias("cause")
+    )
     return rows.dropna(subset=["died"])
 
 
@@ -242,12 +244,10 @@ def first_alias(x: Inputs):
 )
 def era_id(x: Inputs):
     dates = ["drug_exposure_start_date", "drug_exposure_end_date"]
-    key = keys.joined_key(
-        F.col("person_id"), F.col("drug_concept_id"), *[F.date_format(d, "yyyy-MM-dd") for d in dates]
-    )
-    return x["exposures"].select(
-        "person_id", "drug_concept_id", *dates, keys.surrogate_id(key, "drug era").alias("drug_era_id")
-    )
+    days = [F.date_format(d, "yyyy-MM-dd") for d in dates]
+    key = keys.joined_key(F.col("person_id"), F.col("drug_concept_id"), *days)
+    era = keys.surrogate_id(key, "drug era").alias("drug_era_id")
+    return x["exposures"].select("person_id", "drug_concept_id", *dates, era)
 
 
 @check(

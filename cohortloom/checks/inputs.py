@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortloom.sources.extracts import spread
 
-# Bytes from which a single local file is spread over the cores.
+# Bytes from which a single local file is spread over the cores, and the extracts that come
+# as text, whose parsing makes that worth the move.
 WORTH_SPREADING = 2_000_000
+PARSED = {
+    "encounters", "conditions", "procedures", "medications", "immunizations", "observations",
+}
 
 _EVENT = """
     'pt-' || CAST(o_custkey AS STRING) AS patient,
@@ -127,7 +131,8 @@ EXTRACTS: dict[str, str] = {
             p_partkey + 1 AS target_concept_id
         FROM {part}""",
     "source_to_concept_map": """
-        SELECT CAST(p_partkey AS STRING) AS source_code, CAST(p_size AS BIGINT) AS source_concept_id,
+        SELECT CAST(p_partkey AS STRING) AS source_code,
+            CAST(p_size AS BIGINT) AS source_concept_id,
             CASE WHEN p_size = 19 THEN NULL ELSE upper(p_name) END AS source_code_description,
             p_partkey + 2 AS target_concept_id
         FROM {part} WHERE p_type = 'ECONOMY'""",
@@ -182,21 +187,22 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self._folder = folder.rstrip("/")
-        self._tables: dict[str, DataFrame] = {}
+        self.folder = folder.rstrip("/")
+        self._tables: dict[tuple[str, bool], DataFrame] = {}
 
-    def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            path = f"{self._folder}/{name}.parquet"
+    def table(self, name: str, parsed: bool = False) -> DataFrame:
+        """A given table; one large file is spread over the cores if its rows are ``parsed``."""
+        if (name, parsed) not in self._tables:
+            path = f"{self.folder}/{name}.parquet"
             table = self.spark.read.parquet(path)
             one_file = os.path.isfile(path) and os.path.getsize(path) >= WORTH_SPREADING
-            self._tables[name] = spread(table) if one_file else table
-        return self._tables[name]
+            self._tables[name, parsed] = spread(table) if parsed and one_file else table
+        return self._tables[name, parsed]
 
     def __getitem__(self, name: str) -> DataFrame:
         text = EXTRACTS[name]
-        tables = {t: self.table(t) for t in sorted(set(_TABLE.findall(text)))}
-        return self.spark.sql(text, **tables)
+        used = sorted(set(_TABLE.findall(text)))
+        return self.spark.sql(text, **{t: self.table(t, name in PARSED) for t in used})
 
 
 def extract_sql(name: str) -> str:

@@ -142,10 +142,13 @@ def _persons(x: Inputs):
     JOIN persons p ON p.pk = {clean("m.patient")}""",
 )
 def join_person(x: Inputs):
+    people = _persons(x).withColumn(
+        "person_source_value", reveal(F.col("person_source_value"), SETTINGS.secret)
+    )
     facts = x["medications"].select(
-        "encounter", "code", pseudonym(alnum(F.col("patient")), SETTINGS.secret).alias("person_source_value")
+        "encounter", "code", alnum(F.col("patient")).alias("person_source_value")
     )
-    return joins.join_person(facts, _persons(x)).drop("person_source_value")
+    return joins.join_person(facts, people).drop("person_source_value")
 
 
 @check(

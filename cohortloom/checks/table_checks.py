@@ -25,21 +25,42 @@ def _vocabulary(x: Inputs) -> dict[str, DataFrame]:
     return {name: x[name] for name in ("concept", "concept_relationship")}
 
 
-def _second_load(
-    x: Inputs, target: str, source: str, earlier: str, *needed: str
-) -> DataFrame:
-    """New rows of a whole extract, where stored tables hold its ``earlier`` part already."""
-    spec = spec_for(target, source)
-    dimensions = ["location", "person", "care_site", "provider", "visit_occurrence"]
-    coded = target in schema.CODE_COLUMNS
-    store = ParquetStore(x.spark, shared_folder(x.spark))
-    store.create({target, *dimensions, *(_vocabulary(x) if coded else [])})
-    if coded:
+BEFORE_1997 = "coalesce(try_cast(start AS date), try_cast(stop AS date)) < '1997-01-01'"
+DIMENSIONS = ("location", "person", "care_site", "provider", "visit_occurrence")
+_LOADED: dict[tuple[str, str], ParquetStore] = {}
+
+
+def _dimensions(x: Inputs) -> ParquetStore:
+    """Vocabulary and dimension tables of the data folder, loaded once per application."""
+    place = (x.spark.sparkContext.applicationId, x.folder)
+    if place not in _LOADED:
+        store = ParquetStore(x.spark, shared_folder(x.spark))
+        store.create([*DIMENSIONS, *schema.VOCABULARY])
         for name, rows in _vocabulary(x).items():
             store.append(name, rows)
-    for table in needed:
-        first = spec_for(table)
-        store.append(table, new_rows(first, x[first.source], store, SETTINGS))
+        for table in DIMENSIONS:
+            spec = spec_for(table)
+            store.append(table, new_rows(spec, x[spec.source], store, SETTINGS))
+        _LOADED[place] = store
+    return _LOADED[place]
+
+
+class _OneTable(ParquetStore):
+    """A target table of its own next to loaded dimensions."""
+
+    def __init__(self, x: Inputs, target: str):
+        super().__init__(x.spark, shared_folder(x.spark))
+        self._target, self._others = target, _dimensions(x)
+        self.create([target])
+
+    def read(self, table, columns=None):
+        return (super() if table == self._target else self._others).read(table, columns)
+
+
+def _second_load(x: Inputs, target: str, source: str, earlier: str) -> DataFrame:
+    """New rows of a whole extract, where the target holds its ``earlier`` part already."""
+    spec = spec_for(target, source)
+    store = _OneTable(x, target)
     store.append(target, new_rows(spec, x[source].filter(earlier), store, SETTINGS))
     rows = new_rows(spec, x[source], store, SETTINGS)
     hidden = HIDDEN.get(target)
@@ -53,12 +74,12 @@ def load_location(x: Inputs):
 
 @check("load_person", table_sql.person("city = 'BUILDING'"))
 def load_person(x: Inputs):
-    return _second_load(x, "person", "patients", "city = 'BUILDING'", "location")
+    return _second_load(x, "person", "patients", "city = 'BUILDING'")
 
 
 @check("load_death", table_sql.death("city = 'BUILDING'"))
 def load_death(x: Inputs):
-    return _second_load(x, "death", "patients", "city = 'BUILDING'", "person")
+    return _second_load(x, "death", "patients", "city = 'BUILDING'")
 
 
 @check(
@@ -72,81 +93,63 @@ def load_death(x: Inputs):
     },
 )
 def load_observation_period(x: Inputs):
-    return _second_load(x, "observation_period", "encounters", "start < '1995-06-01'", "person")
+    return _second_load(x, "observation_period", "encounters", "start < '1995-06-01'")
 
 
 @check("load_care_site", table_sql.care_site("gender = 'M'"))
 def load_care_site(x: Inputs):
-    return _second_load(x, "care_site", "providers", "gender = 'M'", "location")
+    return _second_load(x, "care_site", "providers", "gender = 'M'")
 
 
 @check("load_provider", table_sql.provider("gender = 'M'"))
 def load_provider(x: Inputs):
-    return _second_load(x, "provider", "providers", "gender = 'M'", "care_site")
+    return _second_load(x, "provider", "providers", "gender = 'M'")
 
 
 @check("load_visit_occurrence", table_sql.visit_occurrence("visit_concept_id = 9203"))
 def load_visit_occurrence(x: Inputs):
-    return _second_load(
-        x, "visit_occurrence", "encounters", "encounterclass = 'emergency'",
-        "person", "care_site", "provider",
-    )
+    return _second_load(x, "visit_occurrence", "encounters", "encounterclass = 'emergency'")
 
 
 @check("load_condition", table_sql.condition_occurrence("start < '1995-02-01'"))
 def load_condition(x: Inputs):
-    return _second_load(
-        x, "condition_occurrence", "conditions",
-        "coalesce(try_cast(start AS date), try_cast(stop AS date)) < '1995-02-01'",
-        "person", "visit_occurrence",
-    )
+    earlier = "coalesce(try_cast(start AS date), try_cast(stop AS date)) < '1995-02-01'"
+    return _second_load(x, "condition_occurrence", "conditions", earlier)
 
 
 @check("load_visit_detail", table_sql.visit_detail("start < '1997-01-01'"))
 def load_visit_detail(x: Inputs):
-    return _second_load(
-        x, "visit_detail", "encounters",
-        "coalesce(try_cast(start AS date), try_cast(stop AS date)) < '1997-01-01'",
-        "person", "care_site", "provider", "visit_occurrence",
-    )
+    return _second_load(x, "visit_detail", "encounters", BEFORE_1997)
 
 
 @check("load_procedure", table_sql.procedure_occurrence("start < '1997-01-01'"))
 def load_procedure(x: Inputs):
-    return _second_load(
-        x, "procedure_occurrence", "procedures",
-        "coalesce(try_cast(start AS date), try_cast(stop AS date)) < '1997-01-01'",
-        "person", "visit_occurrence",
-    )
+    return _second_load(x, "procedure_occurrence", "procedures", BEFORE_1997)
 
 
 @check("load_drug", table_sql.drug_exposure("start < '1997-01-01'"))
 def load_drug(x: Inputs):
-    return _second_load(
-        x, "drug_exposure", "medications",
-        "coalesce(try_cast(start AS date), try_cast(stop AS date)) < '1997-01-01'",
-        "person", "visit_occurrence",
-    )
+    return _second_load(x, "drug_exposure", "medications", BEFORE_1997)
 
 
 @check("load_immunization", table_sql.immunization("given < '1997-01-01'"))
 def load_immunization(x: Inputs):
     return _second_load(
-        x, "drug_exposure", "immunizations", "date < '1997-01-01'", "person", "visit_occurrence"
+        x, "drug_exposure", "immunizations", "date < '1997-01-01'"
     )
 
 
 @check("load_measurement", table_sql.measurement("start < '2024-01-08'"))
 def load_measurement(x: Inputs):
     return _second_load(
-        x, "measurement", "observations", "date < '2024-01-08'", "person", "visit_occurrence"
+        x, "measurement", "observations", "date < '2024-01-08'"
     )
 
 
 @check("load_observation", table_sql.observation("start < '2024-01-08'"))
 def load_observation(x: Inputs):
     return _second_load(
-        x, "observation", "observations", "date < '2024-01-08'", "person", "visit_occurrence"
+        x, "observation", "observations", "date < '2024-01-08'"
     )
 
 

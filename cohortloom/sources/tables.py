@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from cohortloom import schema
 from cohortloom.functions.parse import to_day, to_float, to_int
 from cohortloom.session import shared_folder
+from cohortloom.sources.extracts import read_extract
 
 CONCEPT_TABLES = tuple(schema.VOCABULARY)
 
@@ -80,14 +81,14 @@ class ParquetStore(Tables):
         return self.spark.read.schema(df.schema).parquet(path)
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Append in files of even size; AQE also splits a hot partition here."""
+        """Append in table order; adaptive execution sizes the files, no shuffle is added."""
         ordered = rows.select(*[f.name for f in schema.table_schema(table)])
-        ordered.hint("rebalance").write.mode("append").parquet(self.path(table))
+        ordered.write.mode("append").parquet(self.path(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Overwrite a table that the rows were not read from."""
         ordered = rows.select(*[f.name for f in schema.table_schema(table)])
-        ordered.hint("rebalance").write.mode("overwrite").parquet(self.path(table))
+        ordered.write.mode("overwrite").parquet(self.path(table))
 
 
 def append_jdbc(
@@ -100,8 +101,6 @@ def append_jdbc(
 
 def load_vocabulary(store: ParquetStore, files: Mapping[str, str], sep: str = "\t") -> None:
     """Load vocabulary CSVs, given as table -> path, into the vocabulary tables."""
-    from cohortloom.sources.extracts import read_extract
-
     for table, path in files.items():
         rows = read_extract(store.spark, path, sep=sep)
         store.append(table, conform_vocabulary(rows, table))
