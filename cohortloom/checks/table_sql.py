@@ -57,12 +57,10 @@ PARTS["m_period"] = f"""SELECT {clean("patient")} AS pk,
 _ORG = clean("organization")
 PARTS["m_site"] = f"""SELECT {sid(_ORG, "care site")} AS care_site_id, {_ORG} AS site_key,
     name AS care_site_name, {ZIP} AS location_key, gender FROM providers"""
-PARTS["sites"] = "SELECT site_key, min(care_site_id) AS care_site_id FROM m_site GROUP BY 1"
 PARTS["m_provider"] = f"""SELECT {sid("id", "provider")} AS provider_id, id, name, gender,
     speciality, {_ORG} AS site_key,
     CAST({cases("gender", entities.PROVIDER_GENDER, "0")} AS BIGINT) AS gender_concept_id
     FROM providers"""
-PARTS["doctors"] = "SELECT id, min(provider_id) AS provider_id FROM m_provider GROUP BY id"
 
 PARTS["v_class"] = f"""SELECT *, {clean("patient")} AS pk,
     CAST({cases("encounterclass", entities.VISIT_CLASS, "9201")} AS BIGINT) AS visit_concept_id
@@ -125,7 +123,8 @@ def location(prior: str = EMPTY) -> str:
 
 def person(prior: str = EMPTY) -> str:
     new = first_by(
-        f"(SELECT * FROM m_person WHERE pk NOT IN (SELECT pk FROM m_person WHERE {prior}))",
+        f"(SELECT * FROM m_person WHERE pk NOT IN (SELECT pk FROM m_person WHERE {prior}) "
+        f"AND person_id NOT IN (SELECT person_id FROM m_person WHERE {prior}))",
         "person_id",
         "birth_datetime, gender_source_value, race_source_value",
     )
@@ -141,7 +140,7 @@ def person(prior: str = EMPTY) -> str:
 
 
 def death(prior: str = EMPTY) -> str:
-    known = "SELECT d.*, p.person_id FROM m_death d JOIN persons p ON d.pk = p.pk"
+    known = "SELECT d.*, p.person_id FROM m_death d JOIN l_persons p ON d.pk = p.pk"
     new = first_by(
         f"({known} WHERE person_id NOT IN (SELECT person_id FROM ({known}) WHERE {prior}))",
         "person_id",
@@ -154,10 +153,10 @@ def death(prior: str = EMPTY) -> str:
 
 def observation_period(prior: str = EMPTY) -> str:
     known = f"""SELECT m.*, p.person_id, greatest(first_day, CAST(born AS DATE)) AS s
-        FROM m_period m JOIN persons p ON m.pk = p.pk"""
+        FROM m_period m JOIN l_persons p ON m.pk = p.pk"""
     new = first_by(
         f"({known} WHERE p.person_id NOT IN (SELECT p.person_id FROM m_period m "
-        f"JOIN persons p ON m.pk = p.pk WHERE {prior}))",
+        f"JOIN l_persons p ON m.pk = p.pk WHERE {prior}))",
         "person_id",
         "s, last_day",
     )
@@ -176,8 +175,7 @@ def care_site(prior: str = EMPTY) -> str:
     return f"""SELECT care_site_id, care_site_name,
         {_const(entities.PLACE_OF_SERVICE, "place_of_service_concept_id")},
         site_key AS care_site_source_value, l.location_id
-        FROM ({new}) s LEFT JOIN (SELECT location_key, min(location_id) AS location_id
-        FROM m_location GROUP BY 1) l ON s.location_key = l.location_key"""
+        FROM ({new}) s LEFT JOIN l_places l ON s.location_key = l.location_key"""
 
 
 def provider(prior: str = EMPTY) -> str:
@@ -191,11 +189,11 @@ def provider(prior: str = EMPTY) -> str:
         speciality AS specialty_source_value, name AS provider_name,
         id AS provider_source_value, {_const(entities.SPECIALTY, "specialty_concept_id")},
         gender_concept_id, s.care_site_id
-        FROM ({new}) p LEFT JOIN sites s ON p.site_key = s.site_key"""
+        FROM ({new}) p LEFT JOIN l_sites s ON p.site_key = s.site_key"""
 
 
 _VISITS = f"""SELECT v.*, p.person_id, {sid("v.id", "visit occurrence")} AS visit_occurrence_id
-    FROM kept_visits v JOIN persons p ON v.pk = p.pk"""
+    FROM kept_visits v JOIN l_persons p ON v.pk = p.pk"""
 
 
 def visit_occurrence(prior: str = EMPTY) -> str:
@@ -210,16 +208,25 @@ def visit_occurrence(prior: str = EMPTY) -> str:
         CAST(stop AS DATE) AS visit_end_date, stop AS visit_end_datetime,
         {_const(entities.FROM_ENCOUNTERS, "visit_type_concept_id")},
         v.id AS visit_source_value, d.provider_id, s.care_site_id
-        FROM ({new}) v LEFT JOIN doctors d ON v.provider = d.id
-        LEFT JOIN sites s ON v.site_key = s.site_key"""
+        FROM ({new}) v LEFT JOIN l_doctors d ON v.provider = d.id
+        LEFT JOIN l_sites s ON v.site_key = s.site_key"""
 
 
-PARTS["visit_ids"] = f"""SELECT id AS visit_source_value,
-    min(visit_occurrence_id) AS visit_occurrence_id FROM ({_VISITS}) GROUP BY id"""
+# Natural keys of the loaded dimensions: a row that lost its id to another one is not there.
+PARTS["l_persons"] = """SELECT person_source_value AS pk, min(person_id) AS person_id,
+    arg_min(birth_datetime, person_id) AS born FROM t_person GROUP BY 1"""
+PARTS["l_places"] = """SELECT location_source_value AS location_key,
+    min(location_id) AS location_id FROM t_location GROUP BY 1"""
+PARTS["l_sites"] = """SELECT care_site_source_value AS site_key,
+    min(care_site_id) AS care_site_id FROM t_site GROUP BY 1"""
+PARTS["l_doctors"] = """SELECT provider_source_value AS id,
+    min(provider_id) AS provider_id FROM t_provider GROUP BY 1"""
+PARTS["l_visits"] = """SELECT visit_source_value,
+    min(visit_occurrence_id) AS visit_occurrence_id FROM t_visit GROUP BY 1"""
 
 
 def _events(mapped: str, key: str, order: str, prior: str) -> str:
-    known = f"SELECT m.*, p.person_id FROM ({mapped}) m JOIN persons p ON m.pk = p.pk"
+    known = f"SELECT m.*, p.person_id FROM ({mapped}) m JOIN l_persons p ON m.pk = p.pk"
     new = first_by(
         f"(SELECT * FROM ({known}) WHERE {key} NOT IN (SELECT {key} FROM ({known}) "
         f"WHERE {prior}))",
@@ -227,7 +234,7 @@ def _events(mapped: str, key: str, order: str, prior: str) -> str:
         order,
     )
     return f"""(SELECT e.*, v.visit_occurrence_id FROM ({new}) e
-        LEFT JOIN visit_ids v ON e.encounter = v.visit_source_value) e"""
+        LEFT JOIN l_visits v ON e.encounter = v.visit_source_value) e"""
 
 
 _ORDER = "start, stop, code, description, encounter, person_id"
@@ -297,7 +304,7 @@ def visit_detail(prior: str = EMPTY) -> str:
     mapped = f"""SELECT {sid("id", "visit_detail")} AS visit_detail_id, id AS encounter, start,
         stop, code, {clean("patient")} AS pk, description, provider, {_ORG} AS site_key,
         {admitted} AS admitted, coalesce(reasondescription, '{entities.NO_REASON}') AS reason
-        FROM repaired WHERE id IN (SELECT visit_source_value FROM visit_ids)"""
+        FROM repaired WHERE id IN (SELECT visit_source_value FROM l_visits)"""
     order = "start, stop, code, person_id"
     return f"""SELECT visit_detail_id, person_id,
         coalesce(c.concept_id, 0) AS visit_detail_concept_id,
@@ -313,7 +320,7 @@ def visit_detail(prior: str = EMPTY) -> str:
         LEFT JOIN ({resolved_ids(loads.DETAIL_CODES)}) c ON e.code = c.concept_code
         LEFT JOIN ({resolved_ids(loads.DETAIL_CODES)}) a ON e.admitted = a.concept_code
         LEFT JOIN ({own_ids(loads.DETAIL_CODES)}) o ON e.code = o.concept_code
-        LEFT JOIN doctors d ON e.provider = d.id LEFT JOIN sites s ON e.site_key = s.site_key"""
+        LEFT JOIN l_doctors d ON e.provider = d.id LEFT JOIN l_sites s ON e.site_key = s.site_key"""
 
 
 def _observed(table: str, prior: str, codes: list[str], measured: bool, own: str) -> str:

@@ -24,7 +24,6 @@ from cohortloom.operators.joins import (
     join_dimension,
     join_parent,
     join_person,
-    keep_first,
     only_new,
     own_or_looked_up,
 )
@@ -92,12 +91,14 @@ def location(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame
 
 
 def person(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+    """New by natural key; a person whose id another one holds already is not stored either."""
     new = only_new(mapped, _persons(tables, settings), "person_source_value")
     placed = own_or_looked_up(
         new, _locations(tables, settings), "location_source_value", "location_id"
     )
     order = _order(mapped, ["birth_datetime", "gender_source_value", "race_source_value"])
-    return _stored(keep_first(placed, "person_id", order), "person")
+    existing = tables.read("person", ["person_id"])
+    return _stored(first_new(placed, existing, "person_id", order), "person")
 
 
 def death(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
