@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.checks.inputs import Inputs
 from cohortloom.checks.registry import SETTINGS, check
-from cohortloom.checks.sql import cases, clean, eras, sid
+from cohortloom.checks.sql import cases, eras, sid
 from cohortloom.functions.keys import reveal
 from cohortloom.operators import intervals, rows
 from cohortloom.plans import entities
