@@ -171,7 +171,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
     wanted = pairs.select("digest", F.explode(F.array("old", "new")).alias("at"))
     wanted = wanted.select("digest", F.col("at.key_a").alias("key_a"), F.col("at.key_b").alias("key_b")).distinct()
     texts = docs.select(*row_keys(docs), normalised(F.col(text)).alias("bytes"))
-    found = texts.join(wanted, ["key_a", "key_b"]).groupBy("digest").agg(
+    # One plan at every size: the snapshot's buckets cannot be assumed to fit a broadcast.
+    found = texts.join(wanted.hint("merge"), ["key_a", "key_b"]).groupBy("digest").agg(
         (F.min(F.col("bytes")) == F.max(F.col("bytes"))).alias("same")
     )
     return found.where("same").select("digest")
