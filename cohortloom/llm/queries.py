@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import exact, sharding
+from cohortloom.llm import decontaminate, exact, langid, ngram, packing, sharding, simhash, toxicity, warc
 from cohortloom.llm.sql import SQL
-from cohortloom.llm.staging import ready
+from cohortloom.llm.staging import ready, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -34,6 +34,65 @@ def op1_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def hash_rest(divisor: int) -> Column:
+    """Remainder of the crc32 of the document id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query
+def op2_class_bigrams(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents, learned from six sevenths of them."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", F.coalesce(hash_rest(7) == 2, F.lit(False)).alias("held_out")
+    )
+    model, vocabulary = ngram.train(docs.where("NOT held_out"))
+    return ngram.score(docs, model, vocabulary, ["doc_id", "held_out"])
+
+
+@query
+def op3_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token pieces in as few sequences of 2048 as minimum bin slack finds."""
+    placed = packing.pack(table(spark, folder, "documents"))
+    return placed.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+@query
+def op4_boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from four fifths of the labelled ones."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", F.coalesce(hash_rest(5) == 0, F.lit(False)).alias("held_out")
+    )
+    labels = table(spark, folder, "labels").select(F.col("doc_id"), F.col("toxic").alias("label")).distinct()
+    model = toxicity.train(docs.where("NOT held_out").join(labels, "doc_id"))
+    return model.score(docs, ["doc_id", "held_out"])
+
+
+@query
+def op5_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = table(spark, folder, "documents").withColumn("held_out", F.coalesce(hash_rest(4) == 2, F.lit(False)))
+    model = langid.train(docs.where("NOT held_out"))
+    found = langid.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op7_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    archives = f"{shared_folder(spark)}/archives"
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.read_archives(spark, archives).drop("url")
+
+
+@query
+def op8_minhash_containment(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that documents hold at four fifths of their five-word shingles or more."""
+    found = decontaminate.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "n_shared", "n_shingles", "containment")
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Exact groups of all documents; half of them, by a hash of the id, are the snapshot."""
@@ -45,6 +104,16 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op10_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and the components they link."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id",
+        "links",
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

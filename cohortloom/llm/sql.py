@@ -1,6 +1,43 @@
 """SQL that has to give the rows of a registered query."""
 
 SQL: dict[str, str] = {
+    # Five bits of the SHA-1 at a time: five hexadecimal digits are four base-32 characters.
+    "op7_warc_archives": """
+        WITH hashed AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+            FROM pages),
+        found AS (
+            SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY hex) AS largest,
+                array_to_string(list_transform(range(0, 32), lambda i: substr(
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    ((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INT), 5) AS INT)
+                        >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1, 1)), '') AS payload_digest
+            FROM hashed)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id < largest THEN largest END AS refers_to
+        FROM found""",
+    "op8_minhash_containment": r"""
+        WITH texts AS (
+            SELECT 'd' AS kind, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'i', item_id, text FROM benchmark),
+        split AS (
+            SELECT kind, id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM texts WHERE text IS NOT NULL),
+        shingles AS (
+            SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) >= 5
+                THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+            FROM split),
+        sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'i' GROUP BY id),
+        shared AS (
+            SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+            FROM shingles d JOIN shingles i ON d.shingle = i.shingle AND d.kind = 'd' AND i.kind = 'i'
+            GROUP BY ALL)
+        SELECT doc_id, item_id, n_shared, n AS n_shingles, n_shared / n AS containment
+        FROM shared JOIN sizes ON id = item_id WHERE n_shared >= ceil(0.8 * n - 1e-9)""",
     "op9_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.session import shared_folder
+from cohortloom.session import shared_folder  # noqa: F401  (operators take it from here)
 
 
 def ready(spark: SparkSession) -> SparkSession:

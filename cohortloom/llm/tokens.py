@@ -118,3 +118,7 @@ def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(
         len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[index]))
     ).cast(pa.string())
+
+
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
