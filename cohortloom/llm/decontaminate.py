@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm import tokens
+from cohortloom.llm import bitmaps, tokens
 from cohortloom.llm.simhash import shingle_spans
 from cohortloom.llm.staging import row_keys, stage
 
@@ -85,21 +85,6 @@ def _shingle_batches(hits=None):
     return run
 
 
-def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """Bits at the low ends of the hashes: at most MAP_BITS / 64 rows come to the driver."""
-    bit = F.col("hash").bitwiseAND(MAP_BITS - 1)
-    words = hashes.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, CAST(hash & 63 AS INT))").alias("bit"))
-    out = np.zeros(MAP_BITS // 64, np.int64)
-    for r in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
-        out[r["word"]] = r["bits"]
-    return out.view(np.uint64)
-
-
-def _in_map(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(MAP_BITS - 1)
-    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
-
-
 def _unsigned(hashes):
     """Signed longs in the order of the unsigned hashes."""
     return hashes.bitwiseXOR(F.lit(-(1 << 63)))
@@ -136,14 +121,14 @@ def contained(
         r["class"]: np.int64(r["top"]).view(np.uint64) ^ np.uint64(1 << 63)
         for r in sketches.groupBy("class").agg(F.max(_unsigned(F.col("hash"))).alias("top")).collect()
     }
-    maps = {c: _bitmap(sketches.where(F.col("class") == c)) for c in largest}
-    everything = _bitmap(shingles)
+    maps = {c: bitmaps.build(sketches.where(F.col("class") == c), "hash", MAP_BITS) for c in largest}
+    everything = bitmaps.build(shingles, "hash", MAP_BITS)
 
     def hits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sketched = np.zeros(len(hashes), bool)
         for size, bitmap in maps.items():
-            sketched |= (hashes <= largest[size]) & _in_map(bitmap, hashes)
-        return sketched, _in_map(everything, hashes)
+            sketched |= (hashes <= largest[size]) & bitmaps.holds(bitmap, hashes)
+        return sketched, bitmaps.holds(everything, hashes)
 
     held = _shingled(docs, id_column, hits).select(
         "id", F.col("key_a").alias("doc_a"), F.col("key_b").alias("doc_b"), "hash", "shingle"

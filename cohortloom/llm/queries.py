@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, exact, langid, ngram, packing, sharding, simhash, toxicity, warc
+from cohortloom.llm import decontaminate, exact, langid, ngram, packing, sharding, simhash, suffix, toxicity, warc
 from cohortloom.llm.sql import SQL
 from cohortloom.llm.staging import ready, shared_folder
 
@@ -78,6 +78,15 @@ def op5_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query
+def op6_suffix_sort(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the strings of 200 bytes that start anywhere else, too."""
+    found = suffix.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op7_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written as WARC archives and read back."""

@@ -25,6 +25,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from cohortloom.llm import tokens
 from cohortloom.llm.staging import stage
@@ -213,7 +214,7 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.ndar
 def with_features(docs: DataFrame, lexicon: Lexicon, keep: list[str], text: str = "text") -> DataFrame:
     """The ``keep`` columns of ``docs`` and ``features``."""
     narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"))
-    schema = narrow.drop("_text").schema.add("features", "array<double>")
+    schema = narrow.drop("_text").schema.add("features", ArrayType(DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,6 +18,7 @@ from cohortloom.llm import (
     sharding,
     simhash,
     staging,
+    suffix,
     tokens,
     toxicity,
     warc,
@@ -420,7 +421,7 @@ def test_toxicity(docs):
     got = {r["doc_id"]: (r["score"], r["predicted"]) for r in scored.collect()}
     assert len(got) == 103 and all(0 <= s <= 1 and p == (s >= 0.5) for s, p in got.values())
     assert sum(got[i][1] == i % 2 for i in range(100)) >= 96
-    assert got[500] == got[501] and got[500][1] == 0
+    assert got[500] == got[501] and got[502][1] == 1
 
 
 def test_toxicity_of_one_class_and_nothing(docs):
@@ -502,3 +503,80 @@ def test_exchange_raises_the_likelihood(spark):
     first = ngram._joint(ngram._neighbours(df), start)
     assert ngram._likelihood(joint) >= ngram._likelihood(first)
     assert of[size] == ngram.CLASSES and joint.sum() == first.sum()
+
+
+# Repeated strings
+
+
+def check_removed(rows, found, length):
+    flags = brute.repeated_bytes(dict(rows), length)
+    import hashlib
+
+    got = {r["id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in found}
+    assert got == {i: brute.removal(t, flags[i]) for i, t in rows}
+    return sum(v[1] for v in got.values())
+
+
+@pytest.mark.parametrize("large", [1, suffix.LARGE])
+@pytest.mark.parametrize("length,gram", [(40, 12), (200, 64)])
+def test_repeated_strings(docs, length, gram, large, monkeypatch):
+    monkeypatch.setattr(suffix, "LARGE", large)
+    monkeypatch.setattr(suffix.repeated_spans, "__defaults__", ("text", suffix.LENGTH, suffix.GRAM, large))
+    monkeypatch.setattr(suffix, "CHUNK", 3000)
+    rng = random.Random(length)
+    noise = lambda n: "".join(rng.choices("abcdé ", k=n))
+    passages = [noise(n) for n in (length // 2, length - 1, length, length + 1, length + 7, 2 * length, 5 * length)]
+    rows = []
+    for i in range(150):
+        text = noise(rng.randrange(3 * length))
+        for _ in range(rng.randrange(4)):
+            p = rng.choice(passages)
+            a = rng.randrange(len(p) // 3 + 1) if rng.random() < 0.5 else 0
+            text += p[a:] + noise(rng.randrange(length))
+        rows.append((i, text))
+    rows += [(200, rows[3][1]), (201, rows[3][1]), (202, None), (203, ""), (204, "ab" * 3 * length), (205, "z" * (length + 1)), (206, "q" * length)]
+    rows += [(207, passages[-1] + noise(5) + passages[-1])]
+    found = suffix.remove_repeats(docs(rows), length=length, gram=gram).collect()
+    assert check_removed(rows, found, length) > 20 * length
+
+
+def test_long_texts_are_cut_without_loss(docs, monkeypatch):
+    monkeypatch.setattr(suffix, "SEGMENT", 300)
+    monkeypatch.setattr(tokens, "BLOCK", 500)
+    rng = random.Random(0)
+    text = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    shared = text(900)
+    rows = [(1, text(1000) + shared + text(700)), (2, text(10) + shared), (3, text(2000))]
+    found = suffix.remove_repeats(docs(rows), length=40, gram=12).collect()
+    assert check_removed(rows, found, 40) == 1800
+
+
+def test_repeats_of_equal_rows_and_nothing(docs):
+    rows = docs([(1, "y" * 50 + "x" * 200)] * 2 + [(2, "short")] * 2)
+    found = Counter((r["id"], r["n_removed"], len(r["kept"])) for r in suffix.remove_repeats(rows).collect())
+    assert found == {(1, 250, 0): 2, (2, 0, 5): 2}
+    assert suffix.remove_repeats(docs([])).count() == 0
+
+
+def test_suffix_mergesort():
+    rng = np.random.default_rng(3)
+    text = rng.integers(97, 99, 4000).astype(np.uint8)
+    text[2000:2600] = text[100:700]
+    first = np.array([0, 1000, 1001, 1003])
+    size = np.array([1000, 1, 2, 1500])
+    places = np.concatenate([rng.permutation(3900)[:1000], [5], [7, 2007], rng.permutation(3900)[:1500]])
+    sorted_ = suffix.merge_sorted(suffix.Suffixes(text, 30), places, first, size)
+    raw = text.tobytes()
+    for a, n in zip(first, size):
+        got = [raw[p : p + 30] for p in sorted_[a : a + n]]
+        assert got == sorted(raw[p : p + 30] for p in places[a : a + n])
+
+
+def test_colliding_hashes_are_verified(monkeypatch):
+    """With hashes that tell nothing apart the bytes still decide."""
+    monkeypatch.setattr(suffix.Suffixes, "_same", lambda self, a, b, n: np.ones(len(a), bool))
+    text = np.frombuffer(b"abcdefghijABCDEFGHIJabcdefghij", np.uint8)
+    block, start = suffix.repeated_starts(
+        text, np.array([0, 10, 20]), np.array([1, 1, 1]), np.array([0, 0, 0]), np.array([7, 7, 7]), 10
+    )
+    assert sorted(zip(block.tolist(), start.tolist())) == [(0, 0), (2, 0)]
