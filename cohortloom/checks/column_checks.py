@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.checks import expected
 from cohortloom.checks.inputs import Inputs
 from cohortloom.checks.registry import SETTINGS, check
 from cohortloom.checks.sql import cases, clean, lower, sid, ts
@@ -109,7 +110,7 @@ def normalize_text(x: Inputs):
 
 @check(
     "map_gender",
-    f"""SELECT id, CAST({cases(lower("gender"), entities.GENDER, "0")} AS BIGINT)
+    f"""SELECT id, CAST({cases(lower("gender"), expected.GENDER, "0")} AS BIGINT)
         AS gender_concept_id FROM patients""",
 )
 def map_gender(x: Inputs):
@@ -119,8 +120,8 @@ def map_gender(x: Inputs):
 
 @check(
     "map_race_ethnicity",
-    f"""SELECT id, CAST({cases(lower("race"), entities.RACE, "0")} AS BIGINT) AS race_concept_id,
-        CAST({cases(lower("ethnicity"), entities.ETHNICITY, "0")} AS BIGINT)
+    f"""SELECT id, CAST({cases(lower("race"), expected.RACE, "0")} AS BIGINT) AS race_concept_id,
+        CAST({cases(lower("ethnicity"), expected.ETHNICITY, "0")} AS BIGINT)
         AS ethnicity_concept_id FROM patients""",
 )
 def map_race_ethnicity(x: Inputs):
@@ -135,7 +136,7 @@ def map_race_ethnicity(x: Inputs):
 
 @check(
     "map_visit_class",
-    f"""SELECT id, CAST({cases("encounterclass", entities.VISIT_CLASS, "9201")} AS BIGINT)
+    f"""SELECT id, CAST({cases("encounterclass", expected.VISIT_CLASS, "9201")} AS BIGINT)
         AS visit_concept_id FROM encounters""",
 )
 def map_visit_class(x: Inputs):
@@ -145,7 +146,7 @@ def map_visit_class(x: Inputs):
 
 @check(
     "map_provider_gender",
-    f"""SELECT id, CAST({cases("gender", entities.PROVIDER_GENDER)} AS BIGINT)
+    f"""SELECT id, CAST({cases("gender", expected.PROVIDER_GENDER)} AS BIGINT)
         AS gender_concept_id FROM providers""",
 )
 def map_provider_gender(x: Inputs):
@@ -155,7 +156,7 @@ def map_provider_gender(x: Inputs):
 
 @check(
     "map_passthrough",
-    f"SELECT encounter, {cases('code', entities.QUALITY, 'code')} AS code FROM observations",
+    f"SELECT encounter, {cases('code', expected.QUALITY, 'code')} AS code FROM observations",
 )
 def map_passthrough(x: Inputs):
     code = text.lookup_or_keep(F.col("code"), entities.QUALITY)
@@ -252,8 +253,8 @@ def era_id(x: Inputs):
 
 @check(
     "literal_fills",
-    f"""SELECT CAST({entities.FROM_RECORD} AS BIGINT) AS visit_detail_type_concept_id,
-        coalesce(reasondescription, '{entities.NO_REASON}') AS admitted_from_source_value,
+    f"""SELECT CAST({expected.FROM_RECORD} AS BIGINT) AS visit_detail_type_concept_id,
+        coalesce(reasondescription, '{expected.NO_REASON}') AS admitted_from_source_value,
         regexp_replace(coalesce(reasoncode, '0'), '\\.0$', '') AS admitted_from
     FROM encounters""",
 )
@@ -269,7 +270,7 @@ def literal_fills(x: Inputs):
 
 @check(
     "no_encounter_fill",
-    f"""SELECT patient, coalesce(encounter, '{entities.NO_ENCOUNTER}') AS encounter
+    f"""SELECT patient, coalesce(encounter, '{expected.NO_ENCOUNTER}') AS encounter
     FROM observations""",
 )
 def no_encounter_fill(x: Inputs):
@@ -286,12 +287,12 @@ _PLACES = f"""SELECT {clean("coalesce(zip, '')")} AS k,
     f"""SELECT p.id, coalesce(CASE WHEN p.city = 'BUILDING' THEN p.lid END, l.lid) AS location_id
     FROM (SELECT id, {clean("coalesce(zip, '')")} AS k, city,
         {sid(clean("coalesce(zip, '')"), "location")} AS lid FROM patients) p
-    LEFT JOIN (SELECT k, min(lid) AS lid FROM ({_PLACES}) WHERE city = 'MACHINERY' GROUP BY k) l
+    LEFT JOIN (SELECT k, min(lid) AS lid FROM ({_PLACES}) GROUP BY k) l
     ON p.k = l.k""",
 )
 def person_location(x: Inputs):
     patients = x["patients"]
-    known = map_rows(spec_for("location"), patients, SETTINGS).filter("city = 'MACHINERY'")
+    known = map_rows(spec_for("location"), patients, SETTINGS)
     postcode = text.alnum(F.coalesce("zip", F.lit("")))
     own = F.when(F.col("city") == "BUILDING", keys.surrogate_id(postcode, "location"))
     people = patients.select(

@@ -7,20 +7,10 @@ intervals are put in by rules over the keys, because the given tables have none.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.sources.extracts import spread
-
-# Bytes from which a single local file is spread over the cores, and the extracts that come
-# as text, whose parsing makes that worth the move.
-WORTH_SPREADING = 2_000_000
-PARSED = {
-    "encounters", "conditions", "procedures", "medications", "immunizations", "observations",
-}
-
 _EVENT = """
     'pt-' || CAST(o_custkey AS STRING) AS patient,
     'enc-' || CAST(o_orderkey AS STRING) AS encounter,
@@ -98,8 +88,10 @@ EXTRACTS: dict[str, str] = {
             CASE event_id % 9 WHEN 0 THEN 'QOLS' WHEN 1 THEN ' qaly' WHEN 2 THEN NULL
                 ELSE CAST(event_id % 2500 AS STRING) END AS code,
             'Observed ' || event_type AS description,
-            CASE event_id % 6 WHEN 0 THEN 'high' WHEN 1 THEN NULL
-                ELSE CAST(value AS STRING) END AS value,
+            CASE WHEN event_id % 101 = 7 THEN '0.0005' WHEN event_id % 101 = 8 THEN '0.00001'
+                WHEN event_id % 101 = 9 THEN '12345678.5' WHEN event_id % 101 = 10 THEN '25000000'
+                WHEN event_id % 101 = 11 THEN '1e16' WHEN event_id % 6 = 0 THEN 'high'
+                WHEN event_id % 6 = 1 THEN NULL ELSE CAST(value AS STRING) END AS value,
             CASE event_id % 4 WHEN 0 THEN 'mg' WHEN 1 THEN ' ' WHEN 2 THEN NULL
                 ELSE 'score' END AS units
         FROM {events}""",
@@ -124,6 +116,15 @@ EXTRACTS: dict[str, str] = {
         FROM {part}
         UNION ALL
         SELECT p_partkey + 50000000, p_partkey + 1, 'Maps to' FROM {part}""",
+    # With line breaks, quotes and separators inside, and an order that its columns do not give.
+    "remarks": """
+        SELECT CAST(event_id AS STRING) AS id,
+            CASE event_id % 4 WHEN 0 THEN 'first line' || chr(10) || 'second "line", quoted'
+                WHEN 1 THEN event_type || ', ' || CAST(user_id AS STRING)
+                WHEN 2 THEN '"' || event_type || '"' END AS remark,
+            CAST(event_id * 7919 % 1009 AS STRING) AS rank,
+            CAST(user_id AS STRING) AS author
+        FROM {events}""",
     "reviewed_map": """
         SELECT CAST(p_partkey AS STRING) AS source_code,
             CASE WHEN p_size = 13 THEN NULL ELSE CAST(p_size AS BIGINT) END AS source_concept_id,
@@ -149,8 +150,10 @@ EXTRACTS: dict[str, str] = {
             CASE WHEN l_discount = 0.02 OR l_suppkey % 37 = 4 THEN NULL
                 ELSE CAST(l_shipdate AS DATE) + CAST(l_quantity AS INT) - 10
                 END AS drug_exposure_end_date,
-            CASE WHEN l_tax = 0.01 THEN NULL WHEN l_linenumber < 4 THEN '5' ELSE '10.50'
-                END AS quantity,
+            CASE WHEN l_tax = 0.01 THEN NULL WHEN l_linenumber < 4 THEN '5'
+                WHEN l_quantity = 13 THEN '0.0005' WHEN l_quantity = 14 THEN '0.00001'
+                WHEN l_quantity = 15 THEN '12345678.5' WHEN l_quantity = 16 THEN '25000000'
+                WHEN l_quantity = 17 THEN '1e16' ELSE '10.50' END AS quantity,
             CASE WHEN l_tax = 0.02 THEN NULL ELSE CAST(l_linenumber % 2 AS BIGINT)
                 END AS dose_unit_concept_id
         FROM {lineitem}""",
@@ -188,21 +191,15 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self._tables: dict[tuple[str, bool], DataFrame] = {}
 
-    def table(self, name: str, parsed: bool = False) -> DataFrame:
-        """A given table; one large file is spread over the cores if its rows are ``parsed``."""
-        if (name, parsed) not in self._tables:
-            path = f"{self.folder}/{name}.parquet"
-            table = self.spark.read.parquet(path)
-            one_file = os.path.isfile(path) and os.path.getsize(path) >= WORTH_SPREADING
-            self._tables[name, parsed] = spread(table) if parsed and one_file else table
-        return self._tables[name, parsed]
+    def table(self, name: str) -> DataFrame:
+        """A given table."""
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
         text = EXTRACTS[name]
         used = sorted(set(_TABLE.findall(text)))
-        return self.spark.sql(text, **{t: self.table(t, name in PARSED) for t in used})
+        return self.spark.sql(text, **{t: self.table(t) for t in used})
 
 
 def extract_sql(name: str) -> str:

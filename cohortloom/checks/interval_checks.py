@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortloom.checks import expected
 from cohortloom.checks.inputs import Inputs
 from cohortloom.checks.registry import SETTINGS, check
 from cohortloom.checks.sql import cases, eras, sid
@@ -90,7 +91,7 @@ def partition_fill(x: Inputs):
     return intervals.fill_from_group(exposures, "person_id", *dates)
 
 
-_STAY_CLASS = cases("encounterclass", entities.VISIT_CLASS, "9201")
+_STAY_CLASS = cases("encounterclass", expected.VISIT_CLASS, "9201")
 
 
 @check(

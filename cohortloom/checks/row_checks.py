@@ -173,40 +173,35 @@ def join_provider_caresite(x: Inputs):
     return facts.select("id", "provider_id", "care_site_id")
 
 
-def _emergency_visits(x: Inputs):
-    visits = map_rows(spec_for("visit_occurrence"), x["encounters"], SETTINGS)
-    return visits.filter(F.col("visit_concept_id") == entities.VISIT_CLASS["emergency"])
+def _visits(x: Inputs):
+    return map_rows(spec_for("visit_occurrence"), x["encounters"], SETTINGS)
 
 
-_EMERGENCY = f"""SELECT id AS visit_source_value, {sid("id", "visit occurrence")}
-    AS visit_occurrence_id FROM kept_visits WHERE visit_concept_id = 9203"""
+_VISIT_IDS = f"""SELECT id AS visit_source_value, {sid("id", "visit occurrence")}
+    AS visit_occurrence_id FROM kept_visits"""
 
 
 @check(
     "join_visit_left",
     """SELECT m.encounter, m.code, v.visit_occurrence_id FROM medications m
-    LEFT JOIN emergency_ids v ON m.encounter = v.visit_source_value""",
-    {"emergency_ids": _EMERGENCY},
+    LEFT JOIN visit_ids v ON m.encounter = v.visit_source_value""",
+    {"visit_ids": _VISIT_IDS},
 )
 def join_visit_left(x: Inputs):
     facts = x["medications"].select(F.col("encounter").alias("visit_source_value"), "code")
-    joined = joins.join_dimension(
-        facts, _emergency_visits(x), "visit_source_value", "visit_occurrence_id"
-    )
+    joined = joins.join_dimension(facts, _visits(x), "visit_source_value", "visit_occurrence_id")
     return joined.withColumnRenamed("visit_source_value", "encounter")
 
 
 @check(
     "join_visit_inner",
     """SELECT m.encounter, m.code, v.visit_occurrence_id FROM medications m
-    JOIN emergency_ids v ON m.encounter = v.visit_source_value""",
-    {"emergency_ids": _EMERGENCY},
+    JOIN visit_ids v ON m.encounter = v.visit_source_value""",
+    {"visit_ids": _VISIT_IDS},
 )
 def join_visit_inner(x: Inputs):
     facts = x["medications"].select(F.col("encounter").alias("visit_source_value"), "code")
-    joined = joins.join_parent(
-        facts, _emergency_visits(x), "visit_source_value", "visit_occurrence_id"
-    )
+    joined = joins.join_parent(facts, _visits(x), "visit_source_value", "visit_occurrence_id")
     return joined.withColumnRenamed("visit_source_value", "encounter")
 
 

@@ -10,7 +10,8 @@ from cohortloom.checks.inputs import Inputs
 from cohortloom.checks.registry import SETTINGS, check
 from cohortloom.functions.keys import reveal
 from cohortloom.functions.parse import coerce_column
-from cohortloom.plans.runs import load_table, map_rows, spec_for
+from cohortloom.operators.joins import keep_first
+from cohortloom.plans.runs import append_reviewed, load_table, map_rows, spec_for
 from cohortloom.session import shared_folder
 from cohortloom.sources import extracts
 from cohortloom.sources.tables import ParquetStore, load_vocabulary
@@ -47,37 +48,179 @@ def append_roundtrip(x: Inputs):
     return _shown(store.read("location"), "location_source_value")
 
 
-@check("csv_export", "SELECT * FROM t_site")
+@check(
+    "csv_reordered",
+    "SELECT id, remark, rank, CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN author END AS author FROM remarks",
+)
+def csv_reordered(x: Inputs):
+    """Two files with their columns in another order, one of them without a column."""
+    folder = shared_folder(x.spark)
+    even = x["remarks"].filter("CAST(id AS BIGINT) % 2 = 0").select("RANK", "ID", "AUTHOR", "REMARK")
+    odd = x["remarks"].filter("CAST(id AS BIGINT) % 2 = 1").select("remark", "id", "rank")
+    paths = [f"{folder}/even", f"{folder}/odd"]
+    for rows, path in zip((even, odd), paths):
+        extracts.write_csv(rows, path)
+    rows = extracts.read_extract(x.spark, paths, multi_line=True)
+    return rows.select("id", "remark", "rank", "author")
+
+
+@check("csv_quoted_breaks", "SELECT id, remark, rank, author FROM remarks")
+def csv_quoted_breaks(x: Inputs):
+    folder = shared_folder(x.spark)
+    extracts.write_csv(x["remarks"], folder)
+    return extracts.read_extract(x.spark, folder, multi_line=True)
+
+
+@check(
+    "csv_keep_first",
+    """SELECT author, id, rank FROM remarks
+    QUALIFY row_number() OVER (PARTITION BY author ORDER BY CAST(rank AS BIGINT), CAST(id AS BIGINT)) = 1""",
+)
+def csv_keep_first(x: Inputs):
+    """The first row of a key by its place in the file, which no column of it gives."""
+    folder = shared_folder(x.spark)
+    ordered = x["remarks"].orderBy(F.col("rank").cast("long"), F.col("id").cast("long"))
+    extracts.write_csv(ordered.select("author", "id", "rank"), folder)
+    rows = extracts.read_extract(x.spark, folder, input_order=True)
+    first = keep_first(rows, "author", [extracts.INPUT_ORDER])
+    return first.drop(extracts.INPUT_ORDER)
+
+
+EXPORTED = {"location": "t_location", "person": "t_person", "care_site": "t_site", "provider": "t_provider"}
+
+
+def _as_text(columns: list[str], table: str) -> str:
+    shown = " || chr(31) || ".join(f"coalesce(nullif(CAST({c} AS VARCHAR), ''), '~')" for c in columns)
+    return f"SELECT '{table}' AS table_name, {shown} AS stored FROM {EXPORTED[table]}"
+
+
+def _exported_columns(table: str) -> list[str]:
+    return [c for c in schema.LOADED[table] if not c.endswith("_datetime")]
+
+
+@check("csv_export", " UNION ALL ".join(_as_text(_exported_columns(t), t) for t in EXPORTED))
 def csv_export(x: Inputs):
+    """Every loaded table written as CSV and read back, each row as one text."""
     folder = shared_folder(x.spark)
     store = ParquetStore(x.spark, f"{folder}/tables").create()
-    load_table(spec_for("location"), x["patients"], store, SETTINGS)
-    load_table(spec_for("care_site"), x["providers"], store, SETTINGS)
-    (path,) = extracts.export_tables(store, ["", "care_site"], folder)
-    rows = extracts.read_extract(x.spark, path)
-    typed = rows.select(
-        *[coerce_column(F.col(c), schema.field(c)).alias(c) for c in rows.columns]
-    )
-    return _shown(typed, "care_site_source_value")
+    for table in EXPORTED:
+        spec = spec_for(table)
+        load_table(spec, x[spec.source], store, SETTINGS)
+    paths = extracts.export_tables(store, ["", *EXPORTED], folder)
+    total = None
+    for table, path in zip(EXPORTED, paths):
+        rows = extracts.read_extract(x.spark, path)
+        typed = rows.select(*[coerce_column(F.col(c), schema.field(c)).alias(c) for c in rows.columns])
+        for c in (c for c in schema.HIDDEN_KEYS if c in typed.columns):
+            typed = _shown(typed, c)
+        shown = [
+            F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("~"))
+            for c in _exported_columns(table)
+        ]
+        part = typed.select(F.lit(table).alias("table_name"), F.concat_ws("\x1f", *shown).alias("stored"))
+        total = part if total is None else total.unionByName(part)
+    return total
+
+
+# Delivered vocabulary tables as text: every column of every table, dates as they are delivered.
+def _delivered(table: str) -> str:
+    """The delivered text of one table, made of the given parts."""
+    columns = []
+    for i, f in enumerate(schema.VOCABULARY[table], 1):
+        kind = f.dataType.simpleString()
+        if kind == "bigint":
+            value = f"CAST(p_partkey * {i} + p_size AS STRING)"
+        elif kind == "double":
+            value = f"CAST(CAST(p_size AS DOUBLE) / {2 ** (i % 4)} AS STRING)"
+        elif kind == "date":
+            value = f"replace(CAST(DATE '19{70 + i}-01-01' + p_size AS STRING), '-', '')"
+        else:
+            value = f"p_brand || '-{i} ' || p_name"
+        columns.append(f"CASE WHEN (p_partkey + {i}) % 11 = 0 THEN NULL ELSE {value} END AS {f.name}")
+    return f"SELECT {', '.join(columns)}, p_type AS house_column FROM {{part}}"
+
+
+def _vocabulary_text(table: str) -> str:
+    shown = []
+    for f in schema.VOCABULARY[table]:
+        kind = f.dataType.simpleString()
+        value = f.name
+        if kind == "double":
+            value = f"CAST(CAST({f.name} AS DOUBLE) * 1000 AS BIGINT)"
+        elif kind == "date":
+            value = f"substr({f.name}, 1, 4) || '-' || substr({f.name}, 5, 2) || '-' || substr({f.name}, 7, 2)"
+        shown.append(f"coalesce(CAST({value} AS VARCHAR), '~')")
+    source = _delivered(table).replace("{part}", "part")
+    return f"""SELECT '{table}' AS table_name, house_column,
+        {" || chr(31) || ".join(shown)} AS stored FROM ({source})"""
 
 
 @check(
     "vocab_load",
-    """SELECT c.concept_id, c.concept_code, c.vocabulary_id, c.standard_concept,
-        r.concept_id_2, r.relationship_id
-    FROM concept c LEFT JOIN concept_relationship r ON c.concept_id = r.concept_id_1""",
+    " UNION ALL ".join(map(_vocabulary_text, schema.VOCABULARY))
+    + " UNION ALL SELECT 'house_list', p_type, p_name FROM part",
 )
 def vocab_load(x: Inputs):
+    """All vocabulary tables with all columns, further columns and a table of the house's own."""
     folder = shared_folder(x.spark)
     store = ParquetStore(x.spark, f"{folder}/data", f"{folder}/vocabulary")
-    store.create(["concept", "concept_relationship"])
+    store.create(list(schema.VOCABULARY))
+    part = x.table("part")
     files = {}
-    for name in ("concept", "concept_relationship"):
-        files[name] = f"{folder}/{name}.csv"
-        extracts.write_csv(x[name], files[name], sep="\t")
+    for table in schema.VOCABULARY:
+        files[table] = f"{folder}/{table}.csv"
+        extracts.write_csv(x.spark.sql(_delivered(table), part=part), files[table], sep="\t")
+    files["house_list"] = f"{folder}/house_list.csv"
+    own = part.select(F.col("p_type").alias("house_column"), F.col("p_name").alias("stored"))
+    extracts.write_csv(own, files["house_list"], sep="\t")
     load_vocabulary(store, files)
-    links = store.read("concept_relationship").withColumnRenamed("concept_id_1", "concept_id")
-    return store.read("concept").join(links, "concept_id", "left")
+    total = store.read("house_list").select(F.lit("house_list").alias("table_name"), "house_column", "stored")
+    for table, columns in schema.VOCABULARY.items():
+        shown = []
+        for f in columns:
+            value = F.col(f.name)
+            if f.dataType.simpleString() == "double":
+                value = (value * 1000).cast("long")
+            shown.append(F.coalesce(value.cast("string"), F.lit("~")))
+        rows = store.read(table).select(
+            F.lit(table).alias("table_name"), "house_column", F.concat_ws("\x1f", *shown).alias("stored")
+        )
+        total = total.unionByName(rows)
+    return total
+
+
+@check(
+    "stcm_roundtrip",
+    """SELECT * FROM fresh
+    UNION ALL SELECT * FROM fresh WHERE source_concept_id IS NULL OR source_code_description IS NULL
+    UNION ALL SELECT source_code, source_concept_id, source_code_description, target_concept_id, NULL
+    FROM source_to_concept_map""",
+    {"fresh": """SELECT source_code, source_concept_id, lower(source_code_description) AS source_code_description,
+        target_concept_id, note FROM (
+        SELECT *, 'note ' || source_code AS note, CAST(source_code AS BIGINT) * 7919 % 2003 AS place
+        FROM reviewed_map) r
+    WHERE NOT EXISTS (SELECT 1 FROM source_to_concept_map m
+        WHERE m.source_concept_id = r.source_concept_id
+        AND lower(m.source_code_description) = lower(r.source_code_description))
+    QUALIFY row_number() OVER (PARTITION BY source_concept_id, lower(source_code_description)
+        ORDER BY place, CAST(source_code AS BIGINT)) = 1"""},
+)
+def stcm_roundtrip(x: Inputs):
+    """A reviewed list as a file, in an order of its own, appended to stored mappings twice.
+
+    The second time nothing is new but the pairs with a null, which equal no stored one.
+    """
+    folder = shared_folder(x.spark)
+    store = ParquetStore(x.spark, f"{folder}/data").create(["source_to_concept_map"])
+    store.append("source_to_concept_map", x["source_to_concept_map"])
+    number = F.col("source_code").cast("long")
+    reviewed = x["reviewed_map"].withColumn("note", F.concat(F.lit("note "), "source_code"))
+    extracts.write_csv(reviewed.orderBy(number * 7919 % 2003, number), f"{folder}/reviewed.csv")
+    for _ in range(2):
+        append_reviewed(store, folder, "reviewed.csv")
+    return store.read("source_to_concept_map").select(
+        "source_code", "source_concept_id", "source_code_description", "target_concept_id", "note"
+    )
 
 
 @check(

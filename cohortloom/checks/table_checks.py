@@ -10,7 +10,7 @@ from cohortloom.checks import table_sql
 from cohortloom.checks.inputs import EXTRACTS, Inputs
 from cohortloom.checks.registry import SETTINGS, check
 from cohortloom.functions.keys import reveal
-from cohortloom.plans.runs import SPECS, new_rows, run_load, spec_for
+from cohortloom.plans.runs import SPECS, load_table, new_rows, run_load, spec_for
 from cohortloom.session import shared_folder
 from cohortloom.sources.tables import ParquetStore
 
@@ -27,22 +27,15 @@ def _vocabulary(x: Inputs) -> dict[str, DataFrame]:
 
 BEFORE_1997 = "coalesce(try_cast(start AS date), try_cast(stop AS date)) < '1997-01-01'"
 DIMENSIONS = ("location", "person", "care_site", "provider", "visit_occurrence")
-_LOADED: dict[tuple[str, str], ParquetStore] = {}
-
-
 def _dimensions(x: Inputs) -> ParquetStore:
-    """Vocabulary and dimension tables of the data folder, loaded once per application."""
-    place = (x.spark.sparkContext.applicationId, x.folder)
-    if place not in _LOADED:
-        store = ParquetStore(x.spark, shared_folder(x.spark))
-        store.create([*DIMENSIONS, *schema.VOCABULARY])
-        for name, rows in _vocabulary(x).items():
-            store.append(name, rows)
-        for table in DIMENSIONS:
-            spec = spec_for(table)
-            store.append(table, new_rows(spec, x[spec.source], store, SETTINGS))
-        _LOADED[place] = store
-    return _LOADED[place]
+    """A store with the vocabulary and the dimension tables of the data folder loaded."""
+    store = ParquetStore(x.spark, shared_folder(x.spark)).create()
+    for name, rows in _vocabulary(x).items():
+        store.append(name, rows)
+    for table in DIMENSIONS:
+        spec = spec_for(table)
+        store.append(table, new_rows(spec, x[spec.source], store, SETTINGS))
+    return store
 
 
 class _OneTable(ParquetStore):
@@ -153,33 +146,72 @@ def load_observation(x: Inputs):
     )
 
 
-_COUNTED = {
+# --- eras after a second load ------------------------------------------------------------
+
+
+def _two_loads(x: Inputs, target: str, source: str, earlier: str, era: str) -> DataFrame:
+    """The era table after the earlier part of an extract and then all of it were loaded."""
+    store = _dimensions(x)
+    spec = spec_for(target, source)
+    for part in (x[source].filter(earlier), x[source], x[source]):
+        load_table(spec, part, store, SETTINGS)
+    return store.read(era)
+
+
+_EARLY_CONDITIONS = "coalesce(try_cast(start AS date), try_cast(stop AS date)) < '1995-02-01'"
+
+
+@check("era_loads_condition", *table_sql.era_loads("condition", "start < '1995-02-01'", _EARLY_CONDITIONS))
+def era_loads_condition(x: Inputs):
+    return _two_loads(x, "condition_occurrence", "conditions", _EARLY_CONDITIONS, "condition_era")
+
+
+@check("era_loads_drug", *table_sql.era_loads("drug", "start < '1997-01-01'", BEFORE_1997))
+def era_loads_drug(x: Inputs):
+    return _two_loads(x, "drug_exposure", "medications", BEFORE_1997, "drug_era")
+
+
+@check("era_loads_dose", *table_sql.era_loads("dose", "start < '1997-01-01'", BEFORE_1997))
+def era_loads_dose(x: Inputs):
+    return _two_loads(x, "drug_exposure", "medications", BEFORE_1997, "dose_era")
+
+
+# --- a first load of everything ------------------------------------------------------------
+
+LOADED_PARTS = {
     "location": "t_location", "person": "t_person", "death": "t_death",
     "observation_period": "t_period", "care_site": "t_site", "provider": "t_provider",
     "visit_occurrence": "t_visit", "condition_occurrence": "t_condition",
     "visit_detail": "t_detail", "procedure_occurrence": "t_procedure",
     "drug_exposure": "t_drug", "measurement": "t_measurement",
     "observation": "t_observation", "condition_era": "x_condition_eras",
+    "drug_era": "x_drug_era", "dose_era": "x_dose_era",
 }
-_COUNTS = " UNION ALL ".join(
-    [f"SELECT '{t}' AS table_name, count(*) AS rows FROM {part}" for t, part in _COUNTED.items()]
-    + [
-        f"""SELECT '{prefix}_era', count(*) FROM (
-            SELECT {prefix}_era_id FROM x_first{mid}_eras
-            UNION SELECT {prefix}_era_id FROM x_both{mid}_eras)"""
-        for prefix, mid in (("drug", ""), ("dose", "_dose"))
-    ]
-)
 
 
-@check("load_counts", _COUNTS)
-def load_counts(x: Inputs):
-    """A first load of every extract into stored tables, then the rows of each."""
+def _first_load(x: Inputs) -> ParquetStore:
     store = ParquetStore(x.spark, shared_folder(x.spark)).create()
     for name, rows in _vocabulary(x).items():
         store.append(name, rows)
     sources = {spec.source for spec in SPECS}
     run_load({name: x[name] for name in EXTRACTS if name in sources}, store, SETTINGS)
+    return store
+
+
+_ERA_PARTS = {
+    f"x_{prefix}_era": f"""SELECT * FROM x_first{mid}_eras UNION ALL SELECT * FROM x_both{mid}_eras
+        WHERE {prefix}_era_id NOT IN (SELECT {prefix}_era_id FROM x_first{mid}_eras)"""
+    for prefix, mid in (("drug", ""), ("dose", "_dose"))
+}
+_COUNTS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {part}" for t, part in LOADED_PARTS.items()
+)
+
+
+@check("load_counts", _COUNTS, _ERA_PARTS)
+def load_counts(x: Inputs):
+    """A first load of every extract into stored tables, then the rows of each."""
+    store = _first_load(x)
     counts = [
         store.read(table).agg(F.lit(table).alias("table_name"), F.count("*").alias("rows"))
         for table in schema.LOADED
@@ -188,3 +220,50 @@ def load_counts(x: Inputs):
     for part in counts[1:]:
         total = total.unionByName(part)
     return total
+
+
+def _columns_as_text(table: str) -> list[str]:
+    """Columns whose text Spark and the checking database write alike."""
+    hidden = {"person_source_value", "care_site_source_value", "location_source_value"}
+    return [c for c in schema.LOADED[table] if c not in hidden]
+
+
+def _row_sql(table: str, part: str) -> str:
+    """One text per row; doubles are compared by a whole number of thousandths."""
+    shown = []
+    for c in _columns_as_text(table):
+        kind = schema.field(c).kind
+        value = f"CAST(round({c} * 1000) AS HUGEINT)" if kind == "float" else c
+        if kind == "datetime":
+            value = f"epoch_us({c})"
+        shown.append(f"coalesce(CAST({value} AS VARCHAR), '~')")
+    return f"SELECT '{table}' AS table_name, {' || chr(31) || '.join(shown)} AS stored FROM {part}"
+
+
+_ROWS = " UNION ALL ".join(_row_sql(t, part) for t, part in LOADED_PARTS.items())
+
+
+@check(
+    "load_contents",
+    f"SELECT table_name, stored, count(*) AS times FROM ({_ROWS}) GROUP BY ALL",
+    _ERA_PARTS,
+)
+def load_contents(x: Inputs):
+    """A first load of every extract into stored tables, then every row of each as text."""
+    store = _first_load(x)
+    total = None
+    for table in schema.LOADED:
+        shown = []
+        for c in _columns_as_text(table):
+            kind = schema.field(c).kind
+            value = F.col(c)
+            if kind == "float":
+                value = F.round(value * 1000).cast("decimal(38,0)")
+            elif kind == "datetime":
+                value = F.unix_micros(value.cast("timestamp"))
+            shown.append(F.coalesce(value.cast("string"), F.lit("~")))
+        rows = store.read(table).select(
+            F.lit(table).alias("table_name"), F.concat_ws("\x1f", *shown).alias("stored")
+        )
+        total = rows if total is None else total.unionByName(rows)
+    return total.groupBy("table_name", "stored").agg(F.count("*").alias("times"))

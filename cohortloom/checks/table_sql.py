@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from cohortloom.checks import expected
 from cohortloom.checks.sql import cases, clean, eras, first_by, lower, sid, ts
-from cohortloom.plans import entities, loads
 
 PARTS: dict[str, str] = {}
 
@@ -30,13 +30,13 @@ PARTS["repaired"] = repaired("encounters")
 # --- mapped ------------------------------------------------------------------------------
 
 PARTS["m_location"] = f"""SELECT {sid(ZIP, "location")} AS location_id, city, state AS county,
-    {_const(entities.COUNTRY_CONCEPT, "country_concept_id")},
-    '{entities.COUNTRY}' AS country_source_value, {ZIP} AS location_key FROM patients"""
+    {_const(expected.COUNTRY_CONCEPT, "country_concept_id")},
+    '{expected.COUNTRY}' AS country_source_value, {ZIP} AS location_key FROM patients"""
 
 PARTS["m_person"] = f"""SELECT {sid("id", "person")} AS person_id, {clean("id")} AS pk,
-    CAST({cases(lower("gender"), entities.GENDER, "0")} AS BIGINT) AS gender_concept_id,
-    CAST({cases(lower("race"), entities.RACE, "0")} AS BIGINT) AS race_concept_id,
-    CAST({cases(lower("ethnicity"), entities.ETHNICITY, "0")} AS BIGINT) AS ethnicity_concept_id,
+    CAST({cases(lower("gender"), expected.GENDER, "0")} AS BIGINT) AS gender_concept_id,
+    CAST({cases(lower("race"), expected.RACE, "0")} AS BIGINT) AS race_concept_id,
+    CAST({cases(lower("ethnicity"), expected.ETHNICITY, "0")} AS BIGINT) AS ethnicity_concept_id,
     b AS birth_datetime, {sid(ZIP, "location")} AS location_id,
     gender AS gender_source_value, race AS race_source_value,
     ethnicity AS ethnicity_source_value, city
@@ -59,11 +59,11 @@ PARTS["m_site"] = f"""SELECT {sid(_ORG, "care site")} AS care_site_id, {_ORG} AS
     name AS care_site_name, {ZIP} AS location_key, gender FROM providers"""
 PARTS["m_provider"] = f"""SELECT {sid("id", "provider")} AS provider_id, id, name, gender,
     speciality, {_ORG} AS site_key,
-    CAST({cases("gender", entities.PROVIDER_GENDER, "0")} AS BIGINT) AS gender_concept_id
+    CAST({cases("gender", expected.PROVIDER_GENDER, "0")} AS BIGINT) AS gender_concept_id
     FROM providers"""
 
 PARTS["v_class"] = f"""SELECT *, {clean("patient")} AS pk,
-    CAST({cases("encounterclass", entities.VISIT_CLASS, "9201")} AS BIGINT) AS visit_concept_id
+    CAST({cases("encounterclass", expected.VISIT_CLASS, "9201")} AS BIGINT) AS visit_concept_id
     FROM repaired"""
 PARTS["v_rank"] = """SELECT *, row_number() OVER (PARTITION BY pk, visit_concept_id
     ORDER BY CAST(start AS DATE), start, stop, id) AS rn FROM v_class WHERE pk IS NOT NULL"""
@@ -147,7 +147,7 @@ def death(prior: str = EMPTY) -> str:
         "died, cause",
     )
     return f"""SELECT CAST(died AS DATE) AS death_date, died AS death_datetime, person_id,
-        {_const(entities.FROM_RECORD, "death_type_concept_id")}, {_const(0, "cause_concept_id")},
+        {_const(expected.FROM_RECORD, "death_type_concept_id")}, {_const(0, "cause_concept_id")},
         cause AS cause_source_value, {_const(0, "cause_source_concept_id")} FROM ({new})"""
 
 
@@ -162,7 +162,7 @@ def observation_period(prior: str = EMPTY) -> str:
     )
     return f"""SELECT person_id, observation_period_id, s AS observation_period_start_date,
         greatest(last_day, s) AS observation_period_end_date,
-        {_const(entities.FROM_ENCOUNTERS, "period_type_concept_id")} FROM ({new})"""
+        {_const(expected.FROM_ENCOUNTERS, "period_type_concept_id")} FROM ({new})"""
 
 
 def care_site(prior: str = EMPTY) -> str:
@@ -173,7 +173,7 @@ def care_site(prior: str = EMPTY) -> str:
         "care_site_name, location_key",
     )
     return f"""SELECT care_site_id, care_site_name,
-        {_const(entities.PLACE_OF_SERVICE, "place_of_service_concept_id")},
+        {_const(expected.PLACE_OF_SERVICE, "place_of_service_concept_id")},
         site_key AS care_site_source_value, l.location_id
         FROM ({new}) s LEFT JOIN l_places l ON s.location_key = l.location_key"""
 
@@ -187,7 +187,7 @@ def provider(prior: str = EMPTY) -> str:
     )
     return f"""SELECT provider_id, gender AS gender_source_value,
         speciality AS specialty_source_value, name AS provider_name,
-        id AS provider_source_value, {_const(entities.SPECIALTY, "specialty_concept_id")},
+        id AS provider_source_value, {_const(expected.SPECIALTY, "specialty_concept_id")},
         gender_concept_id, s.care_site_id
         FROM ({new}) p LEFT JOIN l_sites s ON p.site_key = s.site_key"""
 
@@ -206,7 +206,7 @@ def visit_occurrence(prior: str = EMPTY) -> str:
     return f"""SELECT visit_occurrence_id, visit_concept_id, person_id,
         CAST(start AS DATE) AS visit_start_date, start AS visit_start_datetime,
         CAST(stop AS DATE) AS visit_end_date, stop AS visit_end_datetime,
-        {_const(entities.FROM_ENCOUNTERS, "visit_type_concept_id")},
+        {_const(expected.FROM_ENCOUNTERS, "visit_type_concept_id")},
         v.id AS visit_source_value, d.provider_id, s.care_site_id
         FROM ({new}) v LEFT JOIN l_doctors d ON v.provider = d.id
         LEFT JOIN l_sites s ON v.site_key = s.site_key"""
@@ -254,7 +254,7 @@ def _coded(
         start AS {first}_datetime, CAST(stop AS DATE) AS {stem_date}_end_date,
         stop AS {stem_date}_end_datetime, description AS {stem}_source_value,
         coalesce(o.concept_id, 0) AS {stem}_source_concept_id, visit_occurrence_id,
-        {_const(entities.FROM_RECORD, f"{stem}_type_concept_id")},
+        {_const(expected.FROM_RECORD, f"{stem}_type_concept_id")},
         coalesce(r.concept_id, 0) AS {stem}_concept_id
         FROM {_events(mapped, f"{table}_id", _ORDER, prior)}
         LEFT JOIN ({resolved_ids(codes)}) r ON e.code = r.concept_code
@@ -264,21 +264,21 @@ def _coded(
 def condition_occurrence(prior: str = EMPTY) -> str:
     return _coded(
         "condition_occurrence", "condition", "conditions", "patient", prior,
-        loads.CONDITION_CODES, loads.CONDITION_CODES,
+        expected.CONDITION_CODES, expected.CONDITION_CODES,
     )
 
 
 def procedure_occurrence(prior: str = EMPTY) -> str:
     return _coded(
         "procedure_occurrence", "procedure", "procedures", "encounter", prior,
-        loads.PROCEDURE_CODES, loads.PROCEDURE_SOURCES,
+        expected.PROCEDURE_CODES, expected.PROCEDURE_SOURCES,
     )
 
 
 def drug_exposure(prior: str = EMPTY) -> str:
     return _coded(
         "drug_exposure", "drug", "medications", "encounter", prior,
-        loads.DRUG_CODES, loads.DRUG_SOURCES,
+        expected.DRUG_CODES, expected.DRUG_SOURCES,
     )
 
 
@@ -292,18 +292,18 @@ def immunization(prior: str = EMPTY) -> str:
         CAST(given AS DATE) AS drug_exposure_end_date,
         CAST(NULL AS TIMESTAMP) AS drug_exposure_end_datetime, description AS drug_source_value,
         coalesce(o.concept_id, 0) AS drug_source_concept_id, visit_occurrence_id,
-        {_const(entities.FROM_RECORD, "drug_type_concept_id")},
+        {_const(expected.FROM_RECORD, "drug_type_concept_id")},
         coalesce(r.concept_id, 0) AS drug_concept_id
         FROM {_events(mapped, "drug_exposure_id", order, prior)}
-        LEFT JOIN ({resolved_ids(loads.DRUG_CODES)}) r ON e.code = r.concept_code
-        LEFT JOIN ({own_ids(loads.DRUG_SOURCES)}) o ON e.code = o.concept_code"""
+        LEFT JOIN ({resolved_ids(expected.DRUG_CODES)}) r ON e.code = r.concept_code
+        LEFT JOIN ({own_ids(expected.DRUG_SOURCES)}) o ON e.code = o.concept_code"""
 
 
 def visit_detail(prior: str = EMPTY) -> str:
     admitted = r"regexp_replace(coalesce(reasoncode, '0'), '\.0$', '')"
     mapped = f"""SELECT {sid("id", "visit_detail")} AS visit_detail_id, id AS encounter, start,
         stop, code, {clean("patient")} AS pk, description, provider, {_ORG} AS site_key,
-        {admitted} AS admitted, coalesce(reasondescription, '{entities.NO_REASON}') AS reason
+        {admitted} AS admitted, coalesce(reasondescription, '{expected.NO_REASON}') AS reason
         FROM repaired WHERE id IN (SELECT visit_source_value FROM l_visits)"""
     order = "start, stop, code, person_id"
     return f"""SELECT visit_detail_id, person_id,
@@ -313,13 +313,13 @@ def visit_detail(prior: str = EMPTY) -> str:
         CAST(start AS DATE) AS visit_detail_start_date, start AS visit_detail_start_datetime,
         CAST(stop AS DATE) AS visit_detail_end_date, stop AS visit_detail_end_datetime,
         visit_occurrence_id, d.provider_id,
-        {_const(entities.FROM_RECORD, "visit_detail_type_concept_id")}, s.care_site_id,
+        {_const(expected.FROM_RECORD, "visit_detail_type_concept_id")}, s.care_site_id,
         coalesce(a.concept_id, 0) AS admitted_from_concept_id,
         substr(reason, 1, 50) AS admitted_from_source_value
         FROM {_events(mapped, "visit_detail_id", order, prior)}
-        LEFT JOIN ({resolved_ids(loads.DETAIL_CODES)}) c ON e.code = c.concept_code
-        LEFT JOIN ({resolved_ids(loads.DETAIL_CODES)}) a ON e.admitted = a.concept_code
-        LEFT JOIN ({own_ids(loads.DETAIL_CODES)}) o ON e.code = o.concept_code
+        LEFT JOIN ({resolved_ids(expected.DETAIL_CODES)}) c ON e.code = c.concept_code
+        LEFT JOIN ({resolved_ids(expected.DETAIL_CODES)}) a ON e.admitted = a.concept_code
+        LEFT JOIN ({own_ids(expected.DETAIL_CODES)}) o ON e.code = o.concept_code
         LEFT JOIN l_doctors d ON e.provider = d.id LEFT JOIN l_sites s ON e.site_key = s.site_key"""
 
 
@@ -329,14 +329,14 @@ def _observed(table: str, prior: str, codes: list[str], measured: bool, own: str
         OR ({kind} NOT IN ('health indicator', 'survey', 'social-history')
             AND trim(coalesce(units, '')) <> ''))
         AND upper(trim(coalesce(code, ''))) NOT IN ('QOLS', 'QALY', 'DALY')"""
-    types = entities.MEASUREMENT_TYPE if measured else entities.OBSERVATION_TYPE
+    types = expected.MEASUREMENT_TYPE if measured else expected.OBSERVATION_TYPE
     source_type = "obser_measurement" if measured else "observation"
     mapped = f"""SELECT {sid("encounter", source_type)} AS {table}_id, *, d AS start
         FROM (SELECT {clean("patient")} AS pk, {ts("date")} AS d, code, units, description,
-            coalesce(encounter, '{entities.NO_ENCOUNTER}') AS encounter,
+            coalesce(encounter, '{expected.NO_ENCOUNTER}') AS encounter,
             coalesce(TRY_CAST(value AS DOUBLE), 0.0) AS number,
             {cases(lower("category"), types, "'0'")} AS type,
-            {cases("code", entities.QUALITY, "code")} AS concept_text
+            {cases("code", expected.QUALITY, "code")} AS concept_text
             FROM observations WHERE {"" if measured else "NOT"} ({flag}))
         WHERE d IS NOT NULL"""
     order = "start, code, number, units, type, description, encounter, person_id"
@@ -355,12 +355,12 @@ def _observed(table: str, prior: str, codes: list[str], measured: bool, own: str
 
 
 def measurement(prior: str = EMPTY) -> str:
-    codes = loads.MEASUREMENT_CODES
+    codes = expected.MEASUREMENT_CODES
     return _observed("measurement", prior, codes, True, resolved_ids(codes))
 
 
 def observation(prior: str = EMPTY) -> str:
-    codes = loads.OBSERVATION_CODES
+    codes = expected.OBSERVATION_CODES
     return _observed("observation", prior, codes, False, own_ids(codes))
 
 
@@ -397,3 +397,32 @@ for _name, _source in (("x_first", "t_medication"), ("x_both", "t_drug")):
         "drug_exposure",
         dose=True,
     )
+
+
+def era_loads(kind: str, before: str, earlier: str) -> tuple[str, dict[str, str]]:
+    """Eras after an earlier part of an extract and then all of it; superseded eras stay."""
+    if kind == "condition":
+        table, stem, extract, of = "condition_occurrence", "condition", "conditions", "patient"
+        codes = (expected.CONDITION_CODES, expected.CONDITION_CODES)
+        stems, keys = "condition", ["person_id", "condition_concept_id"]
+    else:
+        table, stem, extract, of = "drug_exposure", "drug", "medications", "encounter"
+        codes = (expected.DRUG_CODES, expected.DRUG_SOURCES)
+        stems, keys = "drug_exposure", ["person_id", "drug_concept_id"]
+    dosed = kind == "dose"
+    keys = [*keys, "unit_concept_id", "dose_value"] if dosed else keys
+    parts = {
+        "w_extract": f"SELECT * FROM {extract} WHERE {earlier}",
+        "w_first_rows": _coded(table, stem, "w_extract", of, EMPTY, *codes),
+        "w_more_rows": _coded(table, stem, extract, of, before, *codes),
+        "w_all_rows": "SELECT * FROM w_first_rows UNION ALL BY NAME SELECT * FROM w_more_rows",
+    }
+    for name, source in (("w_first", "w_first_rows"), ("w_all", "w_all_rows")):
+        if dosed:
+            parts[f"{name}_dosed"] = f"{_DOSED} FROM {source}"
+            source = f"{name}_dosed"
+        parts |= eras(name, source, keys, stems, person_end=kind != "condition", dose=dosed)
+    key = f"{kind}_era_id"
+    sql = f"""SELECT * FROM w_first_eras UNION ALL BY NAME SELECT * FROM w_all_eras
+        WHERE {key} NOT IN (SELECT {key} FROM w_first_eras)"""
+    return sql, parts

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortloom.checks import expected
 from cohortloom.checks.inputs import Inputs
 from cohortloom.checks.registry import SETTINGS, check
 from cohortloom.checks.sql import cases, lower
@@ -29,7 +30,7 @@ def concept_standard(x: Inputs):
 
 @check(
     "concept_maps_to",
-    f"""SELECT * FROM ({mapped_ids(loads.OBSERVATION_CODES)})
+    f"""SELECT * FROM ({mapped_ids(expected.OBSERVATION_CODES)})
     WHERE concept_code IN ({_CODES})""",
 )
 def concept_maps_to(x: Inputs):
@@ -51,7 +52,7 @@ def missing_codes(x: Inputs):
 @check(
     "concept_resolve",
     f"""SELECT encounter, code, coalesce(concept_id, 0) AS drug_concept_id FROM medications m
-    LEFT JOIN ({resolved_ids(loads.DRUG_CODES)}) r ON m.code = r.concept_code""",
+    LEFT JOIN ({resolved_ids(expected.DRUG_CODES)}) r ON m.code = r.concept_code""",
 )
 def concept_resolve(x: Inputs):
     drugs = x["medications"].select("encounter", "code")
@@ -67,7 +68,7 @@ def concept_resolve(x: Inputs):
 @check(
     "concept_source",
     f"""SELECT encounter, code, coalesce(concept_id, 0) AS source_concept_id FROM medications m
-    LEFT JOIN ({own_ids(loads.DRUG_SOURCES)}) r ON m.code = r.concept_code""",
+    LEFT JOIN ({own_ids(expected.DRUG_SOURCES)}) r ON m.code = r.concept_code""",
 )
 def concept_source(x: Inputs):
     drugs = x["medications"].select("encounter", "code")
@@ -123,9 +124,9 @@ def unmapped_codes(x: Inputs):
 
 
 _VISITS = f"""SELECT id AS source_value, CAST(0 AS BIGINT) AS source_id, 1 AS slot
-    FROM encounters WHERE {cases("encounterclass", entities.VISIT_CLASS, "0")} = 0
+    FROM encounters WHERE {cases("encounterclass", expected.VISIT_CLASS, "0")} = 0
     UNION ALL SELECT '', CAST(0 AS BIGINT), 2 FROM observations
-    WHERE {cases(lower("category"), entities.OBSERVATION_TYPE, "'0'")} = '0'"""
+    WHERE {cases(lower("category"), expected.OBSERVATION_TYPE, "'0'")} = '0'"""
 
 
 @check(

@@ -71,11 +71,16 @@ def pseudonym(c: Column, secret: str) -> Column:
 
 
 def reveal(c: Column, secret: str) -> Column:
-    """The key a pseudonym stands for."""
+    """The key a pseudonym stands for, null for a text that is no pseudonym.
+
+    What another secret made gives null or a text that no key has.
+    """
     key = F.lit(cipher_key(secret))
     padding = F.aes_encrypt(F.lit(b""), key, F.lit("ECB"), F.lit("PKCS"))
-    cipher = F.concat(F.unbase64(F.translate(c, "-_", "+/")), padding)
-    return F.trim(F.aes_decrypt(cipher, key, F.lit("ECB"), F.lit("PKCS")).cast("string"))
+    cipher = F.try_to_binary(F.translate(c, "-_", "+/"), F.lit("base64"))
+    blocks = F.when(F.octet_length(cipher) % 16 == 0, F.concat(cipher, padding))
+    plain = F.try_aes_decrypt(blocks, key, F.lit("ECB"), F.lit("PKCS"))
+    return F.trim(F.when(F.is_valid_utf8(plain.cast("string")), plain.cast("string")))
 
 
 def joined_key(*columns: Column) -> Column:

@@ -69,8 +69,21 @@ def whole_number_text(c: Column) -> Column:
 
 
 def float_text(c: Column) -> Column:
-    """Text of a double with whole numbers written out, e.g. 25000000.0."""
-    whole = (F.abs(c) < 1e16) & (F.abs(c) >= 1e7) & (F.floor(c) == c)
-    return F.when(whole, F.concat(c.cast("long").cast("string"), F.lit(".0"))).otherwise(
-        c.cast("string")
+    """Text of a double: plain decimals from 1e-4 to below 1e16, else an exponent of two digits.
+
+    25000000.0, 0.0005, 1e-05 and 1e+16 are written so.
+    """
+    text = c.cast("string")
+    decimal = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", "")
+    plain = F.when(decimal.endswith("."), F.concat(decimal, F.lit("0"))).otherwise(decimal)
+    digits = F.regexp_replace(F.regexp_extract(text, "^(-?[0-9.]+)E", 1), r"\.0$", "")
+    power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
+    size = F.abs(power).cast("string")
+    sign = F.when(power < 0, "-").otherwise("+")
+    two = F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size)
+    scientific = F.concat(digits, F.lit("e"), sign, two)
+    inside = (F.abs(c) >= 1e-4) & (F.abs(c) < 1e16)
+    special = F.when(F.isnan(c), "nan").when(text == "Infinity", "inf").when(text == "-Infinity", "-inf")
+    return F.coalesce(
+        special, F.when(~text.contains("E"), text).when(inside, plain).otherwise(scientific)
     )

@@ -17,6 +17,7 @@ from cohortloom.functions.keys import joined_key, surrogate_id
 from cohortloom.functions.parse import to_float
 from cohortloom.functions.text import column_or_null, first_present, float_text
 from cohortloom.operators.joins import keep_first, renewed
+from cohortloom.session import staged
 
 DAY_SECONDS = 86400
 
@@ -50,12 +51,26 @@ def fill_from_group(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     return df.filter(complete).unionByName(filled)
 
 
+def _rows_of(df: DataFrame) -> Column:
+    """How many rows a group has, where ``_n`` says what each row stands for."""
+    return F.sum("_n") if "_n" in df.columns else F.count("*")
+
+
+def distinct_spans(df: DataFrame) -> DataFrame:
+    """Distinct rows with their number ``_n``, staged.
+
+    Every fill is a function of the distinct rows, so the facts are read once however often
+    the fills look at them.
+    """
+    return staged(df.groupBy(*df.columns).agg(F.count("*").alias("_n")))
+
+
 def median_day(df: DataFrame, day: str) -> DataFrame:
     """Median of a date column as one row, cut to a whole day.
 
     Counted per day first: the exact median is then taken over the calendar.
     """
-    counts = df.filter(F.col(day).isNotNull()).groupBy(day).agg(F.count("*").alias("_n"))
+    counts = df.filter(F.col(day).isNotNull()).groupBy(day).agg(_rows_of(df).alias("_n"))
     middle = F.percentile(F.unix_date(F.col(day)), F.lit(0.5), F.col("_n"))
     return counts.agg(F.date_from_unix_date(F.floor(middle).cast("int")).alias("median_day"))
 
@@ -79,7 +94,8 @@ def fill_era_dates(
     gaps = df.filter(~complete).join(group_bounds(df, person, start, end), person, "left")
     known = F.coalesce(F.col(start), F.col("_first"), F.date_sub(F.col(end), days))
     gaps = gaps.withColumns({"_late": F.col(start).isNull().cast("int"), start: known})
-    median = median_day(whole.select(start).unionByName(gaps.select(start)), start)
+    counted = [start, *(["_n"] if "_n" in df.columns else [])]
+    median = median_day(whole.select(*counted).unionByName(gaps.select(*counted)), start)
     begin = F.coalesce(F.col(start), median.scalar())
     gaps = gaps.withColumn(start, begin)
     last = [F.col("_last")] if end_from_person else []
@@ -146,19 +162,22 @@ def _day_slices(
 
     Rows that start on one day cannot open an era after each other, so one row with the
     latest end stands for them. The exception are ends more than ``window`` days before
-    their start, which close an era each; they stay apart. Of equal ones three are enough:
-    every further copy would repeat the era of the middle one.
+    their start, which close an era each; they stay apart. Of ``n`` equal ones the first and
+    the last may share an era with a neighbour; those between them, which all give the same
+    era, are one row that counts ``_times``.
     """
     closing = F.when(F.datediff(F.col(start), F.col(end)) > window, F.col(end))
     slices = (
         df.filter(_has_all(keys))
         .groupBy(*keys, "_late", start, closing.alias("_closing"))
-        .agg(F.max(end).alias(end), F.count("*").alias("_copies"))
-    )
-    copies = F.when(F.col("_closing").isNull(), F.lit(1)).otherwise(
-        F.least(F.col("_copies"), F.lit(3)).cast("int")
+        .agg(F.max(end).alias(end), _rows_of(df).alias("_copies"))
     )
-    return slices.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    last = F.when(F.col("_copies") > 1, F.struct(F.lit(3).alias("copy"), F.lit(1).cast("long").alias("times")))
+    between = F.when(F.col("_copies") > 2, F.struct(F.lit(2).alias("copy"), (F.col("_copies") - 2).alias("times")))
+    first = F.struct(F.lit(1).alias("copy"), F.lit(1).cast("long").alias("times"))
+    copies = F.when(F.col("_closing").isNull(), F.array(first)).otherwise(F.array_compact(F.array(first, between, last)))
+    rows = slices.withColumn("_part", F.explode(copies))
+    return rows.withColumns({"_copy": F.col("_part.copy"), "_times": F.col("_part.times")}).drop("_part")
 
 
 def collapse_eras(
@@ -174,7 +193,8 @@ def collapse_eras(
     Ordered by start (rows that came without one last), a row opens an era when it starts
     more than ``window`` days after the end of the row before. The era runs from its first
     row's start to its last row's end. With ``running_max`` the latest end so far counts
-    instead of the end of the row before.
+    instead of the end of the row before. There is one era for each row that opens one; where
+    ``df`` has a column ``_n``, a row stands for so many equal ones.
     """
     if window < 0:
         raise ValueError("window must not be negative")
@@ -192,11 +212,9 @@ def collapse_eras(
     closes = F.col("_after").isNull() | (F.col("_after") > window)
     edges = rows.withColumns({"_opens": opens, "_closes": closes}).filter("_opens OR _closes")
     ends = F.when(F.col("_closes"), F.col(end)).otherwise(F.lead(end).over(order))
-    return (
-        edges.withColumn("era_end", ends)
-        .filter("_opens")
-        .select(*keys, F.col(start).alias("era_start"), "era_end")
-    )
+    opened = edges.withColumn("era_end", ends).filter("_opens")
+    opened = opened.select(*keys, F.col(start).alias("era_start"), "era_end", "_times")
+    return opened.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).drop("_time", "_times")
 
 
 def _with_era_id(eras: DataFrame, name: str, parts: Sequence[Column]) -> DataFrame:
@@ -231,7 +249,7 @@ def condition_eras(
     start, end = "condition_start_date", "condition_end_date"
     facts = conditions.select(*keys, start, column_or_null(conditions, end, "date").alias(end))
     if fill:
-        facts = fill_era_dates(facts, "person_id", start, end, end_from_person=False)
+        facts = fill_era_dates(distinct_spans(facts), "person_id", start, end, end_from_person=False)
     eras = collapse_eras(facts, keys, start, end, window, running_max)
     return _finish(eras, "condition", keys, [F.col(k) for k in keys])
 
@@ -244,7 +262,7 @@ def drug_eras(
     start, end = "drug_exposure_start_date", "drug_exposure_end_date"
     facts = exposures.select(*keys, start, end)
     if fill:
-        facts = fill_era_dates(facts, "person_id", start, end)
+        facts = fill_era_dates(distinct_spans(facts), "person_id", start, end)
     eras = collapse_eras(facts, keys, start, end, window, running_max)
     return _finish(eras, "drug", keys, [F.col(k) for k in keys])
 
@@ -269,7 +287,7 @@ def dose_eras(
     dose = [c.alias(name) for name, c in dose_columns(exposures).items()]
     facts = exposures.select("person_id", "drug_concept_id", start, end, *dose)
     if fill:
-        facts = fill_era_dates(facts, "person_id", start, end)
+        facts = fill_era_dates(distinct_spans(facts), "person_id", start, end)
     eras = collapse_eras(facts, keys, start, end, window, running_max)
     parts = [float_text(F.col(k)) if k == "dose_value" else F.col(k) for k in keys]
     return _finish(eras, "dose", keys, parts)

@@ -16,6 +16,7 @@ from cohortloom.functions.text import (
     alnum,
     column_or_null,
     first_present,
+    float_text,
     lookup,
     lookup_or,
     lookup_or_keep,
@@ -377,7 +378,7 @@ def _observed(
         F.col("code").alias(f"{stem}_source_concept_id"),
         lookup_or_keep(F.col("code"), QUALITY).alias(f"{stem}_concept_id"),
         value.alias("value_as_number"),
-        value.cast("string").alias("value_source_value"),
+        float_text(value).alias("value_source_value"),
         F.col("encounter").alias("visit_source_value"),
         F.col("units").alias("unit_source_value"),
         *_kept(observations),

@@ -42,6 +42,8 @@ DETAIL_CODES = ["SNOMED"]
 MEASUREMENT_CODES = ["SNOMED", "LOINC"]
 OBSERVATION_CODES = ["LOINC", "SNOMED", "MeSH"]
 
+UNREADABLE = "\x00"
+
 
 def _stored(df: DataFrame, table: str) -> DataFrame:
     """Columns of the stored table, source values cut to their length."""
@@ -63,12 +65,13 @@ def _order(df: DataFrame, columns: Sequence[str]) -> list[str]:
 def _dimension(tables: Tables, table: str, settings: Settings, *columns: str) -> DataFrame:
     """Columns of a stored table with its pseudonyms deciphered.
 
-    A null key matches nothing and is left out. The plain key is marked as never null, or
-    the join would test it for null first and so decipher it twice.
+    A null key matches nothing and is left out. A key that this engine did not write becomes
+    UNREADABLE, which no cleaned key equals; so the plain key is never null either, else the
+    join would test it for null first and decipher it twice.
     """
     hidden = [c for c in schema.HIDDEN_KEYS if c in columns]
     rows = tables.read(table, columns).dropna(subset=hidden)
-    plain = {c: F.coalesce(reveal(F.col(c), settings.secret), F.lit("")) for c in hidden}
+    plain = {c: F.coalesce(reveal(F.col(c), settings.secret), F.lit(UNREADABLE)) for c in hidden}
     return rows.withColumns(plain)
 
 
@@ -297,13 +300,41 @@ def observation(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFr
     )
 
 
-def condition_era(tables: Tables, settings: Settings) -> DataFrame:
-    return condition_eras(tables.read("condition_occurrence"), settings.condition_window)
+def _facts_of(
+    tables: Tables, table: str, start: str, end: str, persons: DataFrame | None
+) -> DataFrame:
+    """Facts of the given persons, or all of them.
+
+    Eras depend on the facts of their person, except where none of these has a start and one
+    has no date at all: that one takes the median of all starts, so all facts are needed.
+    """
+    facts = tables.read(table)
+    if persons is None:
+        return facts
+    dateless = facts.filter(F.col(start).isNull() & F.col(end).isNull()).select("person_id").distinct()
+    if not dateless.isEmpty():
+        with_start = facts.filter(F.col(start).isNotNull()).select("person_id")
+        if not dateless.dropna().join(with_start, "person_id", "left_anti").isEmpty():
+            return facts
+    return facts.join(persons, "person_id", "left_semi")
+
+
+def condition_era(
+    tables: Tables, settings: Settings, persons: DataFrame | None = None
+) -> DataFrame:
+    dates = ("condition_start_date", "condition_end_date")
+    facts = _facts_of(tables, "condition_occurrence", *dates, persons)
+    return condition_eras(facts, settings.condition_window)
+
+
+def _exposures(tables: Tables, persons: DataFrame | None) -> DataFrame:
+    dates = ("drug_exposure_start_date", "drug_exposure_end_date")
+    return _facts_of(tables, "drug_exposure", *dates, persons)
 
 
-def drug_era(tables: Tables, settings: Settings) -> DataFrame:
-    return drug_eras(tables.read("drug_exposure"), settings.drug_window)
+def drug_era(tables: Tables, settings: Settings, persons: DataFrame | None = None) -> DataFrame:
+    return drug_eras(_exposures(tables, persons), settings.drug_window)
 
 
-def dose_era(tables: Tables, settings: Settings) -> DataFrame:
-    return dose_eras(tables.read("drug_exposure"), settings.dose_window)
+def dose_era(tables: Tables, settings: Settings, persons: DataFrame | None = None) -> DataFrame:
+    return dose_eras(_exposures(tables, persons), settings.dose_window)

@@ -9,17 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom import schema
-from cohortloom.functions.keys import pseudonym
+from cohortloom.functions.keys import id_collisions, pseudonym
 from cohortloom.functions.parse import coerce, project
 from cohortloom.operators.joins import only_new
+from cohortloom.operators.worklist import new_mappings
 from cohortloom.plans import entities, loads
 from cohortloom.plans.settings import Settings
-from cohortloom.sources.extracts import INPUT_ORDER, read_extract
-from cohortloom.sources.tables import ParquetStore, Tables
+from cohortloom.session import scratch
+from cohortloom.sources.extracts import INPUT_ORDER, read_extract, read_reviewed
+from cohortloom.sources.tables import ParquetStore, Tables, conform_vocabulary
 
 MapStage = Callable[[DataFrame, Settings], DataFrame]
 LoadStage = Callable[[DataFrame, Tables, Settings], DataFrame]
-EraStage = Callable[[Tables, Settings], DataFrame]
+EraStage = Callable[[Tables, Settings, DataFrame | None], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -87,11 +89,6 @@ def spec_for(target: str, source: str | None = None) -> TableSpec:
     return next(s for s in SPECS if s.target == target and source in (None, s.source))
 
 
-def _fields(spec: TableSpec, extract: DataFrame, settings: Settings) -> DataFrame:
-    fields = spec.fields or schema.MAPPED[spec.target]
-    return project(spec.map_stage(extract, settings), fields, keep=(INPUT_ORDER,))
-
-
 def _hide_keys(df: DataFrame, settings: Settings) -> DataFrame:
     keys = [c for c in schema.HIDDEN_KEYS if c in df.columns]
     return df.withColumns({c: pseudonym(F.col(c), settings.secret) for c in keys})
@@ -126,10 +123,27 @@ def new_rows(
     return _hide_keys(spec.load_stage(plain, tables, settings), settings)
 
 
-def new_eras(table: str, tables: Tables, settings: Settings) -> DataFrame:
-    """Eras of the stored facts the era table does not hold yet."""
+def new_eras(
+    table: str, tables: Tables, settings: Settings, persons: DataFrame | None = None
+) -> DataFrame:
+    """Eras of the stored facts, of some ``persons`` or all, the era table does not hold yet."""
     key = f"{table}_id"
-    return only_new(ERAS[table](tables, settings), tables.read(table, [key]), key)
+    return only_new(ERAS[table](tables, settings, persons), tables.read(table, [key]), key)
+
+
+def update_eras(table: str, store: ParquetStore, settings: Settings) -> None:
+    """Bring an era table up to date with the facts stored since the last time.
+
+    Only the persons that got facts are looked at; without any nothing is computed.
+    """
+    if settings.rebuild_eras:
+        store.replace(table, ERAS[table](store, settings, None))
+    else:
+        persons = store.pending(table)
+        if persons.isEmpty():
+            return
+        store.append(table, new_eras(table, store, settings, persons))
+    store.clear_pending(table)
 
 
 def load_table(
@@ -138,14 +152,19 @@ def load_table(
     """Append the new rows of one extract, then bring its era tables up to date.
 
     Each append is one write of its own. A run that fails half-way can simply be repeated:
-    what it has written already is no longer new.
+    what it has written already is no longer new, and the persons whose eras are due are
+    noted before their facts are stored. What was staged meanwhile is removed.
     """
-    store.append(spec.target, new_rows(spec, extract, store, settings))
-    for era in spec.eras:
-        if settings.rebuild_eras:
-            store.replace(era, ERAS[era](store, settings))
-        else:
-            store.append(era, new_eras(era, store, settings))
+    with scratch(store.spark):
+        rows = new_rows(spec, extract, store, settings)
+        if spec.eras:
+            rows = store.stage(rows)
+            persons = rows.select("person_id").distinct()
+            for era in spec.eras:
+                store.note_pending(era, persons)
+        store.append(spec.target, rows)
+        for era in spec.eras:
+            update_eras(era, store, settings)
 
 
 def run_load(
@@ -161,11 +180,43 @@ def run_load(
 
 
 def read_extracts(
-    spark: SparkSession, folder: str, specs: Sequence[TableSpec] = SPECS
+    spark: SparkSession,
+    folder: str,
+    specs: Sequence[TableSpec] = SPECS,
+    files: Mapping[str, str] | None = None,
+    sep: str = ",",
+    multi_line: bool = False,
 ) -> dict[str, DataFrame]:
-    """``<folder>/<source>.csv`` of every spec, with the input order for ``keep_first``."""
-    sources = dict.fromkeys(spec.source for spec in specs)
+    """The extract of every spec, with the input order for ``keep_first``.
+
+    An extract is ``<source>.csv`` unless ``files`` names its file; with ``files`` only the
+    sources named there are read.
+    """
+    names = files or {spec.source: f"{spec.source}.csv" for spec in specs}
     return {
-        name: read_extract(spark, f"{folder.rstrip('/')}/{name}.csv", input_order=True)
-        for name in sources
+        source: read_extract(
+            spark, f"{folder.rstrip('/')}/{name}", sep=sep, multi_line=multi_line, input_order=True
+        )
+        for source, name in names.items()
     }
+
+
+def append_reviewed(
+    store: ParquetStore, folder: str, file_name: str, sep: str = ","
+) -> None:
+    """Store the mappings of a reviewed list that are not stored yet, all its columns with them.
+
+    Of rows with the same source concept and description the first in the file counts.
+    """
+    reviewed = read_reviewed(store.spark, folder, file_name, sep=sep, input_order=True)
+    stored = store.read("source_to_concept_map")
+    rows = new_mappings(reviewed, stored, [INPUT_ORDER])
+    store.append("source_to_concept_map", conform_vocabulary(rows.drop(INPUT_ORDER), "source_to_concept_map"))
+
+
+def colliding_ids(
+    spec: TableSpec, extract: DataFrame, id_column: str, source_column: str, settings: Settings
+) -> DataFrame:
+    """Surrogate ids of an extract that stand for several source values: what keep-first drops."""
+    mapped = spec.map_stage(extract, settings)
+    return id_collisions(mapped, id_column, source_column)

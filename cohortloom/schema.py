@@ -193,28 +193,58 @@ LOADED: dict[str, tuple[str, ...]] = {table: _loaded(table) for table in MAPPED}
 }
 
 
-def _struct(**columns: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+def _struct(*columns: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns])
 
 
-# Vocabulary tables, kept apart from the data tables.
+_ID, _TEXT, _DAY, _REAL = T.LongType(), T.StringType(), T.DateType(), T.DoubleType()
+_VALID = (("valid_start_date", _DAY), ("valid_end_date", _DAY), ("invalid_reason", _TEXT))
+# Dates in delivered vocabulary files besides the ISO form.
+VOCABULARY_DATES = ("yyyyMMdd",)
+
+# The vocabulary tables of the common data model, kept apart from the data tables.
 VOCABULARY: dict[str, T.StructType] = {
     "concept": _struct(
-        concept_id=T.LongType(),
-        concept_code=T.StringType(),
-        vocabulary_id=T.StringType(),
-        standard_concept=T.StringType(),
+        ("concept_id", _ID), ("concept_name", _TEXT), ("domain_id", _TEXT),
+        ("vocabulary_id", _TEXT), ("concept_class_id", _TEXT), ("standard_concept", _TEXT),
+        ("concept_code", _TEXT), *_VALID,
+    ),
+    "vocabulary": _struct(
+        ("vocabulary_id", _TEXT), ("vocabulary_name", _TEXT), ("vocabulary_reference", _TEXT),
+        ("vocabulary_version", _TEXT), ("vocabulary_concept_id", _ID),
+    ),
+    "domain": _struct(("domain_id", _TEXT), ("domain_name", _TEXT), ("domain_concept_id", _ID)),
+    "concept_class": _struct(
+        ("concept_class_id", _TEXT), ("concept_class_name", _TEXT),
+        ("concept_class_concept_id", _ID),
+    ),
+    "relationship": _struct(
+        ("relationship_id", _TEXT), ("relationship_name", _TEXT), ("is_hierarchical", _TEXT),
+        ("defines_ancestry", _TEXT), ("reverse_relationship_id", _TEXT),
+        ("relationship_concept_id", _ID),
     ),
     "concept_relationship": _struct(
-        concept_id_1=T.LongType(), concept_id_2=T.LongType(), relationship_id=T.StringType()
+        ("concept_id_1", _ID), ("concept_id_2", _ID), ("relationship_id", _TEXT), *_VALID
+    ),
+    "concept_synonym": _struct(
+        ("concept_id", _ID), ("concept_synonym_name", _TEXT), ("language_concept_id", _ID)
+    ),
+    "concept_ancestor": _struct(
+        ("ancestor_concept_id", _ID), ("descendant_concept_id", _ID),
+        ("min_levels_of_separation", _ID), ("max_levels_of_separation", _ID),
+    ),
+    "drug_strength": _struct(
+        ("drug_concept_id", _ID), ("ingredient_concept_id", _ID), ("amount_value", _REAL),
+        ("amount_unit_concept_id", _ID), ("numerator_value", _REAL),
+        ("numerator_unit_concept_id", _ID), ("denominator_value", _REAL),
+        ("denominator_unit_concept_id", _ID), ("box_size", _ID), *_VALID,
     ),
     "source_to_concept_map": _struct(
-        source_code=T.StringType(),
-        source_concept_id=T.LongType(),
-        source_code_description=T.StringType(),
-        target_concept_id=T.LongType(),
+        ("source_code", _TEXT), ("source_concept_id", _ID), ("source_vocabulary_id", _TEXT),
+        ("source_code_description", _TEXT), ("target_concept_id", _ID),
+        ("target_vocabulary_id", _TEXT), *_VALID,
     ),
-}
+}
 
 SPARK_TYPES: dict[str, T.DataType] = {
     "int": T.LongType(),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import contextlib
+import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes the shuffles, turns a join into a broadcast only after the
 # small side has been measured, and splits a hot join key over several tasks.
@@ -26,8 +28,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
-    """Session for tests and the bench; a cluster brings its own."""
+def local_session(
+    cpus: int | str = "*", partitions: int = 8, memory: str = "12g", shared: str | None = None
+) -> SparkSession:
+    """Session for tests and the bench; a cluster brings its own. ``shared`` is its shared folder."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("cohortloom")
@@ -38,6 +42,8 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "12g
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for name, value in ADAPTIVE.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
@@ -45,17 +51,58 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "12g
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a folder of its own: on a
-    cluster the executors could not see it.
+    Only a local session without that setting gets one folder of its own: on a cluster the
+    executors could not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = os.environ.get("COHORTLOOM_SCRATCH") or tempfile.mkdtemp(prefix="cohortloom-")
-    return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _own_root(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _own_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"cohortloom-{application}-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder below the shared one."""
+    path = f"{shared_root(spark)}/run-{uuid.uuid4().hex}"
+    for folders in _SCRATCHES:
+        folders.append(path)
+    return path
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a result once to the shared folder and go on from there.
+
+    It is computed once, survives the loss of executors, and the planner knows its size.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SCRATCHES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the shared folders taken inside, so nothing that is read later may lie there."""
+    folders: list[str] = []
+    _SCRATCHES.append(folders)
+    try:
+        yield
+    finally:
+        _SCRATCHES.remove(folders)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

@@ -28,17 +28,42 @@ def read_extract(
 ) -> DataFrame:
     """CSV with header as text columns, names in lower case, missing-value texts as null.
 
-    Nothing is inferred, so the file is read once, split by split; a missing path fails.
-    ``input_order`` adds the position of the row: file, split, row within the split.
+    Columns go by name: files whose headers differ are read apart and a column that a file lacks
+    is null there. Nothing is inferred, so the rows are read once, split by split; a missing path
+    and a row that does not fit its header fail. ``multi_line`` takes line breaks inside quotes,
+    but a file is then one split. ``input_order`` adds the position of the row: file, split, row.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    options = {
+        "header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multi_line,
+        "mode": "FAILFAST", "columnPruning": False,
+    }
+    reader = spark.read.options(**options)
+    files = reader.csv(path).inputFiles()
+    groups: dict[str, list[str]] = {}
+    for file in files if len(files) > 1 else []:
+        groups.setdefault(_first_line(spark, file), []).append(file)
+    parts = [reader.csv(x) for x in groups.values()] if len(groups) > 1 else [reader.csv(path)]
+    rows = _text_columns(parts[0], input_order)
+    for part in parts[1:]:
+        rows = rows.unionByName(_text_columns(part, input_order), allowMissingColumns=True)
+    if input_order and len(parts) > 1:
+        rows = rows.select(*[c for c in rows.columns if c != INPUT_ORDER], INPUT_ORDER)
+    return rows
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    """The header of a file, read through the file system that Spark reads it with."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return line or ""
+
+
+def _text_columns(raw: DataFrame, input_order: bool) -> DataFrame:
     columns = [
         F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c.lower())
         for c in raw.columns
@@ -53,16 +78,6 @@ def read_extract(
     return raw.select(*columns)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a scan that comes in fewer splits than there are cores.
-
-    Meant for a mid-size file with a single row group, whose map stage would otherwise run
-    in one task. Large inputs have more splits than cores and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def export_tables(store, tables: Iterable[str], folder: str) -> list[str]:
     """Write each table as ``<folder>/<table>.csv`` with header; empty names are skipped.
 
@@ -99,8 +114,11 @@ def write_worklist(report: DataFrame, folder: str, file_name: str) -> str:
     return path
 
 
-def read_reviewed(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
+def read_reviewed(
+    spark: SparkSession, folder: str, file_name: str, sep: str = ",", input_order: bool = False
+) -> DataFrame:
     """Reviewed mapping list, ids as numbers."""
-    rows = read_extract(spark, f"{folder.rstrip('/')}/{file_name}")
+    path = f"{folder.rstrip('/')}/{file_name}"
+    rows = read_extract(spark, path, sep=sep, multi_line=True, input_order=input_order)
     ids = [c for c in rows.columns if c.endswith("concept_id")]
     return rows.withColumns({c: F.col(c).try_cast("double").cast("long") for c in ids})

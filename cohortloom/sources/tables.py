@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cohortloom import schema
 from cohortloom.functions.parse import to_day, to_float, to_int
-from cohortloom.session import shared_folder
+from cohortloom.session import staged
 from cohortloom.sources.extracts import read_extract
 
 CONCEPT_TABLES = tuple(schema.VOCABULARY)
@@ -49,7 +49,7 @@ class ParquetStore(Tables):
         self._vocabulary = (vocabulary_root or root).rstrip("/")
 
     def path(self, table: str) -> str:
-        base = self._vocabulary if table in CONCEPT_TABLES else self._root
+        base = self._root if table in schema.LOADED else self._vocabulary
         return f"{base}/{table}"
 
     def create(self, tables: Iterable[str] | None = None) -> ParquetStore:
@@ -68,22 +68,43 @@ class ParquetStore(Tables):
             self.spark.sql(schema.create_statement(table, database, self.path(table)))
 
     def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-        df = self.spark.read.schema(schema.table_schema(table)).parquet(self.path(table))
+        """A data table in its registry's columns, a vocabulary table in all that were stored."""
+        if table in schema.LOADED:
+            df = self.spark.read.schema(schema.table_schema(table)).parquet(self.path(table))
+        else:
+            df = self.spark.read.option("mergeSchema", True).parquet(self.path(table))
         return df.select(*columns) if columns else df
 
     def stage(self, df: DataFrame) -> DataFrame:
-        """Write a result to the shared scratch folder and go on from there.
+        """Write a result to the shared scratch folder and go on from there."""
+        return staged(df)
 
-        It is computed once, survives the loss of executors, and has a known size.
+    def append(self, table: str, rows: DataFrame) -> None:
+        """Append in table order; adaptive execution sizes the files, no shuffle is added.
+
+        A vocabulary table takes further columns, too, and null for those that are missing.
         """
-        path = shared_folder(self.spark)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        if table in schema.LOADED:
+            rows = rows.select(*[f.name for f in schema.table_schema(table)])
+        else:
+            rows = conform_vocabulary(rows, table)
+        rows.write.mode("append").parquet(self.path(table))
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Append in table order; adaptive execution sizes the files, no shuffle is added."""
-        ordered = rows.select(*[f.name for f in schema.table_schema(table)])
-        ordered.write.mode("append").parquet(self.path(table))
+    def _pending(self, table: str) -> str:
+        return f"{self._root}/{table}-pending"
+
+    def note_pending(self, table: str, persons: DataFrame) -> None:
+        """Note persons whose rows of a derived table are due."""
+        persons.select("person_id").write.mode("append").parquet(self._pending(table))
+
+    def pending(self, table: str) -> DataFrame:
+        """The noted persons, each once."""
+        noted = self.spark.read.schema("person_id long").parquet(self._pending(table))
+        return noted.dropna().distinct()
+
+    def clear_pending(self, table: str) -> None:
+        none = self.spark.createDataFrame([], "person_id long")
+        none.write.mode("overwrite").parquet(self._pending(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Overwrite a table that the rows were not read from."""
@@ -99,23 +120,39 @@ def append_jdbc(
     rows.write.jdbc(url, table, mode="append", properties=options)
 
 
-def load_vocabulary(store: ParquetStore, files: Mapping[str, str], sep: str = "\t") -> None:
-    """Load vocabulary CSVs, given as table -> path, into the vocabulary tables."""
+def load_vocabulary(
+    store: ParquetStore, files: Mapping[str, str], sep: str = "\t", multi_line: bool = False
+) -> None:
+    """Load vocabulary CSVs, given as table -> path, into the vocabulary tables.
+
+    A table outside the registry is stored as text.
+    """
     for table, path in files.items():
-        rows = read_extract(store.spark, path, sep=sep)
-        store.append(table, conform_vocabulary(rows, table))
+        store.append(table, read_extract(store.spark, path, sep=sep, multi_line=multi_line))
 
 
 def conform_vocabulary(rows: DataFrame, table: str) -> DataFrame:
-    """Vocabulary text columns in the stored types."""
-    return rows.select(
-        *[
-            (to_int(F.col(f.name)) if isinstance(f.dataType, T.LongType) else F.col(f.name)).alias(
-                f.name
-            )
-            for f in schema.VOCABULARY[table]
-        ]
-    )
+    """Vocabulary columns in the stored types, missing ones null, further ones as they are."""
+    known = schema.VOCABULARY.get(table, T.StructType())
+    names = {f.name for f in known}
+    kinds = dict(rows.dtypes)
+
+    def shaped(field: T.StructField):
+        if field.name not in kinds:
+            value = F.lit(None)
+        elif kinds[field.name] == field.dataType.simpleString():
+            return F.col(field.name)
+        elif isinstance(field.dataType, T.LongType):
+            value = to_int(F.col(field.name))
+        elif isinstance(field.dataType, T.DoubleType):
+            value = to_float(F.col(field.name))
+        elif isinstance(field.dataType, T.DateType):
+            value = to_day(F.col(field.name), schema.VOCABULARY_DATES)
+        else:
+            value = F.col(field.name)
+        return value.cast(field.dataType).alias(field.name)
+
+    return rows.select(*map(shaped, known), *[c for c in rows.columns if c not in names])
 
 
 def conform_to(

@@ -97,3 +97,11 @@ def test_text_helpers(spark):
     assert one(spark, None, text.whole_number_text) == "0"
     assert one(spark, 25000000.0, text.float_text, "double") == "25000000.0"
     assert one(spark, 5.0, text.float_text, "double") == "5.0"
+
+
+@pytest.mark.parametrize("value", [
+    0.0, -0.0, 5.0, 0.0005, 0.0001, 0.00001, 1.5e-7, 12345678.5, 25000000.0, 1e15, 9999999999999998.0,
+    1e16, 1.25e20, 1e300, -0.00025, -3e7, 0.1, 1234.5678, float("nan"), float("inf"), float("-inf"),
+])
+def test_float_text_is_that_of_python(spark, value):
+    assert one(spark, value, text.float_text, "double") == repr(value)

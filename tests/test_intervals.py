@@ -214,3 +214,34 @@ def test_fill_from_group(spark):
 def test_median_is_cut_to_a_day(spark):
     df = spark.createDataFrame([(day(0),), (day(3),), (None,)], "s date")
     assert intervals.median_day(df, "s").first().median_day == day(1)
+
+
+@pytest.mark.parametrize("copies", [1, 2, 3, 4, 50])
+@pytest.mark.parametrize("counted", [False, True])
+def test_equal_closing_rows_give_an_era_each(spark, copies, counted):
+    """One era per row that opens one, also where equal rows come as a number."""
+    closing = (1, 1, day(100), day(20))
+    others = [(1, 1, day(0), day(10)), (1, 1, day(101), day(120))]
+    data = facts(spark, others + [closing] * copies)
+    if counted:
+        data = intervals.distinct_spans(data)
+    names = ["drug_exposure_start_date", "drug_exposure_end_date"]
+    out = intervals.collapse_eras(data, ["person_id", "drug_concept_id"], *names, window=30).collect()
+    found, begin, before = [], None, None
+    for _, _, start, end in sorted(others + [closing] * copies, key=lambda r: r[2:]):
+        if before is None or (start - before).days > 30:
+            if before is not None:
+                found.append((begin, before))
+            begin = start
+        before = end
+    found.append((begin, before))
+    assert sorted((r.era_start, r.era_end) for r in out) == sorted(found)
+
+
+def test_fills_read_the_facts_once(spark, tmp_path):
+    """What the plan reads is the staged table of distinct spans, not the facts."""
+    path = str(tmp_path / "facts")
+    facts(spark, [(1, 1, day(i % 9), None if i % 3 else day(i % 9 + 2)) for i in range(90)]).write.parquet(path)
+    out = intervals.drug_eras(spark.read.parquet(path))
+    assert not any(path in f for f in out.inputFiles())
+    assert out.count() > 0

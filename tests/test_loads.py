@@ -70,8 +70,10 @@ def loaded(spark, settings, extracts, tmp_path_factory):
     store = ParquetStore(
         spark, str(tmp_path_factory.mktemp("tables")), str(tmp_path_factory.mktemp("vocabulary"))
     ).create()
-    for name, rows in (("concept", CONCEPTS), ("concept_relationship", LINKS)):
-        store.append(name, spark.createDataFrame(rows, schema.VOCABULARY[name]))
+    concept = "concept_id long, concept_code string, vocabulary_id string, standard_concept string"
+    store.append("concept", spark.createDataFrame(CONCEPTS, concept))
+    link = "concept_id_1 long, concept_id_2 long, relationship_id string"
+    store.append("concept_relationship", spark.createDataFrame(LINKS, link))
     run_load(extracts, store, settings)
     return store
 
@@ -221,3 +223,41 @@ def test_settings_from_environment(monkeypatch):
 def test_missing_extract_fails(spark):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_extract(spark, "/tmp/no/such/extract.csv")
+
+
+def test_unchanged_extracts_compute_no_eras(loaded, extracts, settings, monkeypatch):
+    def fail(*_):
+        raise AssertionError("eras were computed")
+
+    monkeypatch.setattr("cohortloom.plans.runs.ERAS", dict.fromkeys(("condition_era", "drug_era", "dose_era"), fail))
+    run_load(extracts, loaded, settings)
+
+
+def test_interrupted_loads_make_up_for_their_eras(spark, settings, extracts, loaded, tmp_path, monkeypatch):
+    store = ParquetStore(spark, str(tmp_path)).create()
+    for table in ("person", "visit_occurrence", "concept", "concept_relationship"):
+        store.append(table, loaded.read(table))
+    spec = spec_for("condition_occurrence")
+    with monkeypatch.context() as broken:
+        broken.setattr("cohortloom.plans.runs.update_eras", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load_table(spec, extracts["conditions"], store, settings)
+    assert store.read("condition_era").count() == 0
+    load_table(spec, extracts["conditions"], store, settings)
+    assert rows(store, "condition_era") == rows(loaded, "condition_era")
+
+
+def test_foreign_keys_do_not_stop_a_load(spark, settings, extracts, loaded, tmp_path):
+    """A plain key, a cut one and one of another secret match nothing, blank keys included."""
+    store = ParquetStore(spark, str(tmp_path)).create()
+    for table in ("person", "visit_occurrence", "concept", "concept_relationship"):
+        store.append(table, loaded.read(table))
+    first = loaded.read("person").first().person_source_value
+    other = spark.range(1).select(pseudonym(F.lit("p1"), "another secret")).first()[0]
+    strange = store.read("person").limit(1)
+    for i, value in enumerate(["legacy-key", first[:10], other, ""]):
+        row = strange.withColumns({"person_id": F.lit(900 + i).cast("long"), "person_source_value": F.lit(value)})
+        store.append("person", row)
+    blank = extracts["conditions"].withColumn("patient", F.when(F.col("code") == "22", "").otherwise(F.col("patient")))
+    found = new_rows(spec_for("condition_occurrence"), blank, store, settings).collect()
+    assert len(found) == 1 and found[0].person_id < 10**9 and found[0].person_id not in range(900, 904)

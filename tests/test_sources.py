@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom import schema
-from cohortloom.plans.runs import spec_for
+from cohortloom import schema, session
+from cohortloom.plans.runs import load_table, spec_for
 from cohortloom.sources import extracts, tables
 from cohortloom.streaming.follow import follow_extracts
 
@@ -75,8 +75,9 @@ def test_vocabulary_lives_apart(spark, tmp_path):
     source.write_text("concept_id\tconcept_code\tvocabulary_id\tstandard_concept\tname\n"
                       "7\t0012\tSNOMED\tS\tseven\n8\tx\tLOINC\t\teight\n")
     tables.load_vocabulary(store, {"concept": str(source)})
-    got = sorted(map(tuple, store.read("concept").collect()))
-    assert got == [(7, "0012", "SNOMED", "S"), (8, "x", "LOINC", None)]
+    columns = ["concept_id", "concept_code", "vocabulary_id", "standard_concept", "name"]
+    got = sorted(map(tuple, store.read("concept", columns).collect()))
+    assert got == [(7, "0012", "SNOMED", "S", "seven"), (8, "x", "LOINC", None, "eight")]
     assert (tmp_path / "voc" / "concept").exists() and not (tmp_path / "data" / "concept").exists()
 
 
@@ -91,27 +92,83 @@ def test_registry():
     assert "birth_datetime TIMESTAMP_NTZ" in schema.create_statement("person", "cdm")
 
 
-def test_spread_uses_the_cores(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert extracts.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    assert extracts.spread(spark.range(0, 100, 1, 50)).rdd.getNumPartitions() == 50
+def test_files_are_read_by_column_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,city,zip\n1,Cork,T12\n")
+    (tmp_path / "b.csv").write_text("ZIP,ID\nF91,2\n")
+    for path in (str(tmp_path), [str(tmp_path / "b.csv"), str(tmp_path / "a.csv")]):
+        rows = extracts.read_extract(spark, path, input_order=True)
+        got = sorted((r.id, r.city, r.zip) for r in rows.collect())
+        assert got == [("1", "Cork", "T12"), ("2", None, "F91")]
 
 
-def test_follow_loads_new_files_once(spark, settings, tmp_path):
-    folder, store = tmp_path / "in", tables.ParquetStore(spark, str(tmp_path / "t"))
-    store.create(["location"])
+def test_line_breaks_in_quotes(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('id,note\n1,"one\ntwo"\n2,x\n')
+    rows = extracts.read_extract(spark, str(path), multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("1", "one\ntwo"), ("2", "x")]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        extracts.read_extract(spark, str(path)).collect()
+
+
+def test_vocabulary_keeps_what_it_is_given(spark, tmp_path):
+    store = tables.ParquetStore(spark, str(tmp_path / "t")).create()
+    source = tmp_path / "strength.csv"
+    source.write_text("drug_concept_id\tamount_value\tvalid_start_date\tvalid_end_date\textra\n"
+                      "7\t0.5\t20200131\t2099-12-31\tx\n")
+    tables.load_vocabulary(store, {"drug_strength": str(source), "own_list": str(source)})
+    row = store.read("drug_strength").first()
+    assert (row.drug_concept_id, row.amount_value, row.extra, row.box_size) == (7, 0.5, "x", None)
+    assert (str(row.valid_start_date), str(row.valid_end_date)) == ("2020-01-31", "2099-12-31")
+    assert store.read("own_list").first().amount_value == "0.5"
+
+
+def test_catalog_has_the_declared_types(spark, tmp_path):
+    store = tables.ParquetStore(spark, str(tmp_path / "t"), str(tmp_path / "v")).create()
+    store.create_catalog("typed_tables")
+
+    def described(table):
+        return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE typed_tables.{table}").collect()}
+
+    try:
+        for table in [*schema.LOADED, *schema.VOCABULARY]:
+            found = described(table)
+            declared = schema.declared_schema(table) if table in schema.LOADED else schema.VOCABULARY[table]
+            assert found == {f.name: f.dataType.simpleString() for f in declared}
+        found = described("person")
+        assert found["person_id"] == "bigint" and found["birth_datetime"] == "timestamp_ntz"
+        assert found["gender_source_value"] == "varchar(50)"
+    finally:
+        spark.sql("DROP DATABASE typed_tables CASCADE")
+
+
+def test_shared_folders_are_removed(spark):
+    import os
+
+    with session.scratch(spark):
+        kept = session.staged(spark.range(3))
+        folder = os.path.dirname(kept.inputFiles()[0].removeprefix("file://"))
+        assert kept.count() == 3 and os.path.isdir(folder)
+    assert not os.path.isdir(folder)
+
+
+def test_follow_stores_what_a_batch_run_stores(spark, settings, tmp_path):
+    """The same reader serves both: columns by name, missing-value texts, the order of rows."""
+    folder = tmp_path / "in"
     folder.mkdir()
-    columns = ["id", "city", "state", "zip"]
+    batch = tables.ParquetStore(spark, str(tmp_path / "b")).create(["location"])
+    stream = tables.ParquetStore(spark, str(tmp_path / "s")).create(["location"])
+    spec = spec_for("location")
 
     def follow():
-        query = follow_extracts(
-            spark, spec_for("location"), str(folder), columns, store, settings, str(tmp_path / "cp")
-        )
+        query = follow_extracts(spark, spec, str(folder), stream, settings, str(tmp_path / "cp"))
         query.awaitTermination(120)
-        return store.read("location").count()
-
-    (folder / "a.csv").write_text("id,city,state,zip\n1,Cork,Munster,T12\n2,Cork,Munster,T12\n")
-    assert follow() == 1
-    (folder / "b.csv").write_text("id,city,state,zip\n3,Cork,Munster,T12\n4,Sligo,Connacht,F91\n")
-    assert follow() == 2
-    assert follow() == 2
+        assert query.exception() is None
+        return sorted(map(tuple, stream.read("location").collect()), key=str)
+
+    (folder / "a.csv").write_text("id,zip,city,state\n1,F91,n/a,Sligo\n2,F91,Sligo,Connacht\n3,T12,Cork,Munster\n")
+    load_table(spec, extracts.read_extract(spark, str(folder), input_order=True), batch, settings)
+    expected = sorted(map(tuple, batch.read("location").collect()), key=str)
+    assert follow() == expected and len(expected) == 2
+    (folder / "b.csv").write_text("state,city,id,zip\nLeinster,Dublin,4,D01\nMunster,Cork,5,T12\n")
+    assert len(follow()) == 3
+    assert len(follow()) == 3
