@@ -133,11 +133,13 @@ def trie_nodes(prints: DataFrame, leaf_prints: int = LEAF_PRINTS) -> tuple[list[
 
 def leaf_pairs(levels: list[DataFrame], budget: int = BUDGET) -> DataFrame:
     """Pairs of leaves (level_a, a, level_b, b) whose prefixes differ in at most ``budget`` bits."""
-    root = F.lit(0).cast("long")
-    spark = levels[0].sparkSession
-    pairs = spark.range(1).select(
-        F.lit(0).alias("level_a"), root.alias("a"), F.lit(False).alias("leaf_a"),
-        F.lit(0).alias("level_b"), root.alias("b"), F.lit(False).alias("leaf_b"), F.lit(0).alias("bits"),
+    # The pair of the root with itself; staged, so that the first joins are on columns, too.
+    pairs = stage(
+        levels[0].sparkSession.range(1).selectExpr(
+            "0 AS level_a", "id * 0 AS a", "false AS leaf_a", "0 AS level_b", "id * 0 AS b", "false AS leaf_b",
+            "0 AS bits",
+        ),
+        "root",
     )
     done = None
     for level, nodes in enumerate(levels, 1):

@@ -20,7 +20,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach; texts without letters or far off go."""
     model = langid.train(docs)
-    return langid.identify(docs, model).where("NOT rejected").select(*docs.columns)
+    # The whole row goes along under one name, so that no column of it can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
+    return langid.identify(rows, model).where("NOT rejected").select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
