@@ -5,8 +5,8 @@ from cohortloom.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cpus=4, partitions=4, memory="4g")
+def spark(tmp_path_factory):
+    session = local_session(cpus=4, partitions=4, memory="4g", shared=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
