@@ -8,6 +8,10 @@ FOLDER = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
 
 
+def pytest_configure(config):
+    config.addinivalue_line("markers", "given: reads the given tables")
+
+
 def pytest_collection_modifyitems(items):
     if not os.path.isdir(FOLDER):
         for item in items:
