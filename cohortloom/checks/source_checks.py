@@ -8,8 +8,10 @@ from cohortloom import schema
 from cohortloom.checks import table_sql
 from cohortloom.checks.inputs import Inputs
 from cohortloom.checks.registry import SETTINGS, check
+from cohortloom.functions import parse
 from cohortloom.functions.keys import reveal
 from cohortloom.functions.parse import coerce_column
+from cohortloom.operators.intervals import collapse_visits
 from cohortloom.operators.joins import keep_first
 from cohortloom.plans.runs import append_reviewed, load_table, map_rows, spec_for
 from cohortloom.session import shared_folder
@@ -86,6 +88,45 @@ def csv_keep_first(x: Inputs):
     return first.drop(extracts.INPUT_ORDER)
 
 
+@check(
+    "csv_visit_ties",
+    """SELECT patient, visit_concept_id, min(start) AS start, max(stop) AS stop,
+        first(id ORDER BY rn) AS id
+    FROM (SELECT *, sum(CASE WHEN floor((epoch_us(start) - epoch_us(before)) / 86400000000.0) > 1
+            THEN 1 ELSE 0 END) OVER (PARTITION BY patient, visit_concept_id ORDER BY rn) AS visit
+        FROM (SELECT *, lag(stop) OVER (PARTITION BY patient, visit_concept_id ORDER BY rn) AS before
+            FROM (SELECT *, row_number() OVER (PARTITION BY patient, visit_concept_id
+                    ORDER BY CAST(start AS DATE), place) AS rn FROM day_stays)))
+    GROUP BY patient, visit_concept_id, visit""",
+    {
+        "day_stays": """SELECT event_id AS id, person_id AS patient, CAST(9201 AS BIGINT) AS visit_concept_id,
+            date_trunc('day', start) AS start, date_trunc('day', greatest(start, coalesce(stop, start))) AS stop,
+            event_id * 7919 % 1000003 AS place
+        FROM stays"""
+    },
+)
+def csv_visit_ties(x: Inputs):
+    """Visits of stays that begin on the same day: the file says which comes first."""
+    folder = shared_folder(x.spark)
+    stays = x["stays"].select(
+        F.col("event_id").alias("id"),
+        F.col("person_id").alias("patient"),
+        F.date_trunc("day", "start").cast("timestamp_ntz").alias("start"),
+        F.date_trunc("day", F.greatest("start", F.coalesce("stop", "start"))).cast("timestamp_ntz").alias("stop"),
+    )
+    extracts.write_csv(stays.orderBy(F.col("id") * 7919 % 1000003), folder)
+    rows = extracts.read_extract(x.spark, folder, input_order=True)
+    typed = rows.select(
+        F.col("id").cast("long").alias("id"),
+        F.col("patient").cast("long").alias("patient"),
+        F.lit(9201).cast("long").alias("visit_concept_id"),
+        *[parse.to_datetime(F.col(c)).alias(c) for c in ("start", "stop")],
+        extracts.INPUT_ORDER,
+    )
+    keys = ["patient", "visit_concept_id"]
+    return collapse_visits(typed, keys, "start", "stop", "id", order=[extracts.INPUT_ORDER])
+
+
 EXPORTED = {"location": "t_location", "person": "t_person", "care_site": "t_site", "provider": "t_provider"}
 
 
