@@ -64,8 +64,8 @@ def op4_boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         "doc_id", "text", F.coalesce(hash_rest(5) == 0, F.lit(False)).alias("held_out")
     )
-    labels = table(spark, folder, "labels").select(F.col("doc_id"), F.col("toxic").alias("label")).distinct()
-    model = toxicity.train(docs.where("NOT held_out").join(labels, "doc_id"))
+    labels = table(spark, folder, "labels").where(~F.coalesce(hash_rest(5) == 0, F.lit(False)))
+    model = toxicity.train(toxicity.labelled_texts(docs, labels, label="toxic"))
     return model.score(docs, ["doc_id", "held_out"])
 
 

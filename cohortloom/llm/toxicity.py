@@ -1,7 +1,8 @@
 """Toxicity by gradient-boosted trees over dense features, calibrated by isotonic regression.
 
-Labelled rows are dealt by a hash of the text into three parts: one learns the lexicons, the next
-trains the trees, the last calibrates, so that none judges itself. The lexicons hold the words and
+The model is fitted on SAMPLE labelled rows at most, drawn by a hash of the id. They are dealt by
+a hash of the text into three parts: one learns the lexicons, the next trains the trees, the last
+calibrates, so that none judges itself. The lexicons hold the words and
 word beginnings that toxic texts bear far more often than others; they are bounded (LEXICON
 entries each) and counted over all labelled rows of their part. The features of a text are
 densities of the lexicons, how near second persons stand to them, and the rates of capitals,
@@ -27,9 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from cohortloom.llm import tokens
+from cohortloom.llm import bitmaps, tokens
 from cohortloom.llm.staging import stage
 
+# Labelled rows the model is fitted on (about; all of them where there are fewer).
+SAMPLE = 200_000
+# Bits of the map that keeps texts without a drawn label out of the join.
+MAP_BITS = 1 << 22
 LEXICON = 2000
 LEAST_TEXTS = 3
 LEAST_LOG_ODDS = 2.0
@@ -138,6 +143,7 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     # What is left after two standard errors, so that rare terms need to be clear.
     error = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     scored = totals.where(F.col("bad") >= LEAST_TEXTS).withColumn("odds", odds).where(F.col("odds") >= LEAST_LOG_ODDS)
+    scored = stage(scored, "terms")
     made = []
     for kind in (0, 1):
         best = scored.where(F.col("kind") == kind).withColumn("sure", F.col("odds") - 2 * error).where("sure > 0")
@@ -258,6 +264,20 @@ class ToxicityModel:
         return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text",
+                   label: str = "label", sample: int = SAMPLE, seed: int = 7) -> DataFrame:
+    """(text, label) of the drawn labels; only texts that may have one are moved for the join."""
+    drawn = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label"))
+    drawn = drawn.where("id IS NOT NULL AND label IN (0, 1)").distinct()
+    share = min(1.0, sample / max(1, drawn.count()))
+    place = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_003)) / 1_000_003
+    drawn = stage(drawn.where(place < share).withColumn("key", F.xxhash64("id")), "labels")
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+    rows = rows.where(bitmaps.passes(bitmaps.build(drawn, "key", MAP_BITS), F.xxhash64("id")))
+    # One plan at every size: labels grow with the documents.
+    return rows.join(drawn.select("id", "label").hint("merge"), "id").select("text", "label")
+
+
 def train(labelled: DataFrame, text: str = "text", label: str = "label", seed: int = 7) -> ToxicityModel:
     """Learn from all rows with a label of 0 or 1."""
     rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))

@@ -397,10 +397,17 @@ def test_language_training_does_not_depend_on_partitions(docs):
 # Toxicity
 
 
-def labelled(docs, rows):
-    return docs([(i, t) for i, t, _ in rows]).join(
-        docs([(0, "")]).sparkSession.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, label long"), "doc_id"
-    )
+def labelled(docs, rows, **options):
+    table = docs([(i, t) for i, t, _ in rows])
+    labels = table.sparkSession.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, label long")
+    return toxicity.labelled_texts(table, labels, **options)
+
+
+def test_drawn_labels(docs):
+    rows = [(i, f"text {i}", i % 2) for i in range(400)]
+    assert Counter(labelled(docs, rows).collect()) == Counter((t, y) for _, t, y in rows)
+    some = labelled(docs, rows, sample=100).collect()
+    assert 60 < len(some) < 140 and set(map(tuple, some)) <= {(t, y) for _, t, y in rows}
 
 
 def test_toxicity(docs):
