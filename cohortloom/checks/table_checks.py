@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,15 +41,15 @@ def _dimensions(x: Inputs) -> ParquetStore:
 
 
 class _OneTable(ParquetStore):
-    """A target table of its own next to loaded dimensions."""
+    """Target tables of their own next to loaded dimensions."""
 
-    def __init__(self, x: Inputs, target: str):
+    def __init__(self, x: Inputs, *targets: str):
         super().__init__(x.spark, shared_folder(x.spark))
-        self._target, self._others = target, _dimensions(x)
-        self.create([target])
+        self._targets, self._others = targets, _dimensions(x)
+        self.create(targets)
 
     def read(self, table, columns=None):
-        return (super() if table == self._target else self._others).read(table, columns)
+        return (super() if table in self._targets else self._others).read(table, columns)
 
 
 def _second_load(x: Inputs, target: str, source: str, earlier: str) -> DataFrame:
@@ -151,8 +153,9 @@ def load_observation(x: Inputs):
 
 def _two_loads(x: Inputs, target: str, source: str, earlier: str, era: str) -> DataFrame:
     """The era table after the earlier part of an extract and then all of it were loaded."""
-    store = _dimensions(x)
+    store = _OneTable(x, target, era)
     spec = spec_for(target, source)
+    spec = dataclasses.replace(spec, eras=(era,))
     for part in (x[source].filter(earlier), x[source], x[source]):
         load_table(spec, part, store, SETTINGS)
     return store.read(era)

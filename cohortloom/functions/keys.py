@@ -78,7 +78,8 @@ def reveal(c: Column, secret: str) -> Column:
     key = F.lit(cipher_key(secret))
     padding = F.aes_encrypt(F.lit(b""), key, F.lit("ECB"), F.lit("PKCS"))
     cipher = F.try_to_binary(F.translate(c, "-_", "+/"), F.lit("base64"))
-    blocks = F.when(F.octet_length(cipher) % 16 == 0, F.concat(cipher, padding))
+    size = F.octet_length(cipher)
+    blocks = F.when((size > 0) & (size % 16 == 0), F.concat(cipher, padding))
     plain = F.try_aes_decrypt(blocks, key, F.lit("ECB"), F.lit("PKCS"))
     return F.trim(F.when(F.is_valid_utf8(plain.cast("string")), plain.cast("string")))
 
