@@ -33,12 +33,35 @@ from cohortloom.llm.staging import stage
 CAPACITY = 2048
 END = 0
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-# Distinct words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+# Distinct words whose ids a Python worker remembers (about 50 bytes each).
+REMEMBERED = 1_000_000
+_STOPS = np.zeros(256, bool)
+_STOPS[list(b".,;:!?")] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
+
+
+def _parts(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray):
+    """Words with the stops at their ends apart, where those follow a plain letter or digit.
+
+    The tokenizer parts there, too, so the ids are the same and fewer words are distinct.
+    """
+    other = np.maximum.accumulate(np.where(_STOPS[low], -1, np.arange(len(low))))
+    cut = other[ends - 1] + 1
+    apart = (cut > starts) & (cut < ends) & _PLAIN[low[np.maximum(cut - 1, 0)]]
+    at = np.arange(len(starts)) + np.cumsum(apart) - apart
+    out = [np.empty(len(starts) + apart.sum(), np.int64) for _ in range(3)]
+    for made, first, second in zip(out, (starts, np.where(apart, cut, ends), rows), (cut, ends, rows)):
+        made[at] = first
+        made[at[apart] + 1] = second[apart]
+    return out
 
 
 class WordIds:
-    """Token ids of words separated by white space, which the tokenizer drops; each is encoded once."""
+    """Token ids of words separated by white space, which the tokenizer drops; each is encoded once.
+
+    The tokenizer works in lower case, so words are told apart by their lower-case form (A-Z).
+    """
 
     _known: dict[str, WordIds] = {}
 
@@ -60,13 +83,18 @@ class WordIds:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of texts, each text ended by END, and the number of ids of each."""
-        starts, ends, rows, hashes = tokens.word_hashes(data, offsets)
+        data = tokens.lower(data)
+        starts, ends, rows = tokens.words(data, offsets)
+        if len(starts):
+            starts, ends, rows = _parts(data, starts, ends, rows)
+        hashes = tokens.span_hash(tokens.prefix_hash(data), starts, ends)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) + len(distinct) > REMEMBERED:
             self._forget()
         at = np.searchsorted(self.hashes, distinct)
-        at[at == len(self.hashes)] = 0
-        new = distinct != self.hashes[at] if len(self.hashes) else np.ones(len(distinct), bool)
+        new = np.ones(len(distinct), bool)
+        inside = at < len(self.hashes)
+        new[inside] = distinct[inside] != self.hashes[at[inside]]
         if new.any():
             words = tokens.gather(data, starts[first[new]], ends[first[new]]).to_pylist()
             made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -74,10 +102,8 @@ class WordIds:
             places = len(self.offsets) - 1 + np.arange(len(made))
             self.ids = np.concatenate([self.ids, np.fromiter((i for x in made for i in x), np.int32, sizes.sum())])
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-            self.hashes = np.concatenate([self.hashes, distinct[new]])
-            self.places = np.concatenate([self.places, places])
-            order = np.argsort(self.hashes, kind="stable")
-            self.hashes, self.places = self.hashes[order], self.places[order]
+            self.hashes = np.insert(self.hashes, at[new], distinct[new])
+            self.places = np.insert(self.places, at[new], places)
         place = self.places[np.searchsorted(self.hashes, distinct)][which] if len(distinct) else which
         begin, size = self.offsets[place], self.offsets[place + 1] - self.offsets[place]
         upto = np.cumsum(size)
@@ -104,7 +130,7 @@ def pieces(docs: DataFrame, id_column: str = "doc_id", text: str = "text", token
         encoder, chunk = WordIds.of(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for a, _, data, offsets in tokens.text_blocks(batch.column("text")):
+            for a, _, data, offsets in tokens.text_blocks(batch.column("text"), 2 * tokens.BLOCK):
                 ids, per_row = encoder.encode(data, offsets)
                 count = -(-per_row // capacity)
                 row = np.repeat(np.arange(len(per_row)), count)

@@ -284,6 +284,24 @@ def test_packing(docs):
     assert packing.pack(docs([])).count() == 0
 
 
+def test_word_ids_are_those_of_whole_texts(monkeypatch):
+    """Ids come word by word; the tokenizer gives the same for a text as a whole."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "REMEMBERED", 3000)
+    rng = random.Random(0)
+    pieces = [*"aAbZ09.,;:!?'\"()-—éÉ́ſßİıΣς \n\t\x0b\x1c  |<>%#*_ﬁ²½Ⅷ中文🙂", "'s", "'LL", "<|endoftext|>", "n't"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(60))) for _ in range(3000)] + [None, "", "…?.", "a.b.", "é."]
+    encoder, got = packing.WordIds(packing.TOKENIZER), []
+    for a, b, data, offsets in tokens.text_blocks(pa.array(texts), 20000):
+        ids, per_row = encoder.encode(data, offsets)
+        stop = np.append(0, np.cumsum(per_row))
+        got += [ids[stop[i] : stop[i + 1]].tolist() for i in range(b - a)]
+    encoder.tokenizer.encode_special_tokens = True
+    whole = encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert got == [e.ids + [0] for e in whole]
+
+
 def test_packed_sequences(docs):
     rows = [(i, "a few words " * (i % 5)) for i in range(30)]
     cut = staging.stage(packing.pieces(docs(rows), capacity=16, keep_ids=True), "pieces")
