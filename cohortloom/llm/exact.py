@@ -19,7 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.staging import row_keys, stage
+from cohortloom.llm import bitmaps
+from cohortloom.llm.staging import MAP_BITS, row_keys, stage
 from cohortloom.llm.tokens import mix
 
 # Digests of one filter: its table takes 9 bits a digest, building it 100 bytes a digest.
@@ -170,7 +171,10 @@ def confirmed(docs: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
     """Of (digest, old, new) pairs of row keys the digests whose normalised texts are equal."""
     wanted = pairs.select("digest", F.explode(F.array("old", "new")).alias("at"))
     wanted = wanted.select("digest", F.col("at.key_a").alias("key_a"), F.col("at.key_b").alias("key_b")).distinct()
-    texts = docs.select(*row_keys(docs), normalised(F.col(text)).alias("bytes"))
+    wanted = stage(wanted, "wanted")
+    may = bitmaps.passes(bitmaps.build(wanted, "key_a", MAP_BITS), F.col("key_a"))
+    texts = docs.select(*row_keys(docs), F.col(text).alias("bytes")).where(may)
+    texts = texts.select("key_a", "key_b", normalised(F.col("bytes")).alias("bytes"))
     # One plan at every size: the snapshot's buckets cannot be assumed to fit a broadcast.
     found = texts.join(wanted.hint("merge"), ["key_a", "key_b"]).groupBy("digest").agg(
         (F.min(F.col("bytes")) == F.max(F.col("bytes"))).alias("same")
