@@ -7,8 +7,12 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.llm import bitmaps
 from cohortloom.session import shared_folder  # noqa: F401  (operators take it from here)
 
+# Bits of the map of row keys.
+MAP_BITS = 1 << 22
+
 
 def ready(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver did, if it is not installed."""
@@ -48,16 +52,21 @@ def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``decided`` (key_a, key_b, kept) drops.
 
     ``decided`` has a row for every row of the groups in question; other rows stay. Of equal
-    rows of which one is kept, one stays: only these are grouped by all columns.
+    rows of which one is kept, one stays: only these are grouped by all columns. A bitmap of
+    fixed size keeps rows that cannot be in question out of the join.
     """
     marks = decided.groupBy("key_a", "key_b").agg(F.max("kept").alias("stays"), F.count("*").alias("copies"))
     marks = marks.where("NOT stays OR copies > 1").select(
         F.col("key_a").alias("_mark_a"), F.col("key_b").alias("_mark_b"), F.col("stays").alias("_mark")
     )
+    marks = stage(marks, "marks")
     keyed, (a, b) = with_row_keys(docs)
-    marked = keyed.join(
-        stage(marks, "marks"), (F.col(a) == F.col("_mark_a")) & (F.col(b) == F.col("_mark_b")), "left"
+    may = bitmaps.passes(bitmaps.build(marks, "_mark_a", MAP_BITS), F.col(a))
+    # One plan at every size: the marks grow with the documents.
+    marked = keyed.where(may).join(
+        marks.hint("merge"), (F.col(a) == F.col("_mark_a")) & (F.col(b) == F.col("_mark_b")), "left"
     )
-    unmarked = marked.where("_mark IS NULL").select(*docs.columns)
-    return unmarked.unionByName(marked.where("_mark").select(*docs.columns).dropDuplicates())
+    others = keyed.where(~may).unionByName(marked.where("_mark IS NULL").select(*keyed.columns))
+    once = marked.where("_mark").select(*docs.columns).dropDuplicates()
+    return others.select(*docs.columns).unionByName(once)
 
