@@ -10,12 +10,20 @@ from pyspark.sql import functions as F
 from cohortloom.llm import bitmaps
 from cohortloom.session import shared_folder  # noqa: F401  (operators take it from here)
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 1000
 # Bits of the map of row keys.
 MAP_BITS = 1 << 22
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver did, if it is not installed."""
+    """Let Python workers import this package from where the driver did, if it is not installed.
+
+    Batches for Python are kept small: whole texts are long rows, and a batch lies in the memory
+    of the executor twice.
+    """
+    if int(spark.conf.get(BATCH_ROWS)) > TEXTS_PER_BATCH:
+        spark.conf.set(BATCH_ROWS, str(TEXTS_PER_BATCH))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

@@ -20,7 +20,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 # Bytes of text that are worked on together; one longer text is taken alone.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
