@@ -1,8 +1,8 @@
 """Language identification by the nearest of several centroids per language.
 
 A text becomes a normalised TF-IDF vector over hashed byte n-grams of the whole text. For each
-language spherical k-means over a bounded, documented sample (SAMPLE texts) finds CLUSTERS
-starting centroids; one pass over all training texts then gives every text to its nearest start
+language spherical k-means over a bounded, documented sample (the SAMPLE distinct texts of least
+hash, so every language with a text has some) finds CLUSTERS starting centroids; one pass over all training texts then gives every text to its nearest start
 and averages there, so the centroids used cover all of them. A text is compared by cosine with
 all centroids. Rejection is by distance: the pass also counts the cosines of all training texts
 by the number of their n-grams, and a text is rejected if its best cosine lies below the share
@@ -29,7 +29,7 @@ from cohortloom.llm import tokens
 
 BINS = 4096
 CLUSTERS = 3
-# Texts of one language that the starting centroids are found in (about; drawn by hash).
+# Distinct texts of one language that the starting centroids are found in (those of least hash).
 SAMPLE = 400
 ROUNDS = 8
 REJECTED = 0.001
@@ -164,6 +164,29 @@ def _starts(sample: DataFrame, idf: np.ndarray, clusters: int) -> list:
     return sample.groupBy("lang").applyInPandas(find, "lang string, cluster int, centre array<float>").collect()
 
 
+def _least_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per language: its SAMPLE least distinct keys of the task."""
+    least: dict[str, np.ndarray] = {}
+    for batch in batches:
+        langs, keys = batch.column("lang").dictionary_encode(), batch.column("key").to_numpy()
+        at = langs.indices.to_numpy()
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
+            least[lang] = np.unique(np.append(least.get(lang, keys[:0]), keys[at == i]))[:SAMPLE]
+    columns = [pa.array(list(least), pa.string()), pa.array(list(least.values()), pa.list_(pa.int64()))]
+    yield pa.RecordBatch.from_arrays(columns, ["lang", "keys"])
+
+
+def _sample(known: DataFrame) -> DataFrame:
+    """The SAMPLE texts of least hash of each language; equal texts have one hash and count once."""
+    keyed = known.select("lang", "text", F.xxhash64("text").alias("key"))
+    least = keyed.select("lang", "key").mapInArrow(_least_keys, "lang string, keys array<long>")
+    merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))), 1, SAMPLE)
+    last = F.lit(None).cast("long")
+    for r in least.groupBy("lang").agg(F.array_max(merged).alias("last")).collect():
+        last = F.when(F.col("lang") == r["lang"], F.lit(r["last"])).otherwise(last)
+    return keyed.where(F.col("key") <= last).dropDuplicates(["lang", "key"])
+
+
 def _sums(languages: list[str], idf: np.ndarray, starts: np.ndarray, of: np.ndarray):
     """Partial sums: (kind 0) of vectors by centroid and bin, (kind 1) counts by length and cosine."""
     index = {x: i for i, x in enumerate(languages)}
@@ -205,15 +228,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", clusters: int
         else:
             df[r["bin"]] = r["n"]
     idf = np.log((1 + rows) / (1 + df)) + 0.1
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    key = F.xxhash64("text").alias("key")
-    share = F.lit(0.0)
-    for name, n in sizes.items():
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, SAMPLE / n))).otherwise(share)
-    # Equal texts count once in the sample: a group of copies has one hash.
-    sample = known.select("lang", "text", key).where((F.pmod("key", F.lit(1_000_003)) / 1_000_003) < share)
-    sample = sample.dropDuplicates(["lang", "key"])
-    found = sorted(_starts(sample, idf, clusters), key=lambda r: (r["lang"], r["cluster"]))
+    found = sorted(_starts(_sample(known), idf, clusters), key=lambda r: (r["lang"], r["cluster"]))
     languages = sorted({r["lang"] for r in found})
     if not languages:
         return LanguageModel([], idf, np.zeros((0, BINS), np.float32), np.zeros(0, int), np.zeros(1))

@@ -412,6 +412,16 @@ def test_language_training_does_not_depend_on_partitions(docs):
     assert np.array_equal(a.centroids, b.centroids) and np.array_equal(a.least, b.least)
 
 
+def test_languages_of_many_copies_have_starts(docs, spark):
+    # Twenty languages of 2,000 rows each, made of three texts.
+    words = [["".join(random.Random(99 * i + j).choices("abcdefghij", k=6)) for j in range(9)] for i in range(20)]
+    rows = [(100 * i + j, " ".join(words[i][j : j + 6]), f"l{i}") for i in range(20) for j in range(3)]
+    copies = docs(rows).crossJoin(spark.range(667)).drop("id")
+    model = langid.train(copies)
+    assert model.languages == sorted(f"l{i}" for i in range(20)) and len(model.of) == 60
+    assert {r["lang"]: r["lang_pred"] for r in langid.identify(docs(rows), model).collect()} == {x: x for x in model.languages}
+
+
 # Toxicity
 
 
