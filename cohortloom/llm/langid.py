@@ -2,11 +2,15 @@
 
 A text becomes a normalised TF-IDF vector over hashed byte n-grams of the whole text. For each
 language spherical k-means over a bounded, documented sample (the SAMPLE distinct texts of least
-hash, so every language with a text has some) finds CLUSTERS starting centroids; one pass over all training texts then gives every text to its nearest start
-and averages there, so the centroids used cover all of them. A text is compared by cosine with
-all centroids. Rejection is by distance: the pass also counts the cosines of all training texts
-by the number of their n-grams, and a text is rejected if its best cosine lies below the share
-REJECTED of what training texts of that length reach, less MARGIN.
+hash, so every language with a text has some) finds CLUSTERS starting centroids; one pass over all
+training texts then gives every text to its nearest start and averages there, so the centroids
+used cover all of them. A text is compared by cosine with
+all centroids. Rejection is by distance: a second pass counts the cosines of all training texts
+with the centroids of their language, by the number of their n-grams, and a text is rejected if
+its best cosine lies below what the share REJECTED of the training texts of that language and
+length do not reach. Where texts are too few to tell that share, the limit is the least cosine
+seen or what a normal distribution with their mean and deviation gives, whichever is lower. Texts
+shorter than nearly all training texts have no limit.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0 and rejected; a null
 language is not learned from. Without any training text everything is ``und``. Ties go to the
@@ -33,9 +37,15 @@ CLUSTERS = 3
 SAMPLE = 400
 ROUNDS = 8
 REJECTED = 0.001
-MARGIN = 0.5
+# Below its mean a normal distribution has the share REJECTED beyond so many deviations.
+DEVIATIONS = 3.09
+# Fewer texts than this of a language and length give no limit of their own.
+FEW = 8
+# Length classes: so many for a factor of two, since short texts have lower cosines.
+PER_OCTAVE = 4
+LENGTHS = 32 * PER_OCTAVE
 UNKNOWN = "und"
-COSINE_STEPS = 100
+COSINE_STEPS = 1000
 # Sums of vectors are whole multiples of this, so that their order does not matter.
 UNIT = 1.0 / (1 << 20)
 BLOCK_ROWS = 256
@@ -82,7 +92,8 @@ def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def length_class(counts: np.ndarray) -> np.ndarray:
-    return np.log2(np.maximum(counts.sum(axis=1), 1)).astype(np.int64)
+    size = np.log2(np.maximum(counts.sum(axis=1), 1))
+    return np.minimum((size * PER_OCTAVE).astype(np.int64), LENGTHS - 1)
 
 
 def _row_blocks(column: pa.Array):
@@ -104,18 +115,23 @@ class LanguageModel:
     of: np.ndarray
     least: np.ndarray
 
+    def cosines(self, counts: np.ndarray) -> np.ndarray:
+        """The best cosine of each row with the centroids of each language."""
+        cosine = vectors(counts, self.idf) @ self.centroids.T
+        best = np.empty((len(counts), len(self.languages)), np.float32)
+        for i in range(len(self.languages)):
+            best[:, i] = cosine[:, self.of == i].max(axis=1)
+        return best
+
     def predict(self, counts: np.ndarray, letters: np.ndarray):
         """(language, score, rejected) for each row."""
         n = len(counts)
         if not self.languages:
             return np.full(n, UNKNOWN, object), np.zeros(n), np.ones(n, bool)
-        cosine = vectors(counts, self.idf) @ self.centroids.T
-        best = np.empty((n, len(self.languages)), np.float32)
-        for i in range(len(self.languages)):
-            best[:, i] = cosine[:, self.of == i].max(axis=1)
+        best = self.cosines(counts)
         which = best.argmax(axis=1)
         score = np.clip(best[np.arange(n), which].astype(np.float64), 0, 1)
-        rejected = ~letters | (score < self.least[np.minimum(length_class(counts), len(self.least) - 1)])
+        rejected = ~letters | (score < self.least[which, length_class(counts)])
         language = np.array(self.languages, object)[which]
         language[~letters] = UNKNOWN
         return language, np.where(letters, score, 0.0), rejected
@@ -188,34 +204,53 @@ def _sample(known: DataFrame) -> DataFrame:
 
 
 def _sums(languages: list[str], idf: np.ndarray, starts: np.ndarray, of: np.ndarray):
-    """Partial sums: (kind 0) of vectors by centroid and bin, (kind 1) counts by length and cosine."""
+    """Partial sums of vectors by centroid and bin."""
     index = {x: i for i, x in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(starts), BINS), np.int64)
-        seen = np.zeros((64, COSINE_STEPS + 1), np.int64)
         for batch in batches:
             langs = np.array([index[x] for x in batch.column("lang").to_pylist()])
             for a, b, data, offsets in _row_blocks(batch.column("text")):
-                counts = gram_counts(data, offsets)
-                points = vectors(counts, idf)
+                points = vectors(gram_counts(data, offsets), idf)
                 cosine = np.where(of[None, :] == langs[a:b, None], points @ starts.T, -1)
                 nearest = cosine.argmax(axis=1)
                 whole = np.rint(points / UNIT).astype(np.int64)
                 for i in np.unique(nearest):
                     total[i] += whole[nearest == i].sum(axis=0)
-                best = np.clip(cosine.max(axis=1) * COSINE_STEPS, 0, COSINE_STEPS).astype(np.int64)
-                np.add.at(seen, (length_class(counts), best), 1)
-        for kind, table in ((0, total), (1, seen)):
-            i, j = np.nonzero(table)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(i), kind)), pa.array(i), pa.array(j), pa.array(table[i, j])],
-                ["kind", "i", "j", "n"],
-            )
+        i, j = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], ["i", "j", "n"])
 
     return run
 
 
+def _seen_cosines(model: LanguageModel):
+    """Counts of training texts by language and length (i) and by their cosine with their language (j)."""
+    index = {x: i for i, x in enumerate(model.languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((len(index) * LENGTHS, COSINE_STEPS + 1), np.int64)
+        for batch in batches:
+            langs = np.array([index[x] for x in batch.column("lang").to_pylist()])
+            for a, b, data, offsets in _row_blocks(batch.column("text")):
+                counts = gram_counts(data, offsets)
+                own = model.cosines(counts)[np.arange(b - a), langs[a:b]]
+                step = np.clip(own * COSINE_STEPS, 0, COSINE_STEPS).astype(np.int64)
+                np.add.at(seen, (langs[a:b] * LENGTHS + length_class(counts), step), 1)
+        i, j = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(seen[i, j])], ["i", "j", "n"])
+
+    return run
+
+
+def _table(known: DataFrame, run, rows: int, columns: int) -> np.ndarray:
+    """The sums over all tasks of what ``run`` counts by row and column."""
+    summed = known.mapInArrow(run, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros((rows, columns))
+    out[summed["i"], summed["j"]] = summed["n"]
+    return out
+
+
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", clusters: int = CLUSTERS) -> LanguageModel:
     """Learn from all rows with a text and a language."""
     known = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
@@ -231,30 +266,46 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", clusters: int
     found = sorted(_starts(_sample(known), idf, clusters), key=lambda r: (r["lang"], r["cluster"]))
     languages = sorted({r["lang"] for r in found})
     if not languages:
-        return LanguageModel([], idf, np.zeros((0, BINS), np.float32), np.zeros(0, int), np.zeros(1))
+        return LanguageModel([], idf, np.zeros((0, BINS), np.float32), np.zeros(0, int), np.zeros((0, LENGTHS)))
     starts = np.array([r["centre"] for r in found], np.float32)
     of = np.array([languages.index(r["lang"]) for r in found])
     known = known.where(F.col("lang").isin(languages))
-    summed = known.mapInArrow(_sums(languages, idf, starts, of), "kind long, i long, j long, n long")
-    summed = summed.groupBy("kind", "i", "j").agg(F.sum("n").alias("n")).toPandas()
-    centres, seen = np.zeros((len(starts), BINS)), np.zeros((64, COSINE_STEPS + 1))
-    for kind, table in ((0, centres), (1, seen)):
-        part = summed[summed["kind"] == kind]
-        table[part["i"], part["j"]] = part["n"]
+    centres = _table(known, _sums(languages, idf, starts, of), len(starts), BINS)
     centres = np.where(centres.any(axis=1, keepdims=True), centres, starts)
     centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-    return LanguageModel(languages, idf, centres.astype(np.float32), of, _least_cosines(seen))
+    model = LanguageModel(languages, idf, centres.astype(np.float32), of, np.zeros((len(languages), LENGTHS)))
+    seen = _table(known, _seen_cosines(model), len(languages) * LENGTHS, COSINE_STEPS + 1)
+    model.least = _least_cosines(seen.reshape(len(languages), LENGTHS, COSINE_STEPS + 1))
+    return model
+
+
+def _limit(row: np.ndarray) -> float:
+    """The cosine that the share REJECTED of the counted texts does not reach; NaN for too few."""
+    n = row.sum()
+    if n < FEW:
+        return np.nan
+    lowest = np.searchsorted(np.cumsum(row), REJECTED * n, side="right") / COSINE_STEPS
+    if REJECTED * n >= 1:
+        return lowest
+    at = (np.arange(len(row)) + 0.5) / COSINE_STEPS
+    mean = row @ at / n
+    deviation = np.sqrt(row @ (at - mean) ** 2 / (n - 1))
+    # Student's t for a further text, by its expansion in 1 / (n - 1): few texts give a wider limit.
+    z, v = DEVIATIONS, n - 1
+    t = z + (z**3 + z) / (4 * v) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * v**2)
+    return min(lowest, mean - t * deviation * np.sqrt(1 + 1 / n))
 
 
 def _least_cosines(seen: np.ndarray) -> np.ndarray:
-    """The cosine below which a text of each length class is rejected."""
-    out = np.zeros(len(seen))
-    for i, row in enumerate(seen):
-        if row.sum():
-            out[i] = np.searchsorted(np.cumsum(row), REJECTED * row.sum(), side="right") / COSINE_STEPS * (1 - MARGIN)
-    # A class without training texts takes the limit of the next shorter one.
-    for i in range(1, len(out)):
-        out[i] = out[i] if seen[i].sum() else out[i - 1]
+    """The cosine below which a text of each language and length is rejected."""
+    pooled = [_limit(row) for row in seen.sum(axis=0)]
+    out = np.zeros(seen.shape[:2])
+    for language, rows in enumerate(seen):
+        for i, row in enumerate(rows):
+            # Too few texts: the limit of all languages, else that of the next shorter length.
+            found = _limit(row)
+            found = pooled[i] if np.isnan(found) else found
+            out[language, i] = (out[language, i - 1] if i else 0.0) if np.isnan(found) else found
     return out
 
 

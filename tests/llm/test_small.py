@@ -422,6 +422,26 @@ def test_languages_of_many_copies_have_starts(docs, spark):
     assert {r["lang"]: r["lang_pred"] for r in langid.identify(docs(rows), model).collect()} == {x: x for x in model.languages}
 
 
+def test_unlearned_languages_and_noise_are_rejected(docs):
+    rng = random.Random(6)
+    stems = {x: ["".join(rng.choices(letters, k=5)) for _ in range(40)]
+             for x, letters in (("en", "abcdefghij"), ("fr", "efghijklmnop"), ("de", "ijklmnopqrstu"))}
+    text = lambda words, n: " ".join(rng.choices(words, k=n))
+    rows = [(i, text(stems[x], rng.randrange(20, 90)), x) for i, x in enumerate(rng.choices(sorted(stems), k=1500))]
+    model = langid.train(docs(rows))
+    other = ["".join(rng.choices("qrstuvwxyzabc", k=5)) for _ in range(40)]
+    fresh = [(i, text(stems[x], rng.randrange(20, 90)), x) for i, x in enumerate(rng.choices(sorted(stems), k=400))]
+    far = [(1000 + i, text(other, rng.randrange(20, 90))) for i in range(50)]
+    far += [(2000 + i, rng.randbytes(rng.randrange(200, 400)).hex()) for i in range(50)]
+    far += [(3000 + i, "".join(rng.choices("абвгдежзиклмнопрст  ", k=200))) for i in range(50)]
+    far += [(4000 + i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=200))) for i in range(50)]
+    got = {r["doc_id"]: r for r in langid.identify(docs(fresh + far), model).collect()}
+    for first in (1000, 2000, 3000, 4000):
+        assert sum(got[first + i]["rejected"] for i in range(50)) >= 45
+    assert sum(got[i]["rejected"] for i, _, _ in fresh) <= 4
+    assert all(got[i]["lang_pred"] == x for i, _, x in fresh)
+
+
 # Toxicity
 
 
