@@ -5,10 +5,10 @@ language spherical k-means over a bounded, documented sample (the SAMPLE distinc
 hash, so every language with a text has some) finds CLUSTERS starting centroids; one pass over all
 training texts then gives every text to its nearest start and averages there, so the centroids
 used cover all of them. A text is compared by cosine with
-all centroids. Rejection is by distance: a second pass counts the cosines of all training texts
-with the centroids of their language, by the number of their n-grams, and a text is rejected if
-its best cosine lies below what the share REJECTED of the training texts of that language and
-length do not reach. Where texts are too few to tell that share, the limit is the least cosine
+all centroids. Rejection is by distance: a second pass counts the best cosines of all training
+texts, by the language they are nearest to and the number of their n-grams, and a text is rejected
+if its own lies below what the share REJECTED of the training texts of that language and length do
+not reach. Where texts are too few to tell that share, the limit is the least cosine
 seen or what a normal distribution with their mean and deviation gives, whichever is lower. Texts
 shorter than nearly all training texts have no limit.
 
@@ -225,18 +225,16 @@ def _sums(languages: list[str], idf: np.ndarray, starts: np.ndarray, of: np.ndar
 
 
 def _seen_cosines(model: LanguageModel):
-    """Counts of training texts by language and length (i) and by their cosine with their language (j)."""
-    index = {x: i for i, x in enumerate(model.languages)}
+    """Counts of training texts by nearest language and length (i) and by their best cosine (j)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((len(index) * LENGTHS, COSINE_STEPS + 1), np.int64)
+        seen = np.zeros((len(model.languages) * LENGTHS, COSINE_STEPS + 1), np.int64)
         for batch in batches:
-            langs = np.array([index[x] for x in batch.column("lang").to_pylist()])
-            for a, b, data, offsets in _row_blocks(batch.column("text")):
+            for _, _, data, offsets in _row_blocks(batch.column("text")):
                 counts = gram_counts(data, offsets)
-                own = model.cosines(counts)[np.arange(b - a), langs[a:b]]
-                step = np.clip(own * COSINE_STEPS, 0, COSINE_STEPS).astype(np.int64)
-                np.add.at(seen, (langs[a:b] * LENGTHS + length_class(counts), step), 1)
+                best = model.cosines(counts)
+                step = np.clip(best.max(axis=1) * COSINE_STEPS, 0, COSINE_STEPS).astype(np.int64)
+                np.add.at(seen, (best.argmax(axis=1) * LENGTHS + length_class(counts), step), 1)
         i, j = np.nonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(seen[i, j])], ["i", "j", "n"])
 
@@ -302,10 +300,12 @@ def _least_cosines(seen: np.ndarray) -> np.ndarray:
     out = np.zeros(seen.shape[:2])
     for language, rows in enumerate(seen):
         for i, row in enumerate(rows):
-            # Too few texts: the limit of all languages, else that of the next shorter length.
             found = _limit(row)
-            found = pooled[i] if np.isnan(found) else found
-            out[language, i] = (out[language, i - 1] if i else 0.0) if np.isnan(found) else found
+            if np.isnan(found):
+                # Too few: the limit of all languages, else of the next shorter length; these few stay.
+                found = pooled[i] if not np.isnan(pooled[i]) else out[language, i - 1] if i else 0.0
+                found = min([found, *(np.flatnonzero(row)[:1] / COSINE_STEPS)])
+            out[language, i] = found
     return out
 
 
