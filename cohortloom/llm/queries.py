@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, exact, langid, ngram, packing, sharding, simhash, suffix, toxicity, warc
+from cohortloom.llm import balance, decontaminate, exact, langid, ngram, packing, sharding, simhash, suffix, toxicity, warc
 from cohortloom.llm.sql import SQL
 from cohortloom.llm.staging import ready, shared_folder
 
@@ -123,6 +123,16 @@ def op10_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op13_cube_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, and how many of their words a mix of the sources to target weights takes."""
+    mixed = balance.mix(table(spark, folder, "documents"))
+    return mixed.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
+        "source",
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
