@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import balance, decontaminate, exact, langid, ngram, packing, sharding, simhash, suffix, toxicity, warc
+from cohortloom.llm import balance, decontaminate, exact, langid, ngram, packing, repair, sharding, simhash, suffix, toxicity, warc
 from cohortloom.llm.sql import SQL
 from cohortloom.llm.staging import ready, shared_folder
 
@@ -123,6 +123,13 @@ def op10_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_glr_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged by rule, and their repairs of least cost."""
+    repaired = repair.repair(repair.damaged(table(spark, folder, "conversations")))
+    return repaired.withColumnRenamed("conv", "conv_id")
+
+
 @query
 def op13_cube_sampling(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, and how many of their words a mix of the sources to target weights takes."""
