@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import balance, decontaminate, exact, langid, ngram, packing, repair, sharding, simhash, suffix, toxicity, warc
+from cohortloom.llm import balance, decontaminate, exact, langid, ngram, packing, periods, repair, sharding, simhash, suffix, toxicity, warc
 from cohortloom.llm.sql import SQL
 from cohortloom.llm.staging import ready, shared_folder
 
@@ -130,6 +130,12 @@ def op11_glr_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repaired.withColumnRenamed("conv", "conv_id")
 
 
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in all documents, some of which are made to repeat by rule."""
+    return periods.runs(periods.damaged(table(spark, folder, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op13_cube_sampling(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, and how many of their words a mix of the sources to target weights takes."""
