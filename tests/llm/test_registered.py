@@ -36,7 +36,7 @@ def rest(i, n):
 def test_all_are_registered():
     names = entry.queries()
     assert set(queries.all_queries()) | {"pipeline"} <= set(names)
-    assert {int(n[2:].split("_")[0]) for n in queries.all_queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.all_queries()} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.all_sql()))
