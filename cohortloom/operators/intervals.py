@@ -56,13 +56,17 @@ def _rows_of(df: DataFrame) -> Column:
     return F.sum("_n") if "_n" in df.columns else F.count("*")
 
 
-def distinct_spans(df: DataFrame) -> DataFrame:
-    """Distinct rows with their number ``_n``, staged.
+def era_spans(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Facts reduced to what eras depend on: spans with the number ``_n`` of facts behind each.
 
-    Every fill is a function of the distinct rows, so the facts are read once however often
-    the fills look at them.
+    Of the whole facts of a group that start on one day only the latest end counts, unless an end
+    lies before its start. Those and facts that lack a date stay as they are. Spans of several
+    parts of the facts are together the spans of the whole: they may be reduced again.
     """
-    return staged(df.groupBy(*df.columns).agg(F.count("*").alias("_n")))
+    whole = F.coalesce(F.col(start) <= F.col(end), F.lit(False))
+    own = F.when(~whole, F.col(end))
+    spans = df.groupBy(*keys, start, whole.alias("_whole"), own.alias("_own"))
+    return spans.agg(F.max(end).alias(end), _rows_of(df).alias("_n")).drop("_whole", "_own")
 
 
 def median_day(df: DataFrame, day: str) -> DataFrame:
@@ -75,32 +79,64 @@ def median_day(df: DataFrame, day: str) -> DataFrame:
     return counts.agg(F.date_from_unix_date(F.floor(middle).cast("int")).alias("median_day"))
 
 
+def _looked_up(df: DataFrame, keys: Sequence[str], person: str, start: str, end: str) -> tuple[DataFrame, ...]:
+    """Bounds of each person, facts by start day, and the distinct facts that lack a date.
+
+    One pass over ``df``, summed three ways in every task; what is staged of it grows with the
+    persons, the calendar and the gaps, not with the whole facts.
+    """
+    gap = F.col(start).isNull() | F.col(end).isNull()
+    held = {name: F.when(gap, F.col(name)) for name in dict.fromkeys([person, *keys, start, end])}
+    rows = df.select(
+        F.col(person).alias("_person"), F.col(start).alias("_day"), gap.alias("_gap"),
+        *[c.alias(f"_gap_{name}") for name, c in held.items()],
+        F.col(start).alias("_start"), F.col(end).alias("_end"),
+        (F.col("_n") if "_n" in df.columns else F.lit(1).cast("long")).alias("_n"),
+    )
+    gaps = ["_gap", *[f"_gap_{name}" for name in held]]
+    sets = [["_person"], ["_day"], gaps]
+    found = staged(
+        rows.groupingSets(sets, "_person", "_day", *gaps).agg(
+            F.min("_start").alias("_first"), F.max("_end").alias("_last"), F.sum("_n").alias("_n"),
+            *[F.grouping(c).alias(f"_no{c}") for c in ("_person", "_day", "_gap")],
+        )
+    )
+    bounds = found.filter("_no_person = 0").select(F.col("_person").alias(person), "_first", "_last")
+    days = found.filter("_no_day = 0 AND _day IS NOT NULL").select(F.col("_day").alias(start), "_n")
+    lacking = found.filter("_no_gap = 0 AND _gap")
+    return bounds, days, lacking.select(*[F.col(f"_gap_{name}").alias(name) for name in held], "_n")
+
+
 def fill_era_dates(
     df: DataFrame,
+    keys: Sequence[str],
     person: str,
     start: str,
     end: str,
     days: int = 30,
     end_from_person: bool = True,
 ) -> DataFrame:
-    """Dates an era needs, with ``_late`` = 1 for rows that came without a start.
+    """``keys`` and the dates an era needs, with ``_late`` = 1 for rows that came without a start.
 
     Start: the person's earliest start, else ``days`` before the end, else the median of all
     starts. End: the person's latest end (if asked for), else ``days`` after the start. Rows
-    that are complete, normally nearly all, take no part in any join.
+    that are complete, normally nearly all, take no part in any join and are not staged.
     """
+    bounds, by_day, gaps = _looked_up(df, keys, person, start, end)
     complete = F.col(start).isNotNull() & F.col(end).isNotNull()
     whole = df.filter(complete).withColumn("_late", F.lit(0))
-    gaps = df.filter(~complete).join(group_bounds(df, person, start, end), person, "left")
+    if "_n" not in df.columns:
+        whole = whole.withColumn("_n", F.lit(1).cast("long"))
+    gaps = gaps.join(bounds, person, "left")
     known = F.coalesce(F.col(start), F.col("_first"), F.date_sub(F.col(end), days))
     gaps = gaps.withColumns({"_late": F.col(start).isNull().cast("int"), start: known})
-    counted = [start, *(["_n"] if "_n" in df.columns else [])]
-    median = median_day(whole.select(*counted).unionByName(gaps.select(*counted)), start)
-    begin = F.coalesce(F.col(start), median.scalar())
+    late = gaps.filter("_late = 1").select(start, "_n")
+    begin = F.coalesce(F.col(start), median_day(by_day.unionByName(late), start).scalar())
     gaps = gaps.withColumn(start, begin)
     last = [F.col("_last")] if end_from_person else []
     gaps = gaps.withColumn(end, F.coalesce(F.col(end), *last, F.date_add(F.col(start), days)))
-    return whole.unionByName(gaps.drop("_first", "_last"))
+    names = [*dict.fromkeys([person, *keys]), start, end, "_n", "_late"]
+    return whole.select(*names).unionByName(gaps.select(*names))
 
 
 # --- row-level gap and session ---------------------------------------------------------
@@ -238,32 +274,51 @@ def _finish(eras: DataFrame, name: str, keys: Sequence[str], parts: Sequence[Col
     return keep_first(keyed, columns[0], columns[1:])
 
 
+CONDITION_KEYS = ("person_id", "condition_concept_id")
+CONDITION_DATES = ("condition_start_date", "condition_end_date")
+DRUG_KEYS = ("person_id", "drug_concept_id")
+DOSE_KEYS = (*DRUG_KEYS, "unit_concept_id", "dose_value")
+DRUG_DATES = ("drug_exposure_start_date", "drug_exposure_end_date")
+
+
+def condition_spans(conditions: DataFrame) -> DataFrame:
+    """What condition eras depend on: keys, dates, number of facts."""
+    start, end = CONDITION_DATES
+    day = column_or_null(conditions, end, "date").alias(end)
+    return era_spans(conditions.select(*CONDITION_KEYS, start, day), CONDITION_KEYS, start, end)
+
+
 def condition_eras(
     conditions: DataFrame, window: int = 30, fill: bool = True, running_max: bool = False
 ) -> DataFrame:
-    """Condition eras per person and concept.
+    """Condition eras per person and concept, of facts or of their spans.
 
     ``fill=False`` skips the date fills for facts that are known to carry both dates.
     """
-    keys = ["person_id", "condition_concept_id"]
-    start, end = "condition_start_date", "condition_end_date"
-    facts = conditions.select(*keys, start, column_or_null(conditions, end, "date").alias(end))
+    keys, (start, end) = CONDITION_KEYS, CONDITION_DATES
+    counted = ["_n"] if "_n" in conditions.columns else []
+    facts = conditions.select(*keys, start, column_or_null(conditions, end, "date").alias(end), *counted)
     if fill:
-        facts = fill_era_dates(distinct_spans(facts), "person_id", start, end, end_from_person=False)
+        facts = fill_era_dates(facts, keys, "person_id", start, end, end_from_person=False)
     eras = collapse_eras(facts, keys, start, end, window, running_max)
     return _finish(eras, "condition", keys, [F.col(k) for k in keys])
 
 
+def drug_spans(exposures: DataFrame) -> DataFrame:
+    """What drug eras depend on."""
+    return era_spans(exposures.select(*DRUG_KEYS, *DRUG_DATES), DRUG_KEYS, *DRUG_DATES)
+
+
 def drug_eras(
     exposures: DataFrame, window: int = 30, fill: bool = True, running_max: bool = False
 ) -> DataFrame:
-    """Drug eras per person and concept."""
-    keys = ["person_id", "drug_concept_id"]
-    start, end = "drug_exposure_start_date", "drug_exposure_end_date"
-    facts = exposures.select(*keys, start, end)
+    """Drug eras per person and concept, of facts or of their spans."""
+    keys = DRUG_KEYS
+    counted = ["_n"] if "_n" in exposures.columns else []
+    facts = exposures.select(*keys, *DRUG_DATES, *counted)
     if fill:
-        facts = fill_era_dates(distinct_spans(facts), "person_id", start, end)
-    eras = collapse_eras(facts, keys, start, end, window, running_max)
+        facts = fill_era_dates(facts, keys, "person_id", *DRUG_DATES)
+    eras = collapse_eras(facts, keys, *DRUG_DATES, window, running_max)
     return _finish(eras, "drug", keys, [F.col(k) for k in keys])
 
 
@@ -278,17 +333,25 @@ def dose_columns(exposures: DataFrame) -> dict[str, Column]:
     }
 
 
+def _doses(exposures: DataFrame) -> DataFrame:
+    dose = [c.alias(name) for name, c in dose_columns(exposures).items()]
+    return exposures.select(*DRUG_KEYS, *DRUG_DATES, *dose)
+
+
+def dose_spans(exposures: DataFrame) -> DataFrame:
+    """What dose eras depend on."""
+    return era_spans(_doses(exposures), DOSE_KEYS, *DRUG_DATES)
+
+
 def dose_eras(
     exposures: DataFrame, window: int = 30, fill: bool = True, running_max: bool = False
 ) -> DataFrame:
-    """Dose eras per person, concept, unit and dose."""
-    keys = ["person_id", "drug_concept_id", "unit_concept_id", "dose_value"]
-    start, end = "drug_exposure_start_date", "drug_exposure_end_date"
-    dose = [c.alias(name) for name, c in dose_columns(exposures).items()]
-    facts = exposures.select("person_id", "drug_concept_id", start, end, *dose)
+    """Dose eras per person, concept, unit and dose, of facts or of their spans."""
+    keys = DOSE_KEYS
+    facts = exposures if "_n" in exposures.columns else _doses(exposures)
     if fill:
-        facts = fill_era_dates(distinct_spans(facts), "person_id", start, end)
-    eras = collapse_eras(facts, keys, start, end, window, running_max)
+        facts = fill_era_dates(facts, keys, "person_id", *DRUG_DATES)
+    eras = collapse_eras(facts, keys, *DRUG_DATES, window, running_max)
     parts = [float_text(F.col(k)) if k == "dose_value" else F.col(k) for k in keys]
     return _finish(eras, "dose", keys, parts)
 

@@ -6,6 +6,9 @@ for the joins, which takes one cipher call per dimension row instead of one per
 Lookups into dimensions are one to one, so the first row of each id can be picked before
 them; only joins that drop rows come earlier. The order of the joins keeps the fact table
 down to one exchange per key.
+
+What is new is found first and staged; codes, visits, providers and sites are looked up for these
+rows alone, so that the extract is read once and a load without news looks nothing up.
 """
 
 from __future__ import annotations
@@ -18,7 +21,6 @@ from pyspark.sql import functions as F
 from cohortloom import schema
 from cohortloom.functions.keys import reveal
 from cohortloom.functions.text import cut, whole_number_text
-from cohortloom.operators.intervals import condition_eras, dose_eras, drug_eras
 from cohortloom.operators.joins import (
     first_new,
     join_dimension,
@@ -57,6 +59,10 @@ def _stored(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[shaped(c) for c in schema.LOADED[table]])
 
 
+def _nothing(tables: Tables, table: str) -> DataFrame:
+    return schema.empty_table(tables.spark, table)
+
+
 def _order(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Input order where the scan recorded it, else the declared columns."""
     return [INPUT_ORDER] if INPUT_ORDER in df.columns else list(columns)
@@ -95,7 +101,9 @@ def location(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame
 
 def person(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     """New by natural key; a person whose id another one holds already is not stored either."""
-    new = only_new(mapped, _persons(tables, settings), "person_source_value")
+    new = tables.stage(only_new(mapped, _persons(tables, settings), "person_source_value"))
+    if tables.is_empty(new):
+        return _nothing(tables, "person")
     placed = own_or_looked_up(
         new, _locations(tables, settings), "location_source_value", "location_id"
     )
@@ -127,7 +135,9 @@ def observation_period(mapped: DataFrame, tables: Tables, settings: Settings) ->
 
 def care_site(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     existing = tables.read("care_site", ["care_site_id"])
-    new = first_new(mapped, existing, "care_site_id", _order(mapped, ["care_site_name"]))
+    new = tables.stage(first_new(mapped, existing, "care_site_id", _order(mapped, ["care_site_name"])))
+    if tables.is_empty(new):
+        return _nothing(tables, "care_site")
     placed = join_dimension(
         new, _locations(tables, settings), "location_source_value", "location_id"
     )
@@ -137,6 +147,9 @@ def care_site(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFram
 def provider(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     existing = tables.read("provider", ["provider_id"])
     new = first_new(mapped, existing, "provider_id", _order(mapped, ["provider_source_value"]))
+    new = tables.stage(new)
+    if tables.is_empty(new):
+        return _nothing(tables, "provider")
     sites = _sites(tables, settings)
     return _stored(
         join_dimension(new, sites, "care_site_source_value", "care_site_id"), "provider"
@@ -158,36 +171,42 @@ def visit_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> D
         "visit_occurrence_id",
         order,
     )
+    new = tables.stage(new)
+    if tables.is_empty(new):
+        return _nothing(tables, "visit_occurrence")
     return _stored(_with_provider_and_site(new, tables, settings), "visit_occurrence")
 
 
 def _new_events(
     mapped: DataFrame, tables: Tables, settings: Settings, table: str, order: Sequence[str]
 ) -> DataFrame:
-    """First new row of each id among the known persons, with its visit."""
+    """First new row of each id among the known persons, staged."""
     events = join_person(mapped, _persons(tables, settings)).drop("person_source_value")
     key = f"{table}_id"
-    new = first_new(events, tables.read(table, [key]), key, _order(mapped, order))
+    return tables.stage(first_new(events, tables.read(table, [key]), key, _order(mapped, order)))
+
+
+def _with_visit(events: DataFrame, tables: Tables) -> DataFrame:
     return join_dimension(
-        new, tables.read("visit_occurrence"), "visit_source_value", "visit_occurrence_id"
+        events, tables.read("visit_occurrence"), "visit_source_value", "visit_occurrence_id"
     )
 
 
 def _codes(
-    mapped: DataFrame,
+    events: DataFrame,
     columns: Sequence[str],
     tables: Tables,
     vocabularies: Sequence[str],
     own_vocabularies: Sequence[str] = (),
 ) -> DataFrame:
-    """Ids of the codes the mapped table uses.
+    """Ids of the codes that the new rows use.
 
     Staged, so that the planner knows its size before it plans the joins with the facts: a
     small table is broadcast and the facts stay where they are.
     """
     return tables.stage(
         code_table(
-            used_codes(mapped, *columns),
+            used_codes(events, *columns),
             tables.read("concept"),
             tables.read("concept_relationship"),
             vocabularies,
@@ -210,9 +229,11 @@ def _coded(
     code = f"{stem}_source_concept_id"
     order = [*dates, code, f"{stem}_source_value", "visit_source_value", "person_id"]
     events = _new_events(mapped, tables, settings, table, order)
-    ids = _codes(mapped, [code], tables, vocabularies, sources)
+    if tables.is_empty(events):
+        return _nothing(tables, table)
+    ids = _codes(events, [code], tables, vocabularies, sources)
     found = {f"{stem}_concept_id": "concept_id", code: "own_id"}
-    return _stored(apply_codes(events, code, ids, found), table)
+    return _stored(apply_codes(_with_visit(events, tables), code, ids, found), table)
 
 
 def condition_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
@@ -255,8 +276,11 @@ def visit_detail(mapped: DataFrame, tables: Tables, settings: Settings) -> DataF
         "visit_detail_id",
         _order(mapped, order),
     )
+    details = tables.stage(details)
+    if tables.is_empty(details):
+        return _nothing(tables, "visit_detail")
     columns = [concept, source, admitted]
-    ids = _codes(mapped, columns, tables, DETAIL_CODES, DETAIL_CODES)
+    ids = _codes(details, columns, tables, DETAIL_CODES, DETAIL_CODES)
     details = apply_codes(details, concept, ids, {concept: "concept_id"})
     details = apply_codes(details, source, ids, {source: "own_id"})
     details = apply_codes(details, admitted, ids, {admitted: "concept_id"})
@@ -278,9 +302,11 @@ def _observed(
         f"{table}_source_value", "visit_source_value", "person_id",
     ]
     events = _new_events(mapped, tables, settings, table, order)
+    if tables.is_empty(events):
+        return _nothing(tables, table)
     own = vocabularies if own_source else ()
-    ids = _codes(mapped, [kind, concept, source], tables, vocabularies, own)
-    events = apply_codes(events, kind, ids, {kind: "concept_id"})
+    ids = _codes(events, [kind, concept, source], tables, vocabularies, own)
+    events = apply_codes(_with_visit(events, tables), kind, ids, {kind: "concept_id"})
     events = apply_codes(events, concept, ids, {concept: "concept_id"})
     events = apply_codes(events, source, ids, {source: "own_id" if own_source else "concept_id"})
     return _stored(events, table)
@@ -298,43 +324,3 @@ def observation(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFr
     return _observed(
         mapped, tables, settings, "observation", OBSERVATION_CODES, own_source=True
     )
-
-
-def _facts_of(
-    tables: Tables, table: str, start: str, end: str, persons: DataFrame | None
-) -> DataFrame:
-    """Facts of the given persons, or all of them.
-
-    Eras depend on the facts of their person, except where none of these has a start and one
-    has no date at all: that one takes the median of all starts, so all facts are needed.
-    """
-    facts = tables.read(table)
-    if persons is None:
-        return facts
-    dateless = facts.filter(F.col(start).isNull() & F.col(end).isNull()).select("person_id").distinct()
-    if not dateless.isEmpty():
-        with_start = facts.filter(F.col(start).isNotNull()).select("person_id")
-        if not dateless.dropna().join(with_start, "person_id", "left_anti").isEmpty():
-            return facts
-    return facts.join(persons, "person_id", "left_semi")
-
-
-def condition_era(
-    tables: Tables, settings: Settings, persons: DataFrame | None = None
-) -> DataFrame:
-    dates = ("condition_start_date", "condition_end_date")
-    facts = _facts_of(tables, "condition_occurrence", *dates, persons)
-    return condition_eras(facts, settings.condition_window)
-
-
-def _exposures(tables: Tables, persons: DataFrame | None) -> DataFrame:
-    dates = ("drug_exposure_start_date", "drug_exposure_end_date")
-    return _facts_of(tables, "drug_exposure", *dates, persons)
-
-
-def drug_era(tables: Tables, settings: Settings, persons: DataFrame | None = None) -> DataFrame:
-    return drug_eras(_exposures(tables, persons), settings.drug_window)
-
-
-def dose_era(tables: Tables, settings: Settings, persons: DataFrame | None = None) -> DataFrame:
-    return dose_eras(_exposures(tables, persons), settings.dose_window)

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom import schema
 from cohortloom.functions.keys import id_collisions, pseudonym
 from cohortloom.functions.parse import coerce, project
+from cohortloom.operators import intervals
 from cohortloom.operators.joins import only_new
 from cohortloom.operators.worklist import new_mappings
 from cohortloom.plans import entities, loads
@@ -21,7 +23,20 @@ from cohortloom.sources.tables import ParquetStore, Tables, conform_vocabulary
 
 MapStage = Callable[[DataFrame, Settings], DataFrame]
 LoadStage = Callable[[DataFrame, Tables, Settings], DataFrame]
-EraStage = Callable[[Tables, Settings, DataFrame | None], DataFrame]
+
+
+@dataclass(frozen=True)
+class EraSpec:
+    """A table derived from facts: what it depends on of them, and the eras of that.
+
+    ``spans`` reduces facts to rows (keys, dates, ``_n``) of which those of several loads are together
+    those of all facts; ``eras`` takes them with the settings.
+    """
+
+    facts: str
+    dates: tuple[str, str]
+    spans: Callable[[DataFrame], DataFrame]
+    eras: Callable[[DataFrame, Settings], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -40,11 +55,20 @@ class TableSpec:
     fields: tuple[str, ...] | None = None
 
 
-ERAS: dict[str, EraStage] = {
-    "condition_era": loads.condition_era,
-    "drug_era": loads.drug_era,
-    "dose_era": loads.dose_era,
-}
+ERAS: dict[str, EraSpec] = {
+    "condition_era": EraSpec(
+        "condition_occurrence", intervals.CONDITION_DATES, intervals.condition_spans,
+        lambda spans, settings: intervals.condition_eras(spans, settings.condition_window),
+    ),
+    "drug_era": EraSpec(
+        "drug_exposure", intervals.DRUG_DATES, intervals.drug_spans,
+        lambda spans, settings: intervals.drug_eras(spans, settings.drug_window),
+    ),
+    "dose_era": EraSpec(
+        "drug_exposure", intervals.DRUG_DATES, intervals.dose_spans,
+        lambda spans, settings: intervals.dose_eras(spans, settings.dose_window),
+    ),
+}
 DRUG_ERAS = ("drug_era", "dose_era")
 
 # In dependency order. One extract may feed several tables and two may feed one.
@@ -123,27 +147,67 @@ def new_rows(
     return _hide_keys(spec.load_stage(plain, tables, settings), settings)
 
 
-def new_eras(
-    table: str, tables: Tables, settings: Settings, persons: DataFrame | None = None
-) -> DataFrame:
-    """Eras of the stored facts, of some ``persons`` or all, the era table does not hold yet."""
-    key = f"{table}_id"
-    return only_new(ERAS[table](tables, settings, persons), tables.read(table, [key]), key)
+def _span_columns(table: str, store: ParquetStore) -> T.StructType:
+    spec = ERAS[table]
+    return spec.spans(schema.empty_table(store.spark, spec.facts)).schema
 
 
-def update_eras(table: str, store: ParquetStore, settings: Settings) -> None:
-    """Bring an era table up to date with the facts stored since the last time.
+def _spans_of(table: str, store: ParquetStore, persons: DataFrame) -> DataFrame:
+    """Spans that the eras of the given persons depend on.
 
-    Only the persons that got facts are looked at; without any nothing is computed.
+    Those of the persons, except where some person has no start at all and a fact without any
+    date: it takes the median of all starts, so all spans are needed.
     """
+    start, end = ERAS[table].dates
+    columns = _span_columns(table, store)
+    spans = store.spans(table, columns)
+    dateless = spans.filter(F.col(start).isNull() & F.col(end).isNull()).select("person_id").distinct()
+    if not dateless.isEmpty():
+        with_start = spans.filter(F.col(start).isNotNull()).select("person_id")
+        if not dateless.dropna().join(with_start, "person_id", "left_anti").isEmpty():
+            return spans
+    return store.spans(table, columns, persons)
+
+
+def update_eras(table: str, store: ParquetStore, settings: Settings, load: str, rows: DataFrame) -> None:
+    """Bring an era table up to date with the ``rows`` that a load adds to its facts.
+
+    The state of the table gets the spans of these rows; from there on only the state of
+    the persons in question is read, not the facts.
+    """
+    spec = ERAS[table]
+    store.put_spans(table, load, spec.spans(rows))
     if settings.rebuild_eras:
-        store.replace(table, ERAS[table](store, settings, None))
-    else:
-        persons = store.pending(table)
-        if persons.isEmpty():
-            return
-        store.append(table, new_eras(table, store, settings, persons))
-    store.clear_pending(table)
+        store.replace(table, spec.eras(store.spans(table, _span_columns(table, store)), settings))
+        return
+    persons = store.stage(rows.select("person_id").dropna().distinct())
+    eras = spec.eras(_spans_of(table, store, persons), settings)
+    key = f"{table}_id"
+    store.append(table, only_new(eras, store.read(table, [key]), key))
+
+
+def _begin_state(table: str, store: ParquetStore) -> None:
+    """The state of an era table whose facts were stored before there was one."""
+    if not store.has_spans(table):
+        spec = ERAS[table]
+        store.put_spans(table, "first", spec.spans(store.read(spec.facts)))
+
+
+def _carry_out(spec: TableSpec, store: ParquetStore, settings: Settings, load: str, again: bool = False) -> None:
+    """Store the rows of a load that was written down, and what is derived from them.
+
+    Each step may be repeated: rows that are stored already are left out (if this is done
+    ``again``), a load's part of a state replaces itself, and eras are compared by id.
+    """
+    rows = store.logged(spec.target, load)
+    new = rows
+    if again:
+        key = schema.key_of(spec.target)
+        new = only_new(rows, store.read(spec.target, [key]), key)
+    store.append(spec.target, new)
+    for era in spec.eras:
+        update_eras(era, store, settings, load, rows)
+    store.finish(spec.target, load)
 
 
 def load_table(
@@ -151,20 +215,23 @@ def load_table(
 ) -> None:
     """Append the new rows of one extract, then bring its era tables up to date.
 
-    Each append is one write of its own. A run that fails half-way can simply be repeated:
-    what it has written already is no longer new, and the persons whose eras are due are
-    noted before their facts are stored. What was staged meanwhile is removed.
+    Where eras hang on them, new rows are written down first and a load that was interrupted is
+    carried out before the next one begins, so a run can simply be repeated: what it has written
+    already is no longer new. What was staged meanwhile is removed.
     """
     with scratch(store.spark):
-        rows = new_rows(spec, extract, store, settings)
-        if spec.eras:
-            rows = store.stage(rows)
-            persons = rows.select("person_id").distinct()
-            for era in spec.eras:
-                store.note_pending(era, persons)
-        store.append(spec.target, rows)
+        if not spec.eras:
+            store.append(spec.target, new_rows(spec, extract, store, settings))
+            return
+        for load in store.loads_under_way(spec.target):
+            _carry_out(spec, store, settings, load, again=True)
         for era in spec.eras:
-            update_eras(era, store, settings)
+            _begin_state(era, store)
+        load = store.log(spec.target, new_rows(spec, extract, store, settings))
+        if store.logged(spec.target, load).isEmpty() and not settings.rebuild_eras:
+            store.finish(spec.target, load)
+        else:
+            _carry_out(spec, store, settings, load)
 
 
 def run_load(

@@ -277,6 +277,11 @@ def declared_schema(table: str) -> T.StructType:
     return T.StructType([declared(c) for c in LOADED[table]])
 
 
+def key_of(table: str) -> str:
+    """The id that a load compares with what is stored already."""
+    return "person_id" if table in ("death", "observation_period") else LOADED[table][0]
+
+
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], table_schema(table))
 

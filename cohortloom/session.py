@@ -44,6 +44,7 @@ def local_session(
     )
     if shared:
         builder = builder.config("spark.checkpoint.dir", shared)
+        builder = builder.config("spark.sql.warehouse.dir", f"{shared.rstrip('/')}/warehouse")
     for name, value in ADAPTIVE.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
@@ -90,6 +91,33 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Spark itself opens it, whatever the store."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, found = hadoop_path(spark, path)
+    return system.exists(found)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it does not exist."""
+    system, found = hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(found)) if system.exists(found) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, found = hadoop_path(spark, path)
+    system.delete(found, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, found = hadoop_path(spark, path)
+    system.mkdirs(found)
+
+
 _SCRATCHES: list[list[str]] = []
 
 
@@ -102,7 +130,5 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCRATCHES.remove(folders)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for folder in folders:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            remove(spark, folder)

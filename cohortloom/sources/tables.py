@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +12,14 @@ from pyspark.sql import types as T
 
 from cohortloom import schema
 from cohortloom.functions.parse import to_day, to_float, to_int
-from cohortloom.session import staged
+from cohortloom.session import children, exists, make_folder, remove, staged
 from cohortloom.sources.extracts import read_extract
 
 CONCEPT_TABLES = tuple(schema.VOCABULARY)
+# Folder beside the tables that names the buckets of each.
+LAYOUT = "layout"
+# Parts of a derived table's state by hash of the person; at most so many numbers reach the driver.
+STATE_PARTS = 256
 
 
 class Tables:
@@ -33,6 +39,10 @@ class Tables:
         """Hook for tables that keep a result that several joins use; here it stays lazy."""
         return df
 
+    def is_empty(self, df: DataFrame) -> bool:
+        """Whether a staged result is known to hold nothing; a lazy one is not looked at."""
+        return False
+
     def with_frames(self, **frames: DataFrame) -> Tables:
         return Tables(self.spark, {**self._frames, **frames})
 
@@ -41,24 +51,47 @@ class ParquetStore(Tables):
     """Data tables and vocabulary tables as parquet folders.
 
     The vocabulary may live below a root of its own, else it shares the data root.
+
+    A data table is bucketed by its id, so that a load compares its new ids with the stored ones
+    bucket by bucket and what is stored is not shuffled for it. ``buckets`` is chosen when the store
+    is created (the number of shuffle partitions unless given) and kept beside the tables. A folder
+    that was filled before there were buckets is read as it is, and shuffled.
     """
 
-    def __init__(self, spark: SparkSession, root: str, vocabulary_root: str | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, vocabulary_root: str | None = None, buckets: int | None = None
+    ):
         super().__init__(spark)
         self._root = root.rstrip("/")
         self._vocabulary = (vocabulary_root or root).rstrip("/")
+        self._wanted = buckets
+        self._known: dict[str, int] | None = None
+        self._names: dict[str, str] = {}
 
     def path(self, table: str) -> str:
         base = self._root if table in schema.LOADED else self._vocabulary
         return f"{base}/{table}"
 
+    def _layout(self) -> dict[str, int]:
+        """Buckets of the tables that have any."""
+        if self._known is None:
+            names = children(self.spark, f"{self._root}/{LAYOUT}")
+            self._known = {t: int(n) for t, n in (name.rsplit("-", 1) for name in names)}
+        return self._known
+
     def create(self, tables: Iterable[str] | None = None) -> ParquetStore:
         """Make the folder of every table, so that a first load reads an empty target.
 
-        Appends nothing but the schema, hence harmless where a table exists already.
+        Harmless where a table exists already.
         """
+        buckets = self._wanted or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         for table in tables or [*schema.LOADED, *CONCEPT_TABLES]:
-            schema.empty_table(self.spark, table).write.mode("append").parquet(self.path(table))
+            if table not in schema.LOADED:
+                schema.empty_table(self.spark, table).write.mode("append").parquet(self.path(table))
+            elif not exists(self.spark, self.path(table)):
+                make_folder(self.spark, f"{self._root}/{LAYOUT}/{table}-{buckets}")
+                make_folder(self.spark, self.path(table))
+        self._known = None
         return self
 
     def create_catalog(self, database: str) -> None:
@@ -67,9 +100,30 @@ class ParquetStore(Tables):
         for table in [*schema.LOADED, *CONCEPT_TABLES]:
             self.spark.sql(schema.create_statement(table, database, self.path(table)))
 
+    def _bucketed(self, table: str) -> str | None:
+        """Name under which the session knows a bucketed table; only tables, not paths, have buckets."""
+        buckets = self._layout().get(table) if table in schema.LOADED else None
+        if buckets is None:
+            return None
+        if table not in self._names:
+            place = hashlib.sha256(f"{self._root}:{buckets}".encode()).hexdigest()[:16]
+            name = f"{table}_{place}"
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.table_schema(table))
+            key = schema.key_of(table)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+                f" CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION '{self.path(table)}'"
+            )
+            self._names[table] = name
+        return self._names[table]
+
     def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
         """A data table in its registry's columns, a vocabulary table in all that were stored."""
-        if table in schema.LOADED:
+        name = self._bucketed(table)
+        if name:
+            self.spark.catalog.refreshTable(name)
+            df = self.spark.table(name)
+        elif table in schema.LOADED:
             df = self.spark.read.schema(schema.table_schema(table)).parquet(self.path(table))
         else:
             df = self.spark.read.option("mergeSchema", True).parquet(self.path(table))
@@ -79,8 +133,11 @@ class ParquetStore(Tables):
         """Write a result to the shared scratch folder and go on from there."""
         return staged(df)
 
+    def is_empty(self, df: DataFrame) -> bool:
+        return df.isEmpty()
+
     def append(self, table: str, rows: DataFrame) -> None:
-        """Append in table order; adaptive execution sizes the files, no shuffle is added.
+        """Append in table order; a bucketed table's rows are dealt into its buckets.
 
         A vocabulary table takes further columns, too, and null for those that are missing.
         """
@@ -88,28 +145,76 @@ class ParquetStore(Tables):
             rows = rows.select(*[f.name for f in schema.table_schema(table)])
         else:
             rows = conform_vocabulary(rows, table)
-        rows.write.mode("append").parquet(self.path(table))
+        self._write(table, rows, overwrite=False)
+
+    def replace(self, table: str, rows: DataFrame) -> None:
+        """Overwrite a table that the rows were not read from."""
+        self._write(table, rows.select(*[f.name for f in schema.table_schema(table)]), overwrite=True)
+
+    def _write(self, table: str, rows: DataFrame, overwrite: bool) -> None:
+        name = self._bucketed(table)
+        if name:
+            dealt = rows.repartition(self._layout()[table], schema.key_of(table))
+            dealt.write.insertInto(name, overwrite=overwrite)
+        else:
+            rows.write.mode("overwrite" if overwrite else "append").parquet(self.path(table))
+
+    # --- loads under way ---
 
-    def _pending(self, table: str) -> str:
+    def _log(self, table: str) -> str:
         return f"{self._root}/{table}-pending"
 
-    def note_pending(self, table: str, persons: DataFrame) -> None:
-        """Note persons whose rows of a derived table are due."""
-        persons.select("person_id").write.mode("append").parquet(self._pending(table))
+    def log(self, table: str, rows: DataFrame) -> str:
+        """Write down the new rows of a load before any table gets them; returns the load's name."""
+        load = uuid.uuid4().hex
+        rows = rows.select(*[f.name for f in schema.table_schema(table)])
+        rows.write.parquet(f"{self._log(table)}/{load}")
+        return load
 
-    def pending(self, table: str) -> DataFrame:
-        """The noted persons, each once."""
-        noted = self.spark.read.schema("person_id long").parquet(self._pending(table))
-        return noted.dropna().distinct()
+    def logged(self, table: str, load: str) -> DataFrame:
+        return self.spark.read.schema(schema.table_schema(table)).parquet(f"{self._log(table)}/{load}")
 
-    def clear_pending(self, table: str) -> None:
-        none = self.spark.createDataFrame([], "person_id long")
-        none.write.mode("overwrite").parquet(self._pending(table))
+    def loads_under_way(self, table: str) -> list[str]:
+        """Loads that were written down and not finished; what was only half written down goes."""
+        whole = []
+        for load in children(self.spark, self._log(table)):
+            path = f"{self._log(table)}/{load}"
+            if exists(self.spark, f"{path}/_SUCCESS"):
+                whole.append(load)
+            else:
+                remove(self.spark, path)
+        return whole
 
-    def replace(self, table: str, rows: DataFrame) -> None:
-        """Overwrite a table that the rows were not read from."""
-        ordered = rows.select(*[f.name for f in schema.table_schema(table)])
-        ordered.write.mode("overwrite").parquet(self.path(table))
+    def finish(self, table: str, load: str) -> None:
+        remove(self.spark, f"{self._log(table)}/{load}")
+
+    # --- state of derived tables ---
+
+    def _state(self, table: str) -> str:
+        return f"{self._root}/{table}-spans"
+
+    def has_spans(self, table: str) -> bool:
+        return bool(children(self.spark, self._state(table)))
+
+    def put_spans(self, table: str, load: str, spans: DataFrame) -> None:
+        """Store what a load adds to the state of a derived table; the same load replaces its own.
+
+        Files are apart by a hash of the person, so that a small load reads few of them.
+        """
+        part = F.pmod(F.xxhash64("person_id"), F.lit(STATE_PARTS)).cast("int").alias("part")
+        rows = spans.select("*", part).repartition("part")
+        path = f"{self._state(table)}/load={load}"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
+
+    def spans(self, table: str, columns: T.StructType, persons: DataFrame | None = None) -> DataFrame:
+        """The state of a derived table, of the given persons or of all."""
+        reader = self.spark.read.schema(T.StructType([*columns, T.StructField("part", T.IntegerType())]))
+        rows = reader.option("basePath", self._state(table)).parquet(f"{self._state(table)}/*")
+        if persons is not None:
+            part = F.pmod(F.xxhash64("person_id"), F.lit(STATE_PARTS)).cast("int")
+            parts = [r[0] for r in persons.select(part).distinct().collect()]
+            rows = rows.filter(F.col("part").isin(parts)).join(persons, "person_id", "left_semi")
+        return rows.select(*columns.names)
 
 
 def append_jdbc(

@@ -224,7 +224,7 @@ def test_equal_closing_rows_give_an_era_each(spark, copies, counted):
     others = [(1, 1, day(0), day(10)), (1, 1, day(101), day(120))]
     data = facts(spark, others + [closing] * copies)
     if counted:
-        data = intervals.distinct_spans(data)
+        data = intervals.drug_spans(data)
     names = ["drug_exposure_start_date", "drug_exposure_end_date"]
     out = intervals.collapse_eras(data, ["person_id", "drug_concept_id"], *names, window=30).collect()
     found, begin, before = [], None, None
@@ -238,10 +238,40 @@ def test_equal_closing_rows_give_an_era_each(spark, copies, counted):
     assert sorted((r.era_start, r.era_end) for r in out) == sorted(found)
 
 
-def test_fills_read_the_facts_once(spark, tmp_path):
-    """What the plan reads is the staged table of distinct spans, not the facts."""
+def test_fills_read_the_facts_twice_and_stage_only_sums(spark, tmp_path):
+    """Once for bounds, day counts and gaps, which are staged, and once for the complete rows."""
     path = str(tmp_path / "facts")
-    facts(spark, [(1, 1, day(i % 9), None if i % 3 else day(i % 9 + 2)) for i in range(90)]).write.parquet(path)
-    out = intervals.drug_eras(spark.read.parquet(path))
-    assert not any(path in f for f in out.inputFiles())
-    assert out.count() > 0
+    rows = [(i % 50, i % 7, day(i % 900), day(i % 900 + i % 40)) for i in range(5000)]
+    rows += [(i % 50, 1, day(i % 9), None) for i in range(90)]
+    facts(spark, rows).write.parquet(path)
+    given = spark.read.parquet(path)
+    out = intervals.drug_eras(given)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    relations = [line for line in plan.splitlines() if "Relation [" in line]
+    complete = [line for line in relations if "drug_exposure_start_date" in line and "_gap" not in line]
+    assert len(complete) == 1
+    bounds, by_day, gaps = intervals._looked_up(given, intervals.DRUG_KEYS, "person_id", *intervals.DRUG_DATES)
+    assert (bounds.count(), by_day.count()) == (50, 900) and gaps.count() <= 90 and out.count() > 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("name", ["drug", "condition"])
+def test_spans_of_parts_are_the_spans_of_the_whole(spark, seed, name):
+    """Eras of the spans of random parts, some reduced again, equal those of the facts."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(300):
+        start = rng.choice([None, *range(0, 300, 5)])
+        end = None if rng.random() < 0.2 else day((start or rng.randrange(300)) + rng.choice([0, 3, 9, -2, -50, 90]))
+        rows.append((rng.choice([None, 1, 2, 3, 4]), rng.choice([None, 1, 2]), None if start is None else day(start), end))
+    rows += [(98, 1, None, day(100)), (99, 1, None, None)]
+    build = intervals.drug_eras if name == "drug" else intervals.condition_eras
+    spans = intervals.drug_spans if name == "drug" else intervals.condition_spans
+    expected = sorted(map(str, build(facts(spark, rows, name), window=20).collect()))
+    cuts = [rng.randrange(4) for _ in rows]
+    parts = [spans(facts(spark, [r for r, c in zip(rows, cuts) if c == k], name)) for k in range(4)]
+    both = parts[0].unionByName(parts[1])
+    keys = intervals.DRUG_KEYS if name == "drug" else intervals.CONDITION_KEYS
+    dates = intervals.DRUG_DATES if name == "drug" else intervals.CONDITION_DATES
+    merged = intervals.era_spans(both, keys, *dates).unionByName(parts[2]).unionByName(parts[3])
+    assert sorted(map(str, build(merged, window=20).collect())) == expected
