@@ -8,7 +8,7 @@ them; only joins that drop rows come earlier. The order of the joins keeps the f
 down to one exchange per key.
 
 What is new is found first and staged; codes, visits, providers and sites are looked up for these
-rows alone, so that the extract is read once and a load without news looks nothing up.
+rows alone, so that the extract is read once. A stage gives None where it has found nothing new.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ from cohortloom import schema
 from cohortloom.functions.keys import reveal
 from cohortloom.functions.text import cut, whole_number_text
 from cohortloom.operators.joins import (
-    first_new,
     join_dimension,
     join_parent,
     join_person,
+    keep_first,
     only_new,
     own_or_looked_up,
 )
@@ -59,15 +59,16 @@ def _stored(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[shaped(c) for c in schema.LOADED[table]])
 
 
-def _nothing(tables: Tables, table: str) -> DataFrame:
-    return schema.empty_table(tables.spark, table)
-
-
 def _order(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Input order where the scan recorded it, else the declared columns."""
     return [INPUT_ORDER] if INPUT_ORDER in df.columns else list(columns)
 
 
+def _first_new(df: DataFrame, tables: Tables, table: str, order: Sequence[str]) -> DataFrame:
+    """First row of each id that the table does not hold."""
+    return tables.only_new(keep_first(df, schema.key_of(table), order), table)
+
+
 def _dimension(tables: Tables, table: str, settings: Settings, *columns: str) -> DataFrame:
     """Columns of a stored table with its pseudonyms deciphered.
 
@@ -94,30 +95,26 @@ def _sites(tables: Tables, settings: Settings) -> DataFrame:
 
 
 def location(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
-    existing = tables.read("location", ["location_id"])
-    new = first_new(mapped, existing, "location_id", _order(mapped, ["city", "county"]))
+    new = _first_new(mapped, tables, "location", _order(mapped, ["city", "county"]))
     return _stored(new, "location")
 
 
-def person(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def person(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
     """New by natural key; a person whose id another one holds already is not stored either."""
     new = tables.stage(only_new(mapped, _persons(tables, settings), "person_source_value"))
     if tables.is_empty(new):
-        return _nothing(tables, "person")
+        return None
     placed = own_or_looked_up(
         new, _locations(tables, settings), "location_source_value", "location_id"
     )
     order = _order(mapped, ["birth_datetime", "gender_source_value", "race_source_value"])
-    existing = tables.read("person", ["person_id"])
-    return _stored(first_new(placed, existing, "person_id", order), "person")
+    return _stored(_first_new(placed, tables, "person", order), "person")
 
 
 def death(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
     dead = join_person(mapped, _persons(tables, settings))
     order = _order(mapped, ["death_datetime", "cause_source_value"])
-    return _stored(
-        first_new(dead, tables.read("death", ["person_id"]), "person_id", order), "death"
-    )
+    return _stored(_first_new(dead, tables, "death", order), "death")
 
 
 def observation_period(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
@@ -126,30 +123,24 @@ def observation_period(mapped: DataFrame, tables: Tables, settings: Settings) ->
     )
     start, end = "observation_period_start_date", "observation_period_end_date"
     periods = clamp_period(periods, start, end, F.col("birth_datetime").cast("date"))
-    existing = tables.read("observation_period", ["person_id"])
-    return _stored(
-        first_new(periods, existing, "person_id", _order(mapped, [start, end])),
-        "observation_period",
-    )
+    new = _first_new(periods, tables, "observation_period", _order(mapped, [start, end]))
+    return _stored(new, "observation_period")
 
 
-def care_site(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
-    existing = tables.read("care_site", ["care_site_id"])
-    new = tables.stage(first_new(mapped, existing, "care_site_id", _order(mapped, ["care_site_name"])))
+def care_site(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
+    new = tables.stage(_first_new(mapped, tables, "care_site", _order(mapped, ["care_site_name"])))
     if tables.is_empty(new):
-        return _nothing(tables, "care_site")
+        return None
     placed = join_dimension(
         new, _locations(tables, settings), "location_source_value", "location_id"
     )
     return _stored(placed, "care_site")
 
 
-def provider(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
-    existing = tables.read("provider", ["provider_id"])
-    new = first_new(mapped, existing, "provider_id", _order(mapped, ["provider_source_value"]))
-    new = tables.stage(new)
+def provider(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
+    new = tables.stage(_first_new(mapped, tables, "provider", _order(mapped, ["provider_source_value"])))
     if tables.is_empty(new):
-        return _nothing(tables, "provider")
+        return None
     sites = _sites(tables, settings)
     return _stored(
         join_dimension(new, sites, "care_site_source_value", "care_site_id"), "provider"
@@ -162,18 +153,12 @@ def _with_provider_and_site(df: DataFrame, tables: Tables, settings: Settings) -
     return join_dimension(df, sites, "care_site_source_value", "care_site_id")
 
 
-def visit_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def visit_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
     visits = join_person(mapped, _persons(tables, settings)).drop("person_source_value")
     order = ["visit_start_datetime", "visit_end_datetime", "visit_concept_id", "person_id"]
-    new = first_new(
-        visits,
-        tables.read("visit_occurrence", ["visit_occurrence_id"]),
-        "visit_occurrence_id",
-        order,
-    )
-    new = tables.stage(new)
+    new = tables.stage(_first_new(visits, tables, "visit_occurrence", order))
     if tables.is_empty(new):
-        return _nothing(tables, "visit_occurrence")
+        return None
     return _stored(_with_provider_and_site(new, tables, settings), "visit_occurrence")
 
 
@@ -182,8 +167,7 @@ def _new_events(
 ) -> DataFrame:
     """First new row of each id among the known persons, staged."""
     events = join_person(mapped, _persons(tables, settings)).drop("person_source_value")
-    key = f"{table}_id"
-    return tables.stage(first_new(events, tables.read(table, [key]), key, _order(mapped, order)))
+    return tables.stage(_first_new(events, tables, table, _order(mapped, order)))
 
 
 def _with_visit(events: DataFrame, tables: Tables) -> DataFrame:
@@ -224,19 +208,19 @@ def _coded(
     dates: Sequence[str],
     vocabularies: Sequence[str],
     sources: Sequence[str],
-) -> DataFrame:
+) -> DataFrame | None:
     """Events with one source code, which gives the concept and the source concept."""
     code = f"{stem}_source_concept_id"
     order = [*dates, code, f"{stem}_source_value", "visit_source_value", "person_id"]
     events = _new_events(mapped, tables, settings, table, order)
     if tables.is_empty(events):
-        return _nothing(tables, table)
+        return None
     ids = _codes(events, [code], tables, vocabularies, sources)
     found = {f"{stem}_concept_id": "concept_id", code: "own_id"}
     return _stored(apply_codes(_with_visit(events, tables), code, ids, found), table)
 
 
-def condition_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def condition_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
     dates = ["condition_start_datetime", "condition_end_datetime"]
     return _coded(
         mapped, tables, settings, "condition_occurrence", "condition", dates, CONDITION_CODES,
@@ -244,7 +228,7 @@ def condition_occurrence(mapped: DataFrame, tables: Tables, settings: Settings)
     )
 
 
-def procedure_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def procedure_occurrence(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
     dates = ["procedure_datetime", "procedure_end_datetime"]
     return _coded(
         mapped, tables, settings, "procedure_occurrence", "procedure", dates, PROCEDURE_CODES,
@@ -252,7 +236,7 @@ def procedure_occurrence(mapped: DataFrame, tables: Tables, settings: Settings)
     )
 
 
-def drug_exposure(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def drug_exposure(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
     dates = ["drug_exposure_start_datetime", "drug_exposure_end_datetime"]
     filled = fill_either(mapped, "drug_exposure_start_date", "drug_exposure_end_date")
     return _coded(
@@ -260,7 +244,7 @@ def drug_exposure(mapped: DataFrame, tables: Tables, settings: Settings) -> Data
     )
 
 
-def visit_detail(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def visit_detail(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
     """Details of unknown visits vanish, so that join comes before the first row is picked."""
     concept, source = "visit_detail_concept_id", "visit_detail_source_concept_id"
     admitted = "admitted_from_concept_id"
@@ -270,15 +254,9 @@ def visit_detail(mapped: DataFrame, tables: Tables, settings: Settings) -> DataF
         details, tables.read("visit_occurrence"), "visit_source_value", "visit_occurrence_id"
     )
     order = ["visit_detail_start_datetime", "visit_detail_end_datetime", concept, "person_id"]
-    details = first_new(
-        details,
-        tables.read("visit_detail", ["visit_detail_id"]),
-        "visit_detail_id",
-        _order(mapped, order),
-    )
-    details = tables.stage(details)
+    details = tables.stage(_first_new(details, tables, "visit_detail", _order(mapped, order)))
     if tables.is_empty(details):
-        return _nothing(tables, "visit_detail")
+        return None
     columns = [concept, source, admitted]
     ids = _codes(details, columns, tables, DETAIL_CODES, DETAIL_CODES)
     details = apply_codes(details, concept, ids, {concept: "concept_id"})
@@ -294,7 +272,7 @@ def _observed(
     table: str,
     vocabularies: Sequence[str],
     own_source: bool,
-) -> DataFrame:
+) -> DataFrame | None:
     kind, concept = f"{table}_type_concept_id", f"{table}_concept_id"
     source = f"{table}_source_concept_id"
     order = [
@@ -303,7 +281,7 @@ def _observed(
     ]
     events = _new_events(mapped, tables, settings, table, order)
     if tables.is_empty(events):
-        return _nothing(tables, table)
+        return None
     own = vocabularies if own_source else ()
     ids = _codes(events, [kind, concept, source], tables, vocabularies, own)
     events = apply_codes(_with_visit(events, tables), kind, ids, {kind: "concept_id"})
@@ -312,14 +290,14 @@ def _observed(
     return _stored(events, table)
 
 
-def measurement(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def measurement(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
     """All three code columns go through the resolver."""
     return _observed(
         mapped, tables, settings, "measurement", MEASUREMENT_CODES, own_source=False
     )
 
 
-def observation(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def observation(mapped: DataFrame, tables: Tables, settings: Settings) -> DataFrame | None:
     """The source code is looked up as it is, the other two go through the resolver."""
     return _observed(
         mapped, tables, settings, "observation", OBSERVATION_CODES, own_source=True

@@ -13,7 +13,6 @@ from cohortloom import schema
 from cohortloom.functions.keys import id_collisions, pseudonym
 from cohortloom.functions.parse import coerce, project
 from cohortloom.operators import intervals
-from cohortloom.operators.joins import only_new
 from cohortloom.operators.worklist import new_mappings
 from cohortloom.plans import entities, loads
 from cohortloom.plans.settings import Settings
@@ -22,7 +21,7 @@ from cohortloom.sources.extracts import INPUT_ORDER, read_extract, read_reviewed
 from cohortloom.sources.tables import ParquetStore, Tables, conform_vocabulary
 
 MapStage = Callable[[DataFrame, Settings], DataFrame]
-LoadStage = Callable[[DataFrame, Tables, Settings], DataFrame]
+LoadStage = Callable[[DataFrame, Tables, Settings], DataFrame | None]
 
 
 @dataclass(frozen=True)
@@ -135,6 +134,13 @@ def map_rows(spec: TableSpec, extract: DataFrame, settings: Settings) -> DataFra
     return _hide_keys(_plain_rows(spec, extract, settings), settings)
 
 
+def _new_rows(
+    spec: TableSpec, extract: DataFrame, tables: Tables, settings: Settings
+) -> DataFrame | None:
+    found = spec.load_stage(_plain_rows(spec, extract, settings), tables, settings)
+    return None if found is None else _hide_keys(found, settings)
+
+
 def new_rows(
     spec: TableSpec, extract: DataFrame, tables: Tables, settings: Settings
 ) -> DataFrame:
@@ -143,8 +149,8 @@ def new_rows(
     Facts are joined on plain keys and the much smaller dimensions are deciphered for it;
     what is stored is enciphered last, when only the new rows are left.
     """
-    plain = _plain_rows(spec, extract, settings)
-    return _hide_keys(spec.load_stage(plain, tables, settings), settings)
+    found = _new_rows(spec, extract, tables, settings)
+    return schema.empty_table(tables.spark, spec.target) if found is None else found
 
 
 def _span_columns(table: str, store: ParquetStore) -> T.StructType:
@@ -182,8 +188,7 @@ def update_eras(table: str, store: ParquetStore, settings: Settings, load: str,
         return
     persons = store.stage(rows.select("person_id").dropna().distinct())
     eras = spec.eras(_spans_of(table, store, persons), settings)
-    key = f"{table}_id"
-    store.append(table, only_new(eras, store.read(table, [key]), key))
+    store.append(table, store.only_new(eras, table))
 
 
 def _begin_state(table: str, store: ParquetStore) -> None:
@@ -200,11 +205,7 @@ def _carry_out(spec: TableSpec, store: ParquetStore, settings: Settings, load: s
     ``again``), a load's part of a state replaces itself, and eras are compared by id.
     """
     rows = store.logged(spec.target, load)
-    new = rows
-    if again:
-        key = schema.key_of(spec.target)
-        new = only_new(rows, store.read(spec.target, [key]), key)
-    store.append(spec.target, new)
+    store.append(spec.target, store.only_new(rows, spec.target) if again else rows)
     for era in spec.eras:
         update_eras(era, store, settings, load, rows)
     store.finish(spec.target, load)
@@ -220,18 +221,20 @@ def load_table(
     already is no longer new. What was staged meanwhile is removed.
     """
     with scratch(store.spark):
+        if spec.eras:
+            for load in store.loads_under_way(spec.target):
+                _carry_out(spec, store, settings, load, again=True)
+            for era in spec.eras:
+                _begin_state(era, store)
+        rows = _new_rows(spec, extract, store, settings)
+        if rows is None and not (spec.eras and settings.rebuild_eras):
+            return
         if not spec.eras:
-            store.append(spec.target, new_rows(spec, extract, store, settings))
+            store.append(spec.target, rows)
             return
-        for load in store.loads_under_way(spec.target):
-            _carry_out(spec, store, settings, load, again=True)
-        for era in spec.eras:
-            _begin_state(era, store)
-        load = store.log(spec.target, new_rows(spec, extract, store, settings))
-        if store.logged(spec.target, load).isEmpty() and not settings.rebuild_eras:
-            store.finish(spec.target, load)
-        else:
-            _carry_out(spec, store, settings, load)
+        if rows is None:
+            rows = schema.empty_table(store.spark, spec.target)
+        _carry_out(spec, store, settings, store.log(spec.target, rows))
 
 
 def run_load(

@@ -12,14 +12,15 @@ from pyspark.sql import types as T
 
 from cohortloom import schema
 from cohortloom.functions.parse import to_day, to_float, to_int
+from cohortloom.operators.joins import only_new
 from cohortloom.session import children, exists, make_folder, remove, staged
 from cohortloom.sources.extracts import read_extract
 
 CONCEPT_TABLES = tuple(schema.VOCABULARY)
 # Folder beside the tables that names the buckets of each.
 LAYOUT = "layout"
-# Parts of a derived table's state by hash of the person; at most so many numbers reach the driver.
-STATE_PARTS = 256
+# Parts of a derived table's state where the table itself has no buckets.
+STATE_PARTS = 16
 
 
 class Tables:
@@ -43,6 +44,11 @@ class Tables:
         """Whether a staged result is known to hold nothing; a lazy one is not looked at."""
         return False
 
+    def only_new(self, rows: DataFrame, table: str) -> DataFrame:
+        """Rows whose id the table does not hold yet."""
+        key = schema.key_of(table)
+        return only_new(rows, self.read(table, [key]), key)
+
     def with_frames(self, **frames: DataFrame) -> Tables:
         return Tables(self.spark, {**self._frames, **frames})
 
@@ -129,6 +135,21 @@ class ParquetStore(Tables):
             df = self.spark.read.option("mergeSchema", True).parquet(self.path(table))
         return df.select(*columns) if columns else df
 
+    def only_new(self, rows: DataFrame, table: str) -> DataFrame:
+        """Rows whose id the table does not hold yet; what is stored stays where it is.
+
+        With fewer buckets than shuffle partitions Spark would shuffle the stored ids to the latter,
+        so the rows, of which there is one for each id by now, are dealt into the buckets before. An
+        anti join would be planned below that, hence the outer one.
+        """
+        buckets = self._layout().get(table) if table in schema.LOADED else None
+        if not buckets or buckets >= int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            return super().only_new(rows, table)
+        key = schema.key_of(table)
+        held = self.read(table, [key]).withColumn("_held", F.lit(True))
+        joined = rows.repartition(buckets, key).join(held, key, "left").filter(F.col("_held").isNull())
+        return joined.select(*rows.columns)
+
     def stage(self, df: DataFrame) -> DataFrame:
         """Write a result to the shared scratch folder and go on from there."""
         return staged(df)
@@ -193,16 +214,20 @@ class ParquetStore(Tables):
     def _state(self, table: str) -> str:
         return f"{self._root}/{table}-spans"
 
+    def _part(self, table: str):
+        """The part of the state that a person's rows are in: as many as the table has buckets."""
+        parts = self._layout().get(table, STATE_PARTS)
+        return F.pmod(F.xxhash64("person_id"), F.lit(parts)).cast("int").alias("part")
+
     def has_spans(self, table: str) -> bool:
-        return bool(children(self.spark, self._state(table)))
+        return exists(self.spark, f"{self._state(table)}/load=first/_SUCCESS")
 
     def put_spans(self, table: str, load: str, spans: DataFrame) -> None:
         """Store what a load adds to the state of a derived table; the same load replaces its own.
 
         Files are apart by a hash of the person, so that a small load reads few of them.
         """
-        part = F.pmod(F.xxhash64("person_id"), F.lit(STATE_PARTS)).cast("int").alias("part")
-        rows = spans.select("*", part).repartition("part")
+        rows = spans.select("*", self._part(table)).repartition("part")
         path = f"{self._state(table)}/load={load}"
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
 
@@ -211,8 +236,7 @@ class ParquetStore(Tables):
         reader = self.spark.read.schema(T.StructType([*columns, T.StructField("part", T.IntegerType())]))
         rows = reader.option("basePath", self._state(table)).parquet(f"{self._state(table)}/*")
         if persons is not None:
-            part = F.pmod(F.xxhash64("person_id"), F.lit(STATE_PARTS)).cast("int")
-            parts = [r[0] for r in persons.select(part).distinct().collect()]
+            parts = [r[0] for r in persons.select(self._part(table)).distinct().collect()]
             rows = rows.filter(F.col("part").isin(parts)).join(persons, "person_id", "left_semi")
         return rows.select(*columns.names)
 

@@ -1,6 +1,7 @@
 """Load runs from CSV extracts into stored tables."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -247,6 +248,179 @@ def test_interrupted_loads_make_up_for_their_eras(spark, settings, extracts, loa
     assert rows(store, "condition_era") == rows(loaded, "condition_era")
 
 
+FACTS_FROM = ("person", "visit_occurrence", "concept", "concept_relationship")
+
+
+def store_beside(spark, loaded, path, buckets=None):
+    """An empty store but for the dimensions and the vocabulary."""
+    store = ParquetStore(spark, str(path), buckets=buckets).create()
+    for table in FACTS_FROM:
+        store.append(table, loaded.read(table))
+    return store
+
+
+@pytest.mark.parametrize("broken", ["append", "put_spans", "finish"])
+def test_a_load_that_broke_off_is_carried_out(spark, settings, extracts, loaded, tmp_path, monkeypatch, broken):
+    """Wherever it stops, the next run ends with the rows of an uninterrupted one, and nothing twice."""
+    store, spec = store_beside(spark, loaded, tmp_path), spec_for("drug_exposure", "medications")
+    done = getattr(store, broken)
+    with monkeypatch.context() as patch:
+        def stop(table, *rest):
+            if broken != "append" or table == "drug_era":
+                raise ZeroDivisionError
+            return done(table, *rest)
+
+        patch.setattr(store, broken, stop)
+        if broken == "put_spans":
+            patch.setattr("cohortloom.plans.runs._begin_state", lambda *_: None)
+        with pytest.raises(ZeroDivisionError):
+            load_table(spec, extracts["medications"], store, settings)
+    assert store.loads_under_way("drug_exposure") and store.read("drug_exposure").count() == 3
+    load_table(spec, extracts["medications"], store, settings)
+    whole = store_beside(spark, loaded, tmp_path / "whole")
+    load_table(spec, extracts["medications"], whole, settings)
+    for table in ("drug_exposure", "drug_era", "dose_era"):
+        assert rows(store, table) == rows(whole, table)
+    assert store.loads_under_way("drug_exposure") == []
+
+
+def test_a_half_written_log_is_dropped(spark, settings, extracts, loaded, tmp_path):
+    store = store_beside(spark, loaded, tmp_path)
+    load = store.log("condition_occurrence", loaded.read("condition_occurrence"))
+    (tmp_path / "condition_occurrence-pending" / load / "_SUCCESS").unlink()
+    load_table(spec_for("condition_occurrence"), extracts["conditions"], store, settings)
+    assert rows(store, "condition_era") == rows(loaded, "condition_era")
+
+
+def counted(spark, df):
+    """The frame, and an accumulator of the rows it hands out over all scans."""
+    total = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            total.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), total
+
+
+@pytest.mark.parametrize("source, target", [
+    ("conditions", "condition_occurrence"), ("medications", "drug_exposure"), ("encounters", "visit_detail"),
+    ("observations", "measurement"), ("encounters", "visit_occurrence"),
+])
+def test_a_load_reads_its_extract_once(spark, settings, extracts, loaded, tmp_path, source, target):
+    store, spec = store_beside(spark, loaded, tmp_path), spec_for(target, source)
+    for table in ("care_site", "provider"):
+        store.append(table, loaded.read(table))
+    if target == "visit_occurrence":
+        store.replace(target, schema.empty_table(spark, target))
+    for _ in range(2):
+        extract, total = counted(spark, extracts[source])
+        load_table(spec, extract, store, settings)
+        assert total.value == extracts[source].count()
+    assert store.read(target).count() > 0
+
+
+def ways_to_scans(node, above=()):
+    """The operators from the top of a plan to each scan."""
+    way = [*above, node.simpleString(1000)]
+    nodes = [node.children().apply(i) for i in range(node.children().size())]
+    return [w for n in nodes for w in ways_to_scans(n, way)] if nodes else [way]
+
+
+def test_stored_ids_are_not_moved(spark, settings, extracts, loaded):
+    """The anti join reads the buckets of the target in place, whatever the number of shuffle partitions."""
+
+    class Lazy(ParquetStore):
+        def stage(self, df):
+            return df
+
+        def is_empty(self, df):
+            return False
+
+    store = Lazy(spark, loaded._root, loaded._vocabulary)
+    before = {n: spark.conf.get(n, None) for n in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for target, partitions in (("death", "3"), ("drug_exposure", "50"), ("visit_detail", "50"), ("measurement", "3")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spec = spec_for(target)
+            plan = new_rows(spec, extracts[spec.source], store, settings)._jdf.queryExecution().executedPlan()
+            ways = [way for way in ways_to_scans(plan.initialPlan()) if f".{target}_" in way[-1]]
+            assert ways
+            for way in ways:  # several, as nothing is staged here
+                names = [line.split()[0] for line in way]
+                join = max(i for i, name in enumerate(names) if name == "SortMergeJoin")
+                assert f"{target}_id" in way[join] or "person_id" in way[join]
+                assert "Bucketed: true" in way[-1] and "Exchange" not in names[join:]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_eras_read_no_facts(spark, settings, extracts, loaded, tmp_path, monkeypatch):
+    """After the first load only the log and the state are read."""
+    store, spec = store_beside(spark, loaded, tmp_path), spec_for("condition_occurrence")
+    load_table(spec, extracts["conditions"].filter("code = '11'"), store, settings)
+    seen, real = [], store.read
+    monkeypatch.setattr(store, "read", lambda table, columns=None: seen.append((table, columns)) or real(table, columns))
+    load_table(spec, extracts["conditions"], store, settings)
+    assert ("condition_occurrence", ["condition_occurrence_id"]) in seen
+    assert {c and tuple(c) for t, c in seen if t == "condition_occurrence"} == {("condition_occurrence_id",)}
+    assert rows(store, "condition_era") == rows(loaded, "condition_era")
+
+
+def test_a_small_load_reads_few_files_of_the_state(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path), buckets=16).create(["drug_era", "drug_exposure"])
+    spans = spark.range(1000).select(
+        F.col("id").alias("person_id"), F.lit(1).cast("long").alias("drug_concept_id"),
+        F.lit("2020-01-01").cast("date").alias("drug_exposure_start_date"),
+        F.lit("2020-01-02").cast("date").alias("drug_exposure_end_date"), F.lit(1).cast("long").alias("_n"),
+    )
+    for load in ("first", "b", "b"):
+        store.put_spans("drug_era", load, spans)
+    some = spark.range(5, 7).toDF("person_id")
+    found = store.spans("drug_era", spans.schema, some)
+    assert found.count() == 4 and found.columns == spans.columns
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "part#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(store.spans("drug_era", spans.schema).inputFiles()) == 32
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_eras_after_random_loads(spark, settings, loaded, tmp_path, seed):
+    """An extract loaded in random parts, gaps included, leads to the eras of the whole."""
+    rng = random.Random(seed)
+    lines = []
+    for i in range(120):
+        day = dt.date(2020, 1, 1) + dt.timedelta(days=rng.randrange(400))
+        start = rng.choice([str(day), str(day), ""])
+        stop = rng.choice([str(day + dt.timedelta(days=rng.randrange(40))), ""])
+        lines.append((start or None, stop or None, rng.choice(["p-1", "p-2"]), f"e{i}", rng.choice(["11", "22"]), "x"))
+    everything = spark.createDataFrame(lines, "start string, stop string, patient string, encounter string, code string, description string")
+    final = Settings(secret="test_key", rebuild_eras=True)
+    spec = spec_for("drug_exposure", "medications")
+    whole, parts = (store_beside(spark, loaded, tmp_path / name) for name in ("whole", "parts"))
+    load_table(spec, everything, whole, settings)
+    cuts = [rng.randrange(3) for _ in lines]
+    for k in range(3):
+        part = spark.createDataFrame([r for r, c in zip(lines, cuts) if c == k], everything.schema)
+        load_table(spec, part, parts, final)
+    load_table(spec, everything, parts, final)
+    for table in ("drug_exposure", "drug_era", "dose_era"):
+        assert rows(parts, table) == rows(whole, table)
+
+
+def test_a_store_without_buckets_or_state_goes_on(spark, settings, extracts, loaded, tmp_path):
+    """Folders filled by plain writes are read as they are, and their facts become the first state."""
+    for table in (*FACTS_FROM, "condition_occurrence", "condition_era"):
+        loaded.read(table).write.parquet(str(tmp_path / table))
+    store = ParquetStore(spark, str(tmp_path))
+    before = rows(store, "condition_era")
+    load_table(spec_for("condition_occurrence"), extracts["conditions"], store, settings)
+    assert rows(store, "condition_era") == before and store.has_spans("condition_era")
+
+
 def test_foreign_keys_do_not_stop_a_load(spark, settings, extracts, loaded, tmp_path):
     """A plain key, a cut one and one of another secret match nothing, blank keys included."""
     store = ParquetStore(spark, str(tmp_path)).create()
