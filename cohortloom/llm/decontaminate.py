@@ -34,7 +34,8 @@ MAP_BITS = 1 << 20
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE):
     """(row, hash, first word, last word, word starts, word ends) of the shingles of lower-cased rows."""
-    starts, ends, rows, hashes = tokens.word_hashes(data, offsets)
+    starts, ends, rows = tokens.words(data, offsets)
+    hashes = tokens.hash_words(data, starts, ends)
     first, last = shingle_spans(rows, size)
     n = last - first + 1
     out = n.astype(np.uint64)

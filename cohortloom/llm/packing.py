@@ -7,6 +7,9 @@ combination, which a bitset subset-sum over the lengths still available finds; t
 removed, as often as it is available, as one pattern. The n-th piece of a length then finds its
 sequence and offset by a search in the patterns, without moving the pieces.
 
+Words are encoded once each and told apart by their text. The tokenizer's special tokens count where
+they stand in their exact case, as they do by default.
+
 Nulls: a null text is empty; an empty text is one piece of one id. Repeated rows are packed once
 each. Pieces of equal length are interchangeable and are numbered as they were read. Empty
 tables give no rows. Input columns that bear the names of output columns are replaced.
@@ -15,6 +18,7 @@ tables give no rows. Input columns that bear the names of output columns are rep
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -57,6 +61,33 @@ def _parts(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarr
     return out
 
 
+def _marked(data: np.ndarray, markers: list[bytes], starts, ends, rows):
+    """Words with the markers in them apart, and which marker each is (-1: none); they hold no white space."""
+    raw = data.tobytes()
+    found = [(m.start(), m.end(), markers.index(m.group())) for m in _pattern(markers).finditer(raw)]
+    if not found:
+        return starts, ends, rows, None
+    pieces = []
+    inside = np.searchsorted(starts, [a for a, _, _ in found], side="right") - 1
+    begin = starts.copy()
+    for w, (a, b, which) in zip(inside.tolist(), found):
+        if b > ends[w]:  # the end of one text and the beginning of the next
+            continue
+        if begin[w] < a:
+            pieces.append((begin[w], a, rows[w], -1))
+        pieces.append((a, b, rows[w], which))
+        begin[w] = b
+    rest = np.flatnonzero(begin < ends)
+    apart = np.array(pieces, np.int64).reshape(-1, 4)
+    whole = np.stack([begin[rest], ends[rest], rows[rest], np.full(len(rest), -1)], axis=1)
+    both = np.concatenate([apart, whole])
+    return both[np.argsort(both[:, 0], kind="stable")].T
+
+
+def _pattern(markers: list[bytes]):
+    return re.compile(b"|".join(re.escape(m) for m in sorted(markers, key=len, reverse=True)))
+
+
 class WordIds:
     """Token ids of words separated by white space, which the tokenizer drops; each is encoded once.
 
@@ -68,6 +99,10 @@ class WordIds:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.markers = [t.content.encode() for t in special.values()]
+        self.special = np.array(list(special), np.int32)
+        # Markers are cut out before; what lower-casing makes look like one is not one.
         self.tokenizer.encode_special_tokens = True
         self._forget()
 
@@ -78,33 +113,34 @@ class WordIds:
         return cls._known[path]
 
     def _forget(self) -> None:
-        self.hashes, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.offsets, self.ids = np.zeros(1, np.int64), np.empty(0, np.int32)
+        """Remember the special tokens alone, in the first places."""
+        self.known: dict[str, int] = {}
+        self.offsets, self.ids = np.arange(len(self.special) + 1, dtype=np.int64), self.special
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of a block of texts, each text ended by END, and the number of ids of each."""
-        data = tokens.lower(data)
-        starts, ends, rows = tokens.words(data, offsets)
-        if len(starts):
-            starts, ends, rows = _parts(data, starts, ends, rows)
-        hashes = tokens.span_hash(tokens.prefix_hash(data), starts, ends)
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > REMEMBERED:
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Where the ids of distinct words are remembered."""
+        if len(self.known) + len(words) > REMEMBERED:
             self._forget()
-        at = np.searchsorted(self.hashes, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(self.hashes)
-        new[inside] = distinct[inside] != self.hashes[at[inside]]
-        if new.any():
-            words = tokens.gather(data, starts[first[new]], ends[first[new]]).to_pylist()
-            made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        new = [w for w in words if w not in self.known]
+        if new:
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             sizes = np.fromiter(map(len, made), np.int64, len(made))
-            places = len(self.offsets) - 1 + np.arange(len(made))
+            self.known.update(zip(new, range(len(self.offsets) - 1, len(self.offsets) - 1 + len(new))))
             self.ids = np.concatenate([self.ids, np.fromiter((i for x in made for i in x), np.int32, sizes.sum())])
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-            self.hashes = np.insert(self.hashes, at[new], distinct[new])
-            self.places = np.insert(self.places, at[new], places)
-        place = self.places[np.searchsorted(self.hashes, distinct)][which] if len(distinct) else which
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a block of texts, each text ended by END, and the number of ids of each."""
+        starts, ends, rows = tokens.words(data, offsets)
+        starts, ends, rows, marker = _marked(data, self.markers, starts, ends, rows)
+        data = tokens.lower(data)
+        if len(starts) and marker is None:
+            starts, ends, rows = _parts(data, starts, ends, rows)
+        coded = tokens.gather(data, starts, ends).dictionary_encode()
+        place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        if marker is not None:
+            place = np.where(marker >= 0, marker, place)
         begin, size = self.offsets[place], self.offsets[place + 1] - self.offsets[place]
         upto = np.cumsum(size)
         count = len(offsets) - 1

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
@@ -120,5 +121,15 @@ def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     ).cast(pa.string())
 
 
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH3 of each span's bytes; spans that were made to share a polynomial hash differ in it."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    coded = gather(data, starts, ends).dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    made = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+    return made[coded.indices.to_numpy()]
+
+
 def is_space(data: np.ndarray) -> np.ndarray:
     return _SPACE[data]

@@ -70,7 +70,6 @@ def exact(rows: list[tuple]) -> dict:
 
 def token_ids(text, path: str) -> list[int]:
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
 
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from cohortloom.llm import (
     components,
@@ -291,17 +292,53 @@ def test_word_ids_are_those_of_whole_texts(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3000)
     rng = random.Random(0)
     pieces = [*"aAbZ09.,;:!?'\"()-—éÉ́ſßİıΣς \n\t\x0b\x1c  |<>%#*_ﬁ²½Ⅷ中文🙂", "'s", "'LL", "<|endoftext|>", "n't"]
+    pieces += ["<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>"]
     texts = ["".join(rng.choices(pieces, k=rng.randrange(60))) for _ in range(3000)] + [None, "", "…?.", "a.b.", "é."]
     encoder, got = packing.WordIds(packing.TOKENIZER), []
     for a, b, data, offsets in tokens.text_blocks(pa.array(texts), 20000):
         ids, per_row = encoder.encode(data, offsets)
         stop = np.append(0, np.cumsum(per_row))
         got += [ids[stop[i] : stop[i + 1]].tolist() for i in range(b - a)]
-    encoder.tokenizer.encode_special_tokens = True
-    whole = encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    whole = Tokenizer.from_file(packing.TOKENIZER).encode_batch([t or "" for t in texts], add_special_tokens=False)
     assert got == [e.ids + [0] for e in whole]
 
 
+def alike():
+    """Two different words whose polynomial hashes modulo 2^64 agree for every odd base."""
+    bits = [0]
+    while len(bits) < 2048:
+        bits += [1 - b for b in bits]
+    return ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+
+
+def test_words_made_to_hash_alike(docs, spark):
+    import pyarrow as pa
+
+    one, other = alike()
+    data, offsets = tokens.text_bytes(pa.array([one, other]))
+    assert len(set(tokens.word_hashes(data, offsets)[3])) == 1  # what the polynomial takes for equal
+    texts = [(1, one), (2, other), (3, f"{one} {other}"), (4, f"{other} <|endoftext|> {one}")]
+    found = {r["id"]: r for r in packing.pack(docs(texts)).where("piece = 0").collect()}
+    for i, text in texts:
+        assert found[i]["ids_crc32"] == brute.ids_crc(brute.token_ids(text, packing.TOKENIZER)[: packing.CAPACITY])
+    counts = {r["word"]: r["n"] for r in ngram.count_words(docs(texts)).collect()}
+    assert counts == {one: 3, other: 3, "<|endoftext|>": 1}
+    model, vocabulary = ngram.train(docs(texts[:1]))
+    scored = {r["doc_id"]: r["n_known"] for r in ngram.score(docs(texts), model, vocabulary, ["doc_id"]).collect()}
+    assert scored == {1: 2, 2: 1, 3: 2, 4: 2}
+    items = spark.createDataFrame([(7, f"{one} w x y z")], "item_id long, text string")
+    held = decontaminate.contained(docs([(1, f"{one} w x y z"), (2, f"{other} w x y z")]), items)
+    assert [r["id"] for r in held.collect()] == [1]
+
+
+def test_lexicon_of_many_equal_counts(spark, monkeypatch):
+    monkeypatch.setattr(ngram, "LOOKED_UP", 1000)
+    words = spark.range(9000).select(F.concat(F.lit("w"), "id").alias("word"), F.lit(5).cast("long").alias("n"))
+    some = ngram.frequent_words(words.union(spark.sql("SELECT 'often', 50L")))
+    assert 850 < len(some.hashes) < 1150 and 50 in some.counts
+    assert len(ngram.frequent_words(words.limit(800)).hashes) == 800
+
+
 def test_packed_sequences(docs):
     rows = [(i, "a few words " * (i % 5)) for i in range(30)]
     cut = staging.stage(packing.pieces(docs(rows), capacity=16, keep_ids=True), "pieces")
