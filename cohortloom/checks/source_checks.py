@@ -10,7 +10,6 @@ from cohortloom.checks.inputs import Inputs
 from cohortloom.checks.registry import SETTINGS, check
 from cohortloom.functions import parse
 from cohortloom.functions.keys import reveal
-from cohortloom.functions.parse import coerce_column
 from cohortloom.operators.intervals import collapse_visits
 from cohortloom.operators.joins import keep_first
 from cohortloom.plans.runs import append_reviewed, load_table, map_rows, spec_for
@@ -73,6 +72,14 @@ def csv_quoted_breaks(x: Inputs):
     return extracts.read_extract(x.spark, folder, multi_line=True)
 
 
+@check("csv_quoted_splits", "SELECT id, remark, rank, author FROM remarks")
+def csv_quoted_splits(x: Inputs):
+    """The same remarks as one file, which is read in several splits."""
+    path = f"{shared_folder(x.spark)}/remarks.csv"
+    extracts.write_one_csv(x["remarks"], path)
+    return extracts.read_extract(x.spark, path, multi_line=True, by_splits=True)
+
+
 @check(
     "csv_keep_first",
     """SELECT author, id, rank FROM remarks
@@ -127,42 +134,6 @@ def csv_visit_ties(x: Inputs):
     return collapse_visits(typed, keys, "start", "stop", "id", order=[extracts.INPUT_ORDER])
 
 
-EXPORTED = {"location": "t_location", "person": "t_person", "care_site": "t_site", "provider": "t_provider"}
-
-
-def _as_text(columns: list[str], table: str) -> str:
-    shown = " || chr(31) || ".join(f"coalesce(nullif(CAST({c} AS VARCHAR), ''), '~')" for c in columns)
-    return f"SELECT '{table}' AS table_name, {shown} AS stored FROM {EXPORTED[table]}"
-
-
-def _exported_columns(table: str) -> list[str]:
-    return [c for c in schema.LOADED[table] if not c.endswith("_datetime")]
-
-
-@check("csv_export", " UNION ALL ".join(_as_text(_exported_columns(t), t) for t in EXPORTED))
-def csv_export(x: Inputs):
-    """Every loaded table written as CSV and read back, each row as one text."""
-    folder = shared_folder(x.spark)
-    store = ParquetStore(x.spark, f"{folder}/tables").create()
-    for table in EXPORTED:
-        spec = spec_for(table)
-        load_table(spec, x[spec.source], store, SETTINGS)
-    paths = extracts.export_tables(store, ["", *EXPORTED], folder)
-    total = None
-    for table, path in zip(EXPORTED, paths):
-        rows = extracts.read_extract(x.spark, path)
-        typed = rows.select(*[coerce_column(F.col(c), schema.field(c)).alias(c) for c in rows.columns])
-        for c in (c for c in schema.HIDDEN_KEYS if c in typed.columns):
-            typed = _shown(typed, c)
-        shown = [
-            F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("~"))
-            for c in _exported_columns(table)
-        ]
-        part = typed.select(F.lit(table).alias("table_name"), F.concat_ws("\x1f", *shown).alias("stored"))
-        total = part if total is None else total.unionByName(part)
-    return total
-
-
 # Delivered vocabulary tables as text: every column of every table, dates as they are delivered.
 def _delivered(table: str) -> str:
     """The delivered text of one table, made of the given parts."""
@@ -274,27 +245,3 @@ def target_scan(x: Inputs):
     store.append("person", map_rows(spec, x["patients"], SETTINGS))
     people = store.read("person", ["person_id", "person_source_value", "birth_datetime"])
     return _shown(people, "person_source_value")
-
-
-@check(
-    "worklist_csv",
-    """SELECT concept_id, source_value, source_id, table_name, field_type, frequency FROM (
-        SELECT CAST(0 AS BIGINT) AS concept_id, gender_source_value AS source_value,
-            CAST(0 AS BIGINT) AS source_id, 'person' AS table_name,
-            'gender_concept_id' AS field_type, count(*) AS frequency
-        FROM (SELECT nullif(gender_source_value, '') AS gender_source_value,
-            gender_source_value AS raw FROM m_person WHERE gender_concept_id = 0)
-        GROUP BY gender_source_value, raw)""",
-)
-def worklist_csv(x: Inputs):
-    """Written as the file a reviewer gets, and read back the way reviews are read."""
-    from cohortloom.operators.worklist import unmapped_codes
-
-    folder = shared_folder(x.spark)
-    people = map_rows(spec_for("person"), x["patients"], SETTINGS)
-    gender = people.select("gender_concept_id", "gender_source_value", "gender_source_concept_id")
-    extracts.write_worklist(unmapped_codes({"person": gender}), folder, "unmapped.csv")
-    rows = extracts.read_reviewed(x.spark, folder, "unmapped.csv")
-    return rows.withColumns(
-        {c: F.col(c).cast("long") for c in ("concept_id", "source_id", "frequency")}
-    )

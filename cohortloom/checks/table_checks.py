@@ -12,8 +12,11 @@ from cohortloom.checks import table_sql
 from cohortloom.checks.inputs import EXTRACTS, Inputs
 from cohortloom.checks.registry import SETTINGS, check
 from cohortloom.functions.keys import reveal
+from cohortloom.functions.parse import coerce_column
+from cohortloom.operators import worklist
 from cohortloom.plans.runs import SPECS, load_table, new_rows, run_load, spec_for
 from cohortloom.session import shared_folder
+from cohortloom.sources import extracts
 from cohortloom.sources.tables import ParquetStore
 
 HIDDEN = {
@@ -225,48 +228,99 @@ def load_counts(x: Inputs):
     return total
 
 
-def _columns_as_text(table: str) -> list[str]:
-    """Columns whose text Spark and the checking database write alike."""
-    hidden = {"person_source_value", "care_site_source_value", "location_source_value"}
-    return [c for c in schema.LOADED[table] if c not in hidden]
+def _row_sql(table: str, part: str, blank_texts: tuple[str, ...] = ()) -> str:
+    """One text per row; doubles are compared by a whole number of thousandths.
 
-
-def _row_sql(table: str, part: str) -> str:
-    """One text per row; doubles are compared by a whole number of thousandths."""
+    ``blank_texts`` are the texts that a file cannot tell from a missing value.
+    """
     shown = []
-    for c in _columns_as_text(table):
+    for c in schema.LOADED[table]:
         kind = schema.field(c).kind
         value = f"CAST(round({c} * 1000) AS HUGEINT)" if kind == "float" else c
         if kind == "datetime":
             value = f"epoch_us({c})"
+        elif kind == "str" and blank_texts and c not in schema.HIDDEN_KEYS:
+            value = f"CASE WHEN {c} NOT IN ({', '.join(map(repr, blank_texts))}) THEN {c} END"
         shown.append(f"coalesce(CAST({value} AS VARCHAR), '~')")
     return f"SELECT '{table}' AS table_name, {' || chr(31) || '.join(shown)} AS stored FROM {part}"
 
 
-_ROWS = " UNION ALL ".join(_row_sql(t, part) for t, part in LOADED_PARTS.items())
+def _all_rows(*options) -> str:
+    rows = " UNION ALL ".join(_row_sql(t, part, *options) for t, part in LOADED_PARTS.items())
+    return f"SELECT table_name, stored, count(*) AS times FROM ({rows}) GROUP BY ALL"
 
 
-@check(
-    "load_contents",
-    f"SELECT table_name, stored, count(*) AS times FROM ({_ROWS}) GROUP BY ALL",
-    _ERA_PARTS,
-)
-def load_contents(x: Inputs):
-    """A first load of every extract into stored tables, then every row of each as text."""
-    store = _first_load(x)
+def _as_text(frames: dict[str, DataFrame]) -> DataFrame:
+    """Every row of every table as one text, pseudonyms revealed, and how often it is there."""
     total = None
-    for table in schema.LOADED:
+    for table, df in frames.items():
         shown = []
-        for c in _columns_as_text(table):
+        for c in schema.LOADED[table]:
             kind = schema.field(c).kind
-            value = F.col(c)
+            value = reveal(F.col(c), SETTINGS.secret) if c in schema.HIDDEN_KEYS else F.col(c)
             if kind == "float":
                 value = F.round(value * 1000).cast("decimal(38,0)")
             elif kind == "datetime":
                 value = F.unix_micros(value.cast("timestamp"))
             shown.append(F.coalesce(value.cast("string"), F.lit("~")))
-        rows = store.read(table).select(
-            F.lit(table).alias("table_name"), F.concat_ws("\x1f", *shown).alias("stored")
-        )
+        rows = df.select(F.lit(table).alias("table_name"), F.concat_ws("\x1f", *shown).alias("stored"))
         total = rows if total is None else total.unionByName(rows)
     return total.groupBy("table_name", "stored").agg(F.count("*").alias("times"))
+
+
+@check("load_contents", _all_rows(), _ERA_PARTS)
+def load_contents(x: Inputs):
+    """A first load of every extract into stored tables, then every row of each as text."""
+    store = _first_load(x)
+    return _as_text({table: store.read(table) for table in schema.LOADED})
+
+
+@check("csv_export", _all_rows(extracts.MISSING), _ERA_PARTS)
+def csv_export(x: Inputs):
+    """All tables of a first load, each written as one file with one header and read back."""
+    folder = shared_folder(x.spark)
+    paths = extracts.export_tables(_first_load(x), ["", *schema.LOADED], folder, one_file=True)
+    frames = {}
+    for table, path in zip(schema.LOADED, paths):
+        rows = extracts.read_extract(x.spark, path)
+        rules = {c: dataclasses.replace(schema.field(c), default=None) for c in rows.columns}
+        typed = [F.col(c) if c in schema.HIDDEN_KEYS else coerce_column(F.col(c), r) for c, r in rules.items()]
+        frames[table] = rows.select(*[value.alias(c) for value, c in zip(typed, rules)])
+    return _as_text(frames)
+
+
+# --- the work list of a first load -----------------------------------------------------------
+
+_SLOTS = [
+    (table, concept, value, source)
+    for table in schema.LOADED for concept, (value, source) in worklist.FIELDS.get(table, {}).items()
+    if concept in schema.LOADED[table]
+]
+
+
+def _slot_sql(number: int, table: str, concept: str, value: str, source: str) -> str:
+    held = schema.LOADED[table]
+    return f"""SELECT {f"CAST({value} AS VARCHAR)" if value in held else "''"} AS source_value,
+        {f"coalesce({source}, 0)" if source in held else "CAST(0 AS BIGINT)"} AS source_id, {number} AS slot
+        FROM {LOADED_PARTS[table]} WHERE {concept} = 0"""
+
+
+_WORKLIST = f"""SELECT CAST(0 AS BIGINT) AS concept_id,
+        CASE WHEN given NOT IN ({", ".join(map(repr, extracts.MISSING))}) THEN given END AS source_value,
+        source_id, [{", ".join(repr(s[0]) for s in _SLOTS)}][first_slot] AS table_name,
+        [{", ".join(repr(s[1]) for s in _SLOTS)}][first_slot] AS field_type, frequency
+    FROM (SELECT source_value AS given, source_id, min(slot) AS first_slot, count(*) AS frequency
+        FROM ({" UNION ALL ".join(_slot_sql(i, *s) for i, s in enumerate(_SLOTS, 1))})
+        GROUP BY source_value, source_id)"""
+
+
+@check("worklist_csv", _WORKLIST, _ERA_PARTS)
+def worklist_csv(x: Inputs):
+    """Codes without a concept in all tables and fields of a first load, as the file a reviewer gets."""
+    store, folder = _first_load(x), shared_folder(x.spark)
+    report = worklist.unmapped_codes({table: store.read(table) for table in dict.fromkeys(s[0] for s in _SLOTS)})
+    extracts.write_worklist(report, folder, "unmapped.csv")
+    rows = extracts.read_reviewed(x.spark, folder, "unmapped.csv")
+    return rows.withColumns(
+        {c: F.col(c).cast("long") for c in ("concept_id", "source_id", "frequency")}
+    )

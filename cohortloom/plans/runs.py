@@ -256,6 +256,7 @@ def read_extracts(
     files: Mapping[str, str] | None = None,
     sep: str = ",",
     multi_line: bool = False,
+    by_splits: bool = False,
 ) -> dict[str, DataFrame]:
     """The extract of every spec, with the input order for ``keep_first``.
 
@@ -265,7 +266,8 @@ def read_extracts(
     names = files or {spec.source: f"{spec.source}.csv" for spec in specs}
     return {
         source: read_extract(
-            spark, f"{folder.rstrip('/')}/{name}", sep=sep, multi_line=multi_line, input_order=True
+            spark, f"{folder.rstrip('/')}/{name}", sep=sep, multi_line=multi_line, input_order=True,
+            by_splits=by_splits,
         )
         for source, name in names.items()
     }

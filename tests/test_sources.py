@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,46 @@ def test_export_skips_empty_names(spark, tmp_path):
     assert (back.county, back.country_source_value) == ("a,b", " x ")
 
 
+@pytest.mark.parametrize("size", ["64", "333", "20000"])
+def test_quoted_breaks_by_splits(spark, tmp_path, size):
+    """Splits that begin anywhere, in quotes and between doubled ones, give the records of one split."""
+    rng, lines = random.Random(4), []
+    bits = ["a", "é", '""', "\n", ",", "\r\n", '""""', "\n\n", " ", "word " * 9]
+    for i in range(400):
+        note = "".join(rng.choice(bits) for _ in range(rng.randrange(9)))
+        lines.append(f'{i},"{note}",{rng.choice(["x", "", "NA"])}')
+    lines[200] = '200,"' + "line\n" * 300 + '",x'
+    for name, rows in (("a.csv", lines[:250]), ("b.csv", lines[250:])):
+        (tmp_path / name).write_bytes(("Id,Note,Rest\n" + "\n".join(rows) + "\n").encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = extracts.read_extract(spark, str(tmp_path), multi_line=True, input_order=True)
+    expected = sorted(tuple(r)[:3] for r in whole.collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        rows = extracts.read_extract(spark, str(tmp_path), multi_line=True, input_order=True, by_splits=True)
+        assert rows.dtypes == whole.dtypes
+        found = rows.orderBy(extracts.INPUT_ORDER).collect()
+        lines_read = spark.read.text(str(tmp_path))
+        assert size == "20000" or lines_read.rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(tuple(r)[:3] for r in found) == expected and len(found) == 400
+    assert [int(r.id) for r in found] == list(range(400))
+
+
+def test_one_file_per_table(spark, tmp_path):
+    """One header, the parts in order, nothing left beside the file; an empty table is its header."""
+    rows = spark.range(0, 1000, 1, 5).select("id", F.concat(F.lit('a "b", '), "id").alias("t"))
+    for df, path in ((rows, tmp_path / "one.csv"), (rows.limit(0), tmp_path / "none.csv")):
+        extracts.write_one_csv(df, str(path))
+        lines = path.read_text().splitlines()
+        assert lines[0] == "id,t" and len(lines) == df.count() + 1
+        assert not (tmp_path / f"{path.name}.parts").exists()
+    assert [line.split(",")[0] for line in (tmp_path / "one.csv").read_text().splitlines()[1:]] == [str(i) for i in range(1000)]
+    back = extracts.read_extract(spark, str(tmp_path / "one.csv"))
+    assert back.count() == 1000 and back.filter("id = '7'").first().t == 'a "b", 7'
+
+
 def test_worklist_name(spark, tmp_path):
     report = spark.createDataFrame([("a", 1, 2), ("b", 1, 5)], "source_value string, source_id int, frequency int")
     with pytest.raises(ValueError):
