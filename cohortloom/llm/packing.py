@@ -7,7 +7,7 @@ combination, which a bitset subset-sum over the lengths still available finds; t
 removed, as often as it is available, as one pattern. The n-th piece of a length then finds its
 sequence and offset by a search in the patterns, without moving the pieces.
 
-Words are encoded once each and told apart by their text. The tokenizer's special tokens count where
+Words are encoded once each and told apart by 64-bit hashes in which each byte counts at its place. The tokenizer's special tokens count where
 they stand in their exact case, as they do by default.
 
 Nulls: a null text is empty; an empty text is one piece of one id. Repeated rows are packed once
@@ -114,21 +114,28 @@ class WordIds:
 
     def _forget(self) -> None:
         """Remember the special tokens alone, in the first places."""
-        self.known: dict[str, int] = {}
+        self.hashes, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.offsets, self.ids = np.arange(len(self.special) + 1, dtype=np.int64), self.special
 
-    def _places(self, words: list[str]) -> np.ndarray:
-        """Where the ids of distinct words are remembered."""
-        if len(self.known) + len(words) > REMEMBERED:
+    def _places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the ids of each word are remembered."""
+        distinct, first, which = np.unique(tokens.hash_words(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) + len(distinct) > REMEMBERED:
             self._forget()
-        new = [w for w in words if w not in self.known]
-        if new:
-            made = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        at = np.searchsorted(self.hashes, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = at < len(self.hashes)
+        new[inside] = distinct[inside] != self.hashes[at[inside]]
+        if new.any():
+            words = tokens.gather(data, starts[first[new]], ends[first[new]]).to_pylist()
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
             sizes = np.fromiter(map(len, made), np.int64, len(made))
-            self.known.update(zip(new, range(len(self.offsets) - 1, len(self.offsets) - 1 + len(new))))
+            places = len(self.offsets) - 1 + np.arange(len(made))
             self.ids = np.concatenate([self.ids, np.fromiter((i for x in made for i in x), np.int32, sizes.sum())])
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            self.hashes = np.insert(self.hashes, at[new], distinct[new])
+            self.places = np.insert(self.places, at[new], places)
+        return self.places[np.searchsorted(self.hashes, distinct)][which]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of texts, each text ended by END, and the number of ids of each."""
@@ -137,8 +144,7 @@ class WordIds:
         data = tokens.lower(data)
         if len(starts) and marker is None:
             starts, ends, rows = _parts(data, starts, ends, rows)
-        coded = tokens.gather(data, starts, ends).dictionary_encode()
-        place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        place = self._places(data, starts, ends) if len(starts) else np.empty(0, np.int64)
         if marker is not None:
             place = np.where(marker >= 0, marker, place)
         begin, size = self.offsets[place], self.offsets[place + 1] - self.offsets[place]

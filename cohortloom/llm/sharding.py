@@ -31,6 +31,8 @@ TOP = 1 << 128
 FAN = 32
 # Bytes of text that one task of the exchange sorts.
 PART_BYTES = 64 << 20
+# Share of a part by which its bounds may be off at most, however wide the tolerance of a shard.
+PART_SLACK = 0.1
 
 
 def binary_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -89,13 +91,13 @@ def split(keys: DataFrame, shards: int, part_bytes: int = PART_BYTES, tolerance:
     """Splitters of ``shards`` ranges of equal bytes, each in so many equal parts (second value).
 
     A splitter is final when the bytes below it are within ``tolerance`` of a shard from the
-    wanted number, or when no key lies between it and the next candidate.
+    wanted number, and within PART_SLACK of a part, or when no key lies between it and the next candidate.
     """
     total = keys.agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).first()
     all_bytes, all_rows = int(total["bytes"] or 0), int(total["rows"])
     per_shard = max(1, -(-all_bytes // (shards * part_bytes)))
     parts = shards * per_shard
-    slack = tolerance * all_bytes / shards
+    slack = min(tolerance * all_bytes / shards, PART_SLACK * all_bytes / parts)
     known = {0: (0, 0), TOP: (all_bytes, all_rows)}
     wanted = [all_bytes * j / parts for j in range(1, parts)]
     low, high = [0] * len(wanted), [TOP] * len(wanted)

@@ -9,6 +9,8 @@ manifest, the only list of files that readers trust. A lost executor leaves temp
 
 Of pages with equal payloads that with the largest id is the response, the others are revisits.
 
+Rows of one page id, or without one, are parted by their payloads, so they are not all one task's.
+
 Nulls: a null payload is empty, a null id sorts first and is never preferred as response, a null
 url is written as empty. Of repeated rows one can be the response, the others revisit it. Empty
 tables give a manifest without files. Only the id, the url and the payload are read, so further
@@ -23,6 +25,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
@@ -38,6 +41,10 @@ ROLL_BYTES = 16 << 20
 READ_BYTES = 1 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "manifest.json"
+# Schemes by which Spark names stores that Arrow knows by another.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+# Files that are given their names at the same time.
+RENAMES = 16
 FILE = "shard int, roll int, temporary string, name string, bytes long, records long, sha256 string"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -94,11 +101,20 @@ def _member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+def _opened(folder: str):
+    """(file system, path) for Arrow, which knows the stores of Spark under other schemes."""
+    scheme, _, rest = folder.partition("://")
+    try:
+        return arrow_fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}" if rest else folder)
+    except (ValueError, NotImplementedError, pa.ArrowException) as error:
+        raise ValueError(f"archives cannot be written to {folder}: no file system of Arrow opens it ({error})") from error
+
+
 class _Roller:
     """Files of one shard, each closed before it would exceed the limit."""
 
     def __init__(self, folder: str, shard: int, limit: int, date: str):
-        self.fs, self.path = arrow_fs.FileSystem.from_uri(folder)
+        self.fs, self.path = _opened(folder)
         self.fs.create_dir(f"{self.path}/_temporary")
         self.shard, self.limit, self.date = shard, limit, date
         self.roll, self.out, self.files = 0, None, []
@@ -175,7 +191,7 @@ def write_archives(
             "page_id",
             F.sha1(html.cast("binary")).alias("digest"),
             F.coalesce("page_id", F.lit(-(1 << 63))).alias("key_a"),
-            F.lit(0).cast("long").alias("key_b"),
+            F.xxhash64(F.sha1(html.cast("binary"))).alias("key_b"),
             (F.octet_length(html) + 512).cast("long").alias("size"),
         ),
         "payloads",
@@ -190,7 +206,8 @@ def write_archives(
     )
     revisits = narrow.join(largest, "digest").where("page_id IS NULL OR page_id < refers_to")
     revisits = revisits.where("refers_to IS NOT NULL").select("page_id", "digest", "refers_to").distinct()
-    part = ranges.part(F.coalesce("page_id", F.lit(-(1 << 63))), F.lit(0).cast("long"))
+    # The payload's hash parts the rows of one page, and those without a page, over shards.
+    part = ranges.part(F.coalesce("page_id", F.lit(-(1 << 63))), F.xxhash64("digest"))
     rows = pages.select(
         "page_id", F.sha1(html.cast("binary")).alias("digest"), F.lit(1).alias("kind"),
         F.lit(None).cast("long").alias("refers_to"), "url", "html",
@@ -212,11 +229,11 @@ def write_archives(
 
 def _commit(manifest: DataFrame, folder: str) -> None:
     """Give the accepted files their names, then publish the manifest by a rename."""
-    store, path = arrow_fs.FileSystem.from_uri(folder)
+    store, path = _opened(folder)
     store.create_dir(f"{path}/_temporary")
     files = sorted(manifest.collect(), key=lambda r: r["name"])
-    for f in files:
-        store.move(f"{path}/{f['temporary']}", f"{path}/{f['name']}")
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(lambda f: store.move(f"{path}/{f['temporary']}", f"{path}/{f['name']}"), files))
     temporary = f"{path}/_temporary/{MANIFEST}.{uuid.uuid4().hex}"
     with store.open_output_stream(temporary) as out:
         for f in files:
@@ -267,7 +284,7 @@ def parse(data: bytes):
 
 def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
     """The records of the files that the manifest lists, payload bytes on demand."""
-    store, path = arrow_fs.FileSystem.from_uri(folder)
+    store, path = _opened(folder)
     with store.open_input_stream(f"{path}/{MANIFEST}") as lines:
         names = [(json.loads(x)["name"],) for x in lines.read().splitlines()]
     schema = RECORD + (", payload binary" if payloads else "")
@@ -280,7 +297,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [f.split()[0] for f in schema.split(", ")])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = arrow_fs.FileSystem.from_uri(folder)
+        store, path = _opened(folder)
         for names in batches:
             for name in names.column(0).to_pylist():
                 rows, size = [], 0

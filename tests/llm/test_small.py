@@ -285,6 +285,16 @@ def test_packing(docs):
     assert packing.pack(docs([])).count() == 0
 
 
+def test_parts_stay_even_at_a_wide_tolerance(spark):
+    """A shard of many parts: what a shard may be off by is more than a part holds."""
+    keys = spark.range(20_000).select(
+        F.xxhash64("id").alias("key_a"), F.lit(0).cast("long").alias("key_b"), F.lit(100).cast("long").alias("size")
+    )
+    found, per_shard = sharding.split(staging.stage(keys, "keys"), 2, part_bytes=20_000, tolerance=0.5)
+    sizes = np.diff([*found.bytes_below, 2_000_000])
+    assert per_shard == 50 and len(sizes) == 100 and sizes.min() >= 15_000 and sizes.max() <= 25_000
+
+
 def test_word_ids_are_those_of_whole_texts(monkeypatch):
     """Ids come word by word; the tokenizer gives the same for a text as a whole."""
     import pyarrow as pa
@@ -413,6 +423,23 @@ def test_archives_of_repeated_rows_and_nothing(spark, tmp_path):
     assert warc.read_archives(spark, str(tmp_path / "b")).count() == 0
 
 
+@pytest.mark.parametrize("page", [7, None])
+def test_rows_of_one_page_are_many_shards(spark, tmp_path, page):
+    rows = [(page, f"u{i}", f"<p>{i}</p>" * 9) for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc.write_archives(pages, str(tmp_path / "a"), shard_bytes=50_000).collect()
+    by_shard = Counter()
+    for r in manifest:
+        by_shard[r["shard"]] += r["records"]
+    assert len(by_shard) > 30 and max(by_shard.values()) < 300 and sum(by_shard.values()) >= 3000
+    assert warc.read_archives(spark, str(tmp_path / "a")).count() == 3000
+
+
+def test_a_store_that_arrow_cannot_open_is_named():
+    with pytest.raises(ValueError, match="nostore://x/y"):
+        warc._opened("nostore://x/y")
+
+
 def test_damaged_archives_are_refused(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "x" * 500)], "page_id long, url string, html string")
     manifest = warc.write_archives(pages, str(tmp_path / "a")).collect()
