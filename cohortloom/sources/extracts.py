@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,7 +37,8 @@ def read_extract(
     """CSV with header as text columns, names in lower case, missing-value texts as null.
 
     Columns go by name: files whose headers differ are read apart and a column that a file lacks
-    is null there. Nothing is inferred, so the rows are read once, split by split; a missing path
+    is null there; columns whose names differ in case only are an error. Files are read in the order of their
+    paths. Nothing is inferred, so the rows are read once, split by split; a missing path
     and a row that does not fit its header fail. ``multi_line`` takes line breaks inside quotes,
     but a file is then one split, unless it is read ``by_splits``: that takes quotes to be written as
     CSV asks, around whole values and doubled inside, see ``records``. ``input_order`` adds the position
@@ -51,6 +53,10 @@ def read_extract(
     groups: dict[str, list[str]] = {}
     for file in files if len(files) > 1 else []:
         groups.setdefault(_first_line(spark, file), []).append(file)
+    for head in groups or ([_first_line(spark, files[0])] if files else []):
+        names = [name.lower() for name in next(csv.reader([head], delimiter=sep), []) if name]
+        if len(set(names)) < len(names):
+            raise ValueError(f"columns that differ in case only, or not at all: {head}")
     paths = list(groups.values()) if len(groups) > 1 else [path]
     if multi_line and by_splits:
         parts = [_parsed(records(spark, x), reader.csv(x).columns, options) for x in paths]

@@ -143,6 +143,12 @@ def test_files_are_read_by_column_name(spark, tmp_path):
         assert got == [("1", "Cork", "T12"), ("2", None, "F91")]
 
 
+def test_columns_that_differ_in_case_only(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,Zip,ID\n1,2,3\n")
+    with pytest.raises(ValueError, match="id,Zip,ID"):
+        extracts.read_extract(spark, str(tmp_path / "a.csv"))
+
+
 def test_line_breaks_in_quotes(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('id,note\n1,"one\ntwo"\n2,x\n')
