@@ -1,3 +1,4 @@
+import re
 import uuid
 
 import pytest
@@ -5,6 +6,7 @@ from hypothesis import HealthCheck, given, settings as hyp, strategies as st
 from pyspark.sql import functions as F
 
 from cohortloom.functions import keys, parse, text
+from cohortloom.session import tune
 
 
 def one(spark, value, expression, kind="string"):
@@ -105,3 +107,31 @@ def test_text_helpers(spark):
 ])
 def test_float_text_is_that_of_python(spark, value):
     assert one(spark, value, text.float_text, "double") == repr(value)
+
+
+# Line breaks, a NUL, a supplementary character, letters of other scripts, characters with a meaning in expressions.
+ODD_TEXTS = ["pt-12", "a b\tc\r\nd", "x\x00y", "\U0001f600a\u00e9\u00df\u0130Z", "$1\\[]^-%", "---", "", None, "12.0", "12.0\n", "12.0\r\n", "1.0.0", ".0", "nan"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("value", ODD_TEXTS)
+def test_cleaned_texts_equal_those_of_expressions(spark, value):
+    cleaned = None if value is None else re.sub("[^a-zA-Z0-9]+", "", value)
+    assert one(spark, value, text.alnum) == cleaned
+    number = {None: "0", "nan": "0", "12.0": "12", "12.0\n": "12\n", "12.0\r\n": "12\r\n", "1.0.0": "1.0", ".0": ""}.get(value, value)
+    assert one(spark, value, text.whole_number_text) == number
+
+
+def test_keys_are_cleaned_without_regular_expressions(spark):
+    df = spark.createDataFrame([("p-1",)], "c string")
+    shown = df.select(text.alnum(F.col("c")).alias("a"), text.alnum("c").alias("b"), keys.pseudonym(F.col("c"), "k").alias("h"))
+    assert "regexp" not in plan_of(shown)
+
+
+def test_generated_code_that_is_never_compiled_is_not_used(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, "65535")
+    assert tune(spark).conf.get(name) == "8000"
