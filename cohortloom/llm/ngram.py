@@ -1,18 +1,22 @@
 """Class-based bigrams: exchange clustering, class transitions and word emissions.
 
-Every word has a unit: the UNITS most frequent words are units of their own, all others belong to
-a unit by their last bytes, so unseen words have one, too. Counts of unit pairs come from all
-training texts. Exchange clustering moves units between classes: in each round tasks own disjoint
-units and move them one after the other to the class that raises the likelihood of the class
-bigrams most, starting from the same classes (all rounds work on unit pairs, whose number is
-bounded by the parameters). With n the training count of a word, the probability of a word w of
-class c after class p is
+Clustering begins with units: the UNITS most frequent words are units of their own, all others belong
+to a unit by their last bytes. Counts of unit pairs come from all training texts. Exchange clustering
+moves units between classes: in each round tasks own disjoint units and move them one after the other
+to the class that raises the likelihood of the class bigrams most, starting from the same classes (all
+rounds work on unit pairs, whose number is bounded by the parameters). Then every other training word,
+however rare, leaves its unit: its neighbours in all training texts are counted by class, and it joins
+the class where they raise the likelihood of the class bigrams most (what it takes from its unit's class
+is left out of that). Only words that no training text has keep the class of their last bytes. The class
+bigrams are counted anew with these classes. With n the training count of a word, the probability of a word w
+of class c after class p is
 
     (n(w) + 1) * (L * T(c | p) / (N(c) + V(c) + 1) + (1 - L) / (N + V + C))
 
 where T is smoothed by Witten-Bell, N(c) and V(c) count the tokens and distinct words of a class, C the
-classes, and the added one is the share of unseen words. It sums to one at most. The counts of
-all words are exact: frequent ones are looked up in a bounded table, the others in a join.
+classes, and the added one is the share of unseen words. It sums to one at most. The counts and classes
+of all words are exact: frequent ones are looked up in a bounded table, the others in a join, after which
+they meet their neighbours again, text by text. Words whose hashes agree in 51 bits join the same class.
 
 Nulls: a null text is empty, that is one end token; a row that is neither training nor held out
 (null) trains. Repeated rows count and score one by one. Without training texts every probability is
@@ -22,7 +26,7 @@ that of an unseen token. Only the given columns are read, so further columns can
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -43,6 +47,13 @@ CLASS_WEIGHT = 0.95
 ROUNDS = 8
 OWNERS = 4
 END_UNIT = UNITS + ENDINGS
+# A word that was placed by itself has the unit PLACED + its class.
+PLACED = END_UNIT + 1
+# Classes before and after a word are the last bits of a key, its hash the others.
+SIDE = CLASSES + 1
+CODE_BITS = 13
+# Different keys that a task holds before it hands them on, and counts whose logarithms are tabulated.
+HELD_KEYS, TABLED = 1 << 20, 32
 
 
 def _ending_units(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -300,9 +311,281 @@ def cluster(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return of, joint
 
 
+def _summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
+    found, which = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(which, np.concatenate(counts)).astype(np.int64)
+
+
+def _count_neighbours(lexicon: Lexicon, of: np.ndarray):
+    """Counts of (word, class before it, class after it) for words that are no units of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, held = [], [], 0
+        for batch in batches:
+            for _, _, data, offsets in tokens.text_blocks(batch.column("text")):
+                data = tokens.lower(data)
+                starts, ends, rows = tokens.words(data, offsets)
+                hashes = tokens.hash_words(data, starts, ends)
+                units = lexicon.units_of(tokens.prefix_hash(data), starts, ends, hashes)
+                classes, _ = _with_ends(rows, len(offsets) - 1, of[units], CLASSES)
+                index = np.flatnonzero(units >= UNITS)
+                at = index + rows[index]
+                before = np.where(at > 0, classes[at - 1], CLASSES)
+                base = (hashes[index] >> np.uint64(CODE_BITS)) << np.uint64(CODE_BITS)
+                found, n = np.unique(base | (before * SIDE + classes[at + 1]).astype(np.uint64), return_counts=True)
+                keys.append(found)
+                counts.append(n)
+                held += len(found)
+                if held > HELD_KEYS:
+                    found, n = _summed(keys, counts)
+                    keys, counts, held = [found], [n], len(found)
+                    if held > HELD_KEYS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["key", "n"])
+                        keys, counts, held = [], [], 0
+        if keys:
+            found, n = _summed(keys, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["key", "n"])
+
+    return run
+
+
+def gains_of(joint: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of class pairs by code of the neighbour (before, then after), and what small counts there gain."""
+    cells = np.concatenate([joint, joint.T])
+    plain = _x_log_x(cells)
+    return cells, plain, _x_log_x(cells[None] + np.arange(TABLED + 1.0)[:, None, None]) - plain[None]
+
+
+def best_classes(which: np.ndarray, code: np.ndarray, n: np.ndarray, words: int, joint: np.ndarray, gains) -> np.ndarray:
+    """For each of ``words`` words, told by ``which``, the class of ``joint`` that it fits best.
+
+    That is the one where these neighbours raise the likelihood most; ``code`` tells a neighbour's side and class.
+    """
+    cells, plain, table = gains
+    order = np.lexsort((code, which))
+    which, code, n = which[order], code[order], n[order]
+    first = np.flatnonzero(np.append(True, (which[1:] != which[:-1]) | (code[1:] != code[:-1])))
+    which, code, n = which[first], code[first], np.add.reduceat(n, first)
+    each = table[np.minimum(n, TABLED), code]
+    large = np.flatnonzero(n > TABLED)
+    each[large] = _x_log_x(cells[code[large]] + n[large, None]) - plain[code[large]]
+    gain = np.add.reduceat(each, np.searchsorted(which, np.arange(words)), axis=0)
+    times = np.bincount(which, np.where(code < SIDE, n, 0), words)
+    total = joint.sum(axis=1)
+    gain -= 2 * (_x_log_x(total[None, :] + times[:, None]) - _x_log_x(total)[None, :])
+    return gain[:, :CLASSES].argmax(axis=1)  # the last is the end's own class
+
+
+def _choose(joint: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains = gains_of(joint)
+        for batch in batches:
+            if batch.num_rows:
+                lists = batch.column("seen")
+                which = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+                code, n = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in lists.flatten().flatten())
+                sides = np.concatenate([code // SIDE, SIDE + code % SIDE])
+                best = best_classes(np.tile(which, 2), sides, np.tile(n, 2), batch.num_rows, joint, gains)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("hash"), pa.array(best.astype(np.int32))], ["hash", "klass"]
+                )
+
+    return run
+
+
+def place(texts: DataFrame, lexicon: Lexicon, of: np.ndarray, joint: np.ndarray) -> DataFrame:
+    """(hash, klass) of all training words that are no units of their own; ``hash`` has 51 bits."""
+    found = texts.mapInArrow(_count_neighbours(lexicon, of), "key long, n long")
+    code = F.col("key").bitwiseAND((1 << CODE_BITS) - 1).cast("int")
+    # A word has few rows by now, as tasks have added up what they could.
+    found = found.select(F.shiftright("key", CODE_BITS).alias("hash"), code.alias("code"), "n").repartition("hash")
+    by_class = found.groupBy("hash", "code").agg(F.sum("n").alias("n"))
+    words = by_class.groupBy("hash").agg(F.collect_list(F.struct("code", "n")).alias("seen"))
+    return stage(words.mapInArrow(_choose(joint), "hash long, klass int"), "placed")
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return hashes.view(np.int64) >> CODE_BITS
+
+
+def _with_placed(lexicon: Lexicon, placed: DataFrame) -> Lexicon:
+    """The lexicon with a unit for every word: those that are none of their own get their class's."""
+    order = np.argsort(_short(lexicon.hashes), kind="stable")
+    short = _short(lexicon.hashes)[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows or not len(short):
+                continue
+            hashes = batch.column("hash").to_numpy()
+            here = short[np.minimum(np.searchsorted(short, hashes), len(short) - 1)] == hashes
+            if here.any():
+                row = [pa.array([batch.column(c).to_numpy()[here]], pa.list_(pa.int64())) for c in ("hash", "klass")]
+                yield pa.RecordBatch.from_arrays(row, ["hashes", "classes"])
+
+    units = lexicon.units.copy()
+    for r in placed.mapInArrow(run, "hashes array<long>, classes array<long>").collect():
+        first = np.searchsorted(short, r["hashes"], side="left")
+        last = np.searchsorted(short, r["hashes"], side="right")
+        for a, b, klass in zip(first, last, r["classes"]):
+            at = order[a:b]
+            units[at[units[at] < 0]] = PLACED + klass
+    return replace(lexicon, units=units)
+
+
+def _beyond(lexicon: Lexicon):
+    """(word, hash) of words that tasks do not hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                hashes = _hashes_of(batch.column("word"))[3]
+                rest = np.flatnonzero(~lexicon.find(hashes)[1])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("word").take(pa.array(rest)), pa.array(_short(hashes[rest]))], ["word", "hash"]
+                )
+
+    return run
+
+
+def _sequences(lexicon: Lexicon, of: np.ndarray, column: pa.Array):
+    """For each block its first row, its rows, words found in the lexicon, and classes with ends.
+
+    Words that the lexicon lacks have class -1; they follow with their text, row, place in the
+    sequence, the classes beside them and the class of their last bytes.
+    """
+    for a, b, data, offsets in tokens.text_blocks(column):
+        data = tokens.lower(data)
+        starts, ends, rows = tokens.words(data, offsets)
+        hashes = tokens.hash_words(data, starts, ends)
+        at, there = lexicon.find(hashes)
+        classes = of[lexicon.units_of(tokens.prefix_hash(data), starts, ends, hashes)]
+        held, stop = _with_ends(rows, b - a, np.where(there, classes, -1), CLASSES)
+        rare = np.flatnonzero(~there)
+        place = rare + rows[rare]
+        left = np.where(place > 0, held[place - 1], CLASSES)
+        words = tokens.gather(data, starts[rare], ends[rare])
+        yield a, b - a, rows, at, there, held, stop, (words, rows[rare], place, left, held[place + 1], classes[rare])
+
+
+RARE = "word string, at int, left int, right int, ending int"
+RARE_NAMES = [x.split()[0] for x in RARE.split(", ")]
+
+
+def _rare_columns(rare) -> list[pa.Array]:
+    words, _, *numbers = rare
+    return [words, *(pa.array(x.astype(np.int32)) for x in numbers)]
+
+
+def _with_classes(rare: DataFrame, words: DataFrame) -> DataFrame:
+    """For each row of text its words beyond the lexicon with their classes, and sums over them."""
+    klass = F.coalesce("klass", "ending").alias("klass")
+    return rare.join(words, "word", "left").groupBy("row").agg(
+        F.count("n").alias("more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare"),
+        F.collect_list(F.struct("at", "left", "right", klass)).alias("seen"),
+    )
+
+
+def _rare_moves(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and class pair of every move from or to a word of the lists, each move once."""
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    at, left, right, klass = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in lists.flatten().flatten())
+    order = np.lexsort((at, row))
+    row, at, left, right, klass = (x[order] for x in (row, at, left, right, klass))
+    # A right neighbour that the lexicon lacks, too, is the next of the list.
+    after = np.where(right < 0, np.append(klass[1:], 0), right)
+    to = left >= 0
+    return np.append(row, row[to]), np.append(klass, left[to]), np.append(after, klass[to])
+
+
+MOVES = pa.list_(pa.int16())
+PER_TEXT = "row long, n_tokens long, n_known long, frequent double, moves array<smallint>"
+
+
+def _encode_batches(lexicon: Lexicon, of: np.ndarray, keep: list[str]):
+    """For each text its sums and moves between words of the lexicon with the ``keep`` columns, then its other words."""
+    logs = np.log10(lexicon.counts + 1.0)
+    names = [*keep, *(x.split()[0] for x in PER_TEXT.split(", ")), *RARE_NAMES]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), MOVES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("_row").to_numpy(zero_copy_only=False)
+            for a, count, rows, at, there, held, stop, rare in _sequences(lexicon, of, batch.column("_text")):
+                before = np.append(CLASSES, held[:-1])
+                both = (before >= 0) & (held >= 0)
+                lists = np.append(0, np.append(0, np.cumsum(both))[stop]).astype(np.int32)
+                moves = pa.ListArray.from_arrays(pa.array(lists), pa.array((before * SIDE + held)[both].astype(np.int16)))
+                known = np.bincount(rows[there], minlength=count)
+                frequent = np.bincount(rows[there], logs[at[there]], count) if len(logs) else np.zeros(count)
+                kept = [batch.column(i).slice(a, count) for i in range(len(keep))]
+                sums = (np.bincount(rows, minlength=count) + 1, known, frequent, moves)
+                none = [pa.nulls(count, k) for k in (pa.string(), *[pa.int32()] * 4)]
+                made = [pa.array(x, k) if k != MOVES else x for x, k in zip(sums, kinds)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(ids[a : a + count]), *made, *none], names)
+                size = len(rare[0])
+                if size:
+                    none = [pa.nulls(size, batch.schema.field(i).type) for i in range(len(keep))]
+                    sums = [pa.nulls(size, k) for k in kinds]
+                    yield pa.RecordBatch.from_arrays(
+                        [*none, pa.array(ids[a + rare[1]]), *sums, *_rare_columns(rare)], names
+                    )
+
+    return run
+
+
+def _move_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            row, a, b = _rare_moves(batch.column("seen"))
+            order = np.argsort(row, kind="stable")
+            stops = np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows))).astype(np.int32)
+            moves = pa.ListArray.from_arrays(pa.array(stops), pa.array((a * SIDE + b)[order].astype(np.int16)))
+            names = ["row", "more_known", "rare"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), moves], [*names, "moves"])
+
+
+def _encode(docs: DataFrame, lexicon: Lexicon, of: np.ndarray, words: DataFrame, text: str = "text",
+            keep: tuple[str, ...] = (), held_out: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Each text once: its ``keep`` columns (as _0, _1, ..), sums and moves between classes, staged.
+
+    The second frame has for texts with words beyond the lexicon what these add. Rows of ``held_out``
+    texts have odd numbers.
+    """
+    # Kept columns go under numbers meanwhile, so that they cannot clash.
+    inside = [f"_{i}" for i in range(len(keep))]
+    kept = [F.col(f"`{c}`").alias(n) for c, n in zip(keep, inside)]
+    ddl = ", ".join([*(f"{n} {kind}" for n, kind in docs.select(*kept).dtypes), PER_TEXT, RARE])
+    odd = F.coalesce(F.col(held_out), F.lit(False)).cast("long") if held_out else F.lit(0).cast("long")
+    row = (F.monotonically_increasing_id() * 2 + odd).alias("_row")
+    narrow = docs.select(*kept, row, F.col(text).alias("_text"))
+    rows = stage(narrow.mapInArrow(_encode_batches(lexicon, of, inside), ddl), "encoded")
+    rare = _with_classes(rows.where("word IS NOT NULL").select("row", *RARE_NAMES), words)
+    rare = rare.mapInArrow(_move_lists, "row long, more_known long, rare double, moves array<smallint>")
+    return rows.where("word IS NULL").drop(*RARE_NAMES), stage(rare, "beyond")
+
+
+def _count_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SIDE * SIDE, np.int64)
+    for batch in batches:
+        total += np.bincount(batch.column("moves").flatten().to_numpy(zero_copy_only=False), minlength=len(total))
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["move", "n"])
+
+
+def _class_pairs(encoded: tuple[DataFrame, DataFrame]) -> np.ndarray:
+    """Counts of class pairs over all texts that are not held out."""
+    both = encoded[0].select("row", "moves").unionByName(encoded[1].select("row", "moves"))
+    counted = both.where("row % 2 = 0").select("moves").mapInArrow(_count_moves, "move long, n long")
+    out = np.zeros(SIDE * SIDE)
+    for r in counted.groupBy("move").agg(F.sum("n").alias("n")).collect():
+        out[r["move"]] = r["n"]
+    return out.reshape(SIDE, SIDE)
+
+
 @dataclass
 class ClassModel:
-    """All that scoring needs besides the counts of rare words."""
+    """All that scoring needs besides the counts of rare words; ``classes`` are theirs (word, klass)."""
 
     lexicon: Lexicon
     of: np.ndarray
@@ -310,27 +593,28 @@ class ClassModel:
     tokens: int
     distinct: int
     ends: int
+    classes: DataFrame | None
 
 
-def train(texts: DataFrame, class_weight: float = CLASS_WEIGHT) -> tuple[ClassModel, DataFrame]:
-    """The model and the staged vocabulary (word, n) of all ``texts`` (column text)."""
+def _learn(texts: DataFrame) -> tuple[Lexicon, np.ndarray, DataFrame, DataFrame]:
+    """The lexicon with classes, classes of units, the staged vocabulary, and classes beyond the lexicon."""
     texts = texts.select("text")
     vocabulary = stage(count_words(texts), "vocabulary")
     lexicon = frequent_words(vocabulary)
     pairs = texts.mapInArrow(_count_pairs(lexicon), "a int, b int, n long")
     pairs = stage(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
     of, joint = cluster(pairs)
+    placed = place(texts, lexicon, of, joint)
+    of = np.append(of, np.arange(CLASSES))
+    beyond = vocabulary.select("word").mapInArrow(_beyond(lexicon), "word string, hash long")
+    classes = stage(beyond.join(placed, "hash").select("word", "klass"), "classes")
+    return _with_placed(lexicon, placed), of, vocabulary, classes
 
-    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found, n = np.unique(lexicon.units_of(*_hashes_of(batch.column("word"))), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["unit", "n"])
 
-    words = np.zeros(CLASSES + 1)
-    counted = vocabulary.select("word").mapInArrow(units, "unit int, n long")
-    for r in counted.groupBy("unit").agg(F.sum("n").alias("n")).collect():
-        words[of[r["unit"]]] += r["n"]
+def _model(lexicon: Lexicon, of: np.ndarray, classes: DataFrame, joint: np.ndarray, class_weight: float) -> ClassModel:
+    words = np.bincount(of[lexicon.units], minlength=CLASSES + 1).astype(float)
+    for r in classes.groupBy("klass").agg(F.count("*").alias("n")).collect():
+        words[r["klass"]] += r["n"]
     in_class = joint.sum(axis=0)
     ends = int(in_class[CLASSES])
     words[CLASSES] = min(ends, 1)
@@ -341,79 +625,61 @@ def train(texts: DataFrame, class_weight: float = CLASS_WEIGHT) -> tuple[ClassMo
     moves = (joint + kinds * share[None, :]) / (joint.sum(axis=1, keepdims=True) + kinds)
     emission = class_weight * moves / (in_class + words + 1)[None, :]
     context = np.log10(emission + (1 - class_weight) / (total + distinct + CLASSES + 1))
-    return ClassModel(lexicon, of, context, total, distinct, ends), vocabulary
+    return ClassModel(lexicon, of, context, total, distinct, ends, classes)
 
 
-SCORED = "row long, n_tokens long, n_known long, frequent double, context double, word string, times long"
-
+def train(texts: DataFrame, class_weight: float = CLASS_WEIGHT) -> tuple[ClassModel, DataFrame]:
+    """The model and the staged vocabulary (word, n) of all ``texts`` (column text)."""
+    lexicon, of, vocabulary, classes = _learn(texts)
+    encoded = _encode(texts, lexicon, of, vocabulary.join(classes, "word"))
+    return _model(lexicon, of, classes, _class_pairs(encoded), class_weight), vocabulary
 
-def _score_batches(model: ClassModel, keep: list[str]):
-    """For each text its sums over frequent words with the ``keep`` columns, then its rare words."""
-    logs = np.log10(model.lexicon.counts + 1.0)
-    end_log, end_class = np.log10(model.ends + 1.0), model.of[END_UNIT]
-    names = [*keep, *(x.split()[0] for x in SCORED.split(", "))]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.int64()]
 
-    def emit(kept, *columns) -> pa.RecordBatch:
-        n = len(columns[0])
-        made = [pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(columns, kinds)]
-        return pa.RecordBatch.from_arrays([*kept, *made], names)
+def _context_sums(context: np.ndarray, kept: list[str]):
+    """Log probabilities of the moves of each row in place of the moves."""
+    values = context.ravel()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("_row").to_numpy(zero_copy_only=False)
-            for a, b, data, offsets in tokens.text_blocks(batch.column("_text")):
-                count = b - a
-                data = tokens.lower(data)
-                starts, ends, rows = tokens.words(data, offsets)
-                prefix = tokens.prefix_hash(data)
-                hashes = tokens.hash_words(data, starts, ends)
-                at, there = model.lexicon.find(hashes)
-                units = model.lexicon.units_of(prefix, starts, ends, hashes)
-                classes, stop = _with_ends(rows, count, model.of[units], end_class)
-                context = model.context[np.append(end_class, classes[:-1]), classes]
-                of_row = np.repeat(np.arange(count), np.diff(np.append(0, stop)))
-                per_row = np.bincount(rows, minlength=count)
-                known = np.bincount(rows[there], minlength=count) + (model.ends > 0)
-                frequent = np.bincount(rows[there], logs[at[there]], count) if len(logs) else np.zeros(count)
-                kept = [batch.column(i).slice(a, count) for i in range(len(keep))]
-                context = np.bincount(of_row, context, count)
-                yield emit(kept, ids[a:b], per_row + 1, known, frequent + end_log, context, None, None)
-                rare = np.flatnonzero(~there)
-                if len(rare):
-                    order = rare[np.lexsort((hashes[rare], rows[rare]))]
-                    r, h = rows[order], hashes[order]
-                    new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (h[1:] != h[:-1])))
-                    first = order[new]
-                    times = np.diff(np.append(new, len(order)))
-                    words = tokens.gather(data, starts[first], ends[first])
-                    none = [pa.nulls(len(first), batch.schema.field(i).type) for i in range(len(keep))]
-                    yield emit(none, ids[a + rows[first]], None, None, None, None, words, times)
+            if batch.num_rows:
+                lists = batch.column("moves")
+                row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+                sums = np.bincount(row, values[lists.flatten().to_numpy(zero_copy_only=False)], batch.num_rows)
+                yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(sums, pa.float64())], [*kept, "context"])
 
     return run
 
 
-def score(docs: DataFrame, model: ClassModel, vocabulary: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The ``keep`` columns of every document with n_tokens, n_known, train_tokens, base_score, score."""
-    # Kept columns go under numbers meanwhile, so that they cannot clash.
-    inside = [f"_{i}" for i in range(len(keep))]
-    kept = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, inside)])
-    ddl = ", ".join([*(f"{n} {kind}" for n, kind in kept.dtypes), SCORED])
-    narrow = docs.select(
-        *[F.col(f"`{c}`").alias(n) for c, n in zip(keep, inside)],
-        F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_text"),
-    )
-    rows = stage(narrow.mapInArrow(_score_batches(model, inside), ddl), "scored")
-    rare = rows.where("word IS NOT NULL").select("row", "word", "times")
-    sums = rare.join(vocabulary, "word").groupBy("row").agg(
-        F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare")
-    )
-    joined = rows.where("word IS NULL").join(sums, "row", "left")
-    logs = F.col("frequent") + F.coalesce("rare", F.lit(0.0))
+def _scores(encoded: tuple[DataFrame, DataFrame], model: ClassModel, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns and scores of encoded texts."""
+
+    def summed(df: DataFrame) -> DataFrame:
+        kept = [c for c in df.columns if c != "moves"]
+        ddl = ", ".join([*(f"{n} {kind}" for n, kind in df.dtypes if n != "moves"), "context double"])
+        return df.mapInArrow(_context_sums(model.context, kept), ddl)
+
+    rows, rare = encoded
+    joined = summed(rows).join(summed(rare).withColumnRenamed("context", "moved"), "row", "left")
+    logs = F.col("frequent") + F.lit(float(np.log10(model.ends + 1.0))) + F.coalesce("rare", F.lit(0.0))
+    context = F.col("context") + F.coalesce("moved", F.lit(0.0))
+    known = F.col("n_known") + F.lit(int(model.ends > 0)) + F.coalesce("more_known", F.lit(0))
     base = F.log10(F.lit(float(max(1, model.tokens + model.distinct + 1))))
     return joined.select(
-        *[F.col(n).alias(c) for n, c in zip(inside, keep)], "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "n_tokens", known.alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * base).alias("base_score"), (logs + F.col("context")).alias("score"),
+        (logs - F.col("n_tokens") * base).alias("base_score"), (logs + context).alias("score"),
     )
+
+
+def score(docs: DataFrame, model: ClassModel, vocabulary: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """The ``keep`` columns of every document with n_tokens, n_known, train_tokens, base_score, score."""
+    words = vocabulary.join(model.classes, "word")
+    return _scores(_encode(docs, model.lexicon, model.of, words, text, tuple(keep)), model, keep)
+
+
+def train_and_score(docs: DataFrame, keep: list[str], held_out: str, class_weight: float = CLASS_WEIGHT) -> DataFrame:
+    """``train`` on the rows that are not ``held_out`` and ``score`` of all, which are encoded once for both."""
+    texts = docs.where(~F.coalesce(F.col(held_out), F.lit(False)))
+    lexicon, of, vocabulary, classes = _learn(texts)
+    encoded = _encode(docs, lexicon, of, vocabulary.join(classes, "word"), "text", tuple(keep), held_out)
+    return _scores(encoded, _model(lexicon, of, classes, _class_pairs(encoded), class_weight), keep)

@@ -45,8 +45,7 @@ def op2_class_bigrams(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         "doc_id", "text", F.coalesce(hash_rest(7) == 2, F.lit(False)).alias("held_out")
     )
-    model, vocabulary = ngram.train(docs.where("NOT held_out"))
-    return ngram.score(docs, model, vocabulary, ["doc_id", "held_out"])
+    return ngram.train_and_score(docs, ["doc_id", "held_out"], "held_out")
 
 
 @query

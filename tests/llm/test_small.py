@@ -601,6 +601,80 @@ def test_probabilities_sum_to_one_at_most(docs):
         assert inside <= 1 + 1e-9 and inside + unseen <= 1.02
 
 
+def test_every_training_word_is_classed_by_its_neighbours(spark, docs, monkeypatch):
+    """Rare words beyond the units, and beyond the words that tasks hold, and pairs of such words."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram, "LOOKED_UP", ngram.UNITS + 40)
+    rng = random.Random(4)
+    frequent = [f"f{i}q{i % 7}" for i in range(ngram.UNITS)]
+    # Equal last bytes, other company: ends of sentences here, starts there.
+    heads, tails = [f"h{i}xyz" for i in range(60)], [f"t{i}xyz" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(frequent[:40]) + " " + rng.choice(frequent[40:80]) for _ in range(8))) for i in range(150)]
+    rows += [(1000 + i, " ".join(frequent[i::32] * 6)) for i in range(32)]
+    rows += [(2000 + i, f"{heads[i % 60]} {' '.join(rng.choices(frequent[40:80], k=3))}") for i in range(180)]
+    rows += [(2500 + i, f"{rng.choice(frequent[:40])} {tails[i]}") for i in range(60)]
+    rows += [(3000, "h1xyz h2xyz h2xyz t3xyz"), (3001, "t1xyz"), (3002, None)]
+    rows += [(3003, "f0q0 t5xyz t6xyz f1q1")] * 2
+    model, vocabulary = ngram.train(docs(rows))
+    assert model.classes.count() >= 60  # not held by tasks
+    klass = {r["word"]: r["klass"] for r in model.classes.collect()}
+    words = [r["word"] for r in vocabulary.collect()]
+    held = model.lexicon.units_of(*ngram._hashes_of(pa.array(words)))
+    klass |= {w: int(model.of[u]) for w, u in zip(words, held) if w not in klass}
+    assert {klass[w] for w in tails} - {klass[w] for w in heads}  # the last bytes would give all the same
+    pairs = Counter()
+    for _, t in rows:
+        seen = [ngram.CLASSES, *(klass[w] for w in brute.words(t)), ngram.CLASSES]
+        pairs.update(zip(seen, seen[1:]))
+    classed = vocabulary.join(model.classes, "word")
+    joint = ngram._class_pairs(ngram._encode(docs(rows), model.lexicon, model.of, classed))
+    assert {(a, b): joint[a, b] for a, b in zip(*np.nonzero(joint))} == pairs
+    assert model.tokens == sum(pairs.values()) and model.distinct == len(words) + 1
+    counts = {r["word"]: r["n"] for r in vocabulary.collect()}
+    asked = [*rows, (4000, "never1xyz h1xyz h1xyz never2 t3xyz never1xyz"), (4001, "never1xyz")]
+    for r in ngram.score(docs(asked), model, vocabulary, ["doc_id", "text"]).collect():
+        seen, want = ngram.CLASSES, 0.0
+        for w in brute.words(r["text"]):
+            if w not in klass:
+                klass[w] = int(model.of[ngram._ending_units(*ngram._hashes_of(pa.array([w]))[:3])[0]])
+            want += np.log10(counts.get(w, 0) + 1) + model.context[seen, klass[w]]
+            seen = klass[w]
+        want += np.log10(model.ends + 1) + model.context[seen, ngram.CLASSES]
+        assert np.isclose(r["score"], want)
+
+
+def test_best_class_is_the_best_of_all():
+    rng = np.random.default_rng(3)
+    joint = rng.integers(1000, 9000, (ngram.SIDE, ngram.SIDE)).astype(float)
+    seen = [[(int(c), int(n)) for c, n in zip(rng.choice(2 * ngram.SIDE, 5, False), rng.choice([1, 2, 40], 5))] for _ in range(20)]
+    flat = [(i, c, n) for i, s in enumerate(seen) for c, n in s]
+    flat += flat[:3]  # counts of one neighbour in two rows
+    seen[0] += seen[0][:3]
+    found = ngram.best_classes(*np.array(flat).T, len(seen), joint, ngram.gains_of(joint))
+    x = lambda v: v * np.log(v)
+    for i, s in enumerate(seen):
+        gains = []
+        for b in range(ngram.CLASSES):
+            counts = Counter()
+            for c, n in s:
+                counts[(c, b) if c < ngram.SIDE else (b, c - ngram.SIDE), c < ngram.SIDE] += n
+            gain = sum(x(joint[cell] + n) - x(joint[cell]) for (cell, _), n in counts.items())
+            times = sum(n for c, n in s if c < ngram.SIDE)
+            gains.append(gain - 2 * (x(joint[b].sum() + times) - x(joint[b].sum())))
+        assert np.isclose(gains[found[i]], max(gains))
+
+
+def test_trained_and_scored_at_once(docs):
+    rows = [(i, " ".join(f"w{(i * k) % 37}" for k in range(i % 9))) for i in range(60)] + ODD
+    marked = docs(rows).withColumn("odd", F.col("doc_id") % 5 == 0)
+    model, vocabulary = ngram.train(marked.where("NOT odd"))
+    want = rows_of(ngram.score(marked, model, vocabulary, ["doc_id", "odd"]))
+    got = rows_of(ngram.train_and_score(marked, ["doc_id", "odd"], "odd"))
+    assert [r[:5] for r in sorted(got)] == [r[:5] for r in sorted(want)]
+    assert np.allclose([r[5:] for r in sorted(got)], [r[5:] for r in sorted(want)])
+
+
 def test_class_bigrams_without_training(docs):
     model, vocabulary = ngram.train(docs([]))
     scored = ngram.score(docs(ODD), model, vocabulary, ["doc_id", "lang"]).collect()
