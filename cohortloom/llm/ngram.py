@@ -53,12 +53,20 @@ PLACED = END_UNIT + 1
 SIDE = CLASSES + 1
 CODE_BITS = 13
 # Different keys that a task holds before it hands them on, and counts whose logarithms are tabulated.
-HELD_KEYS, TABLED = 1 << 20, 32
+HELD_KEYS, TABLED = 1 << 21, 32
+# Words with counts that a task holds before it hands them on, a batch more at most.
+HELD_WORDS = 1 << 19
 
 
-def _ending_units(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    tail = tokens.span_hash(prefix, np.maximum(starts, ends - ENDING_BYTES), ends)
-    return (UNITS + tail % np.uint64(ENDINGS)).astype(np.int32)
+def _ending_units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Units by the hash that ``tokens.span_hash`` gives the last bytes."""
+    starts = np.maximum(starts, ends - ENDING_BYTES)
+    size = ends - starts
+    tail = size.astype(np.uint64)
+    for k in range(ENDING_BYTES):
+        some = np.flatnonzero(size > k)
+        tail[some] += (data[starts[some] + k].astype(np.uint64) + np.uint64(1)) * tokens.powers(ENDING_BYTES)[0][k]
+    return (UNITS + tokens.mix(tail) % np.uint64(ENDINGS)).astype(np.int32)
 
 
 @dataclass
@@ -76,12 +84,13 @@ class Lexicon:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
-    def units_of(self, prefix, starts, ends, hashes) -> np.ndarray:
-        at, there = self.find(hashes)
-        out = _ending_units(prefix, starts, ends)
-        if len(self.hashes):
-            own = there & (self.units[at] >= 0)
-            out[own] = self.units[at][own]
+    def units_of(self, data, starts, ends, hashes, found=None) -> np.ndarray:
+        """Units of words; ``found`` is what ``find`` gave for their hashes, if that is known."""
+        at, there = found or self.find(hashes)
+        out = np.full(len(hashes), -1, np.int32)
+        out[there] = self.units[at[there]]
+        rest = np.flatnonzero(out < 0)
+        out[rest] = _ending_units(data, starts[rest], ends[rest])
         return out
 
 
@@ -93,8 +102,13 @@ def _merged(parts: list) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts, held = [], 0
+
+    def counted() -> pa.RecordBatch:
+        _, counts, words = _merged(parts)
+        return pa.RecordBatch.from_arrays([words, pa.array(counts)], ["word", "n"])
+
     for batch in batches:
-        parts = []
         for _, _, data, offsets in tokens.text_blocks(batch.column("text")):
             data = tokens.lower(data)
             starts, ends, _ = tokens.words(data, offsets)
@@ -102,9 +116,12 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(starts):
                 _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
                 parts.append((hashes[first], counts, tokens.gather(data, starts[first], ends[first])))
-        if parts:
-            _, counts, words = _merged(parts)
-            yield pa.RecordBatch.from_arrays([words, pa.array(counts)], ["word", "n"])
+                held += len(first)
+        if held > HELD_WORDS:
+            yield counted()
+            parts, held = [], 0
+    if parts:
+        yield counted()
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -115,8 +132,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 def _hashes_of(words: pa.Array):
     data, offsets = tokens.text_bytes(words)
-    prefix = tokens.prefix_hash(data)
-    return prefix, offsets[:-1], offsets[1:], tokens.hash_words(data, offsets[:-1], offsets[1:])
+    return data, offsets[:-1], offsets[1:], tokens.hash_words(data, offsets[:-1], offsets[1:])
 
 
 def _hashed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,9 +198,8 @@ def _count_pairs(lexicon: Lexicon):
             for _, _, data, offsets in tokens.text_blocks(batch.column("text")):
                 data = tokens.lower(data)
                 starts, ends, rows = tokens.words(data, offsets)
-                prefix = tokens.prefix_hash(data)
                 hashes = tokens.hash_words(data, starts, ends)
-                units = lexicon.units_of(prefix, starts, ends, hashes)
+                units = lexicon.units_of(data, starts, ends, hashes)
                 units, _ = _with_ends(rows, len(offsets) - 1, units, END_UNIT)
                 codes, n = np.unique(np.append(END_UNIT, units[:-1]).astype(np.int64) * size + units, return_counts=True)
                 total[codes] += n
@@ -326,7 +341,7 @@ def _count_neighbours(lexicon: Lexicon, of: np.ndarray):
                 data = tokens.lower(data)
                 starts, ends, rows = tokens.words(data, offsets)
                 hashes = tokens.hash_words(data, starts, ends)
-                units = lexicon.units_of(tokens.prefix_hash(data), starts, ends, hashes)
+                units = lexicon.units_of(data, starts, ends, hashes)
                 classes, _ = _with_ends(rows, len(offsets) - 1, of[units], CLASSES)
                 index = np.flatnonzero(units >= UNITS)
                 at = index + rows[index]
@@ -459,7 +474,7 @@ def _sequences(lexicon: Lexicon, of: np.ndarray, column: pa.Array):
         starts, ends, rows = tokens.words(data, offsets)
         hashes = tokens.hash_words(data, starts, ends)
         at, there = lexicon.find(hashes)
-        classes = of[lexicon.units_of(tokens.prefix_hash(data), starts, ends, hashes)]
+        classes = of[lexicon.units_of(data, starts, ends, hashes, (at, there))]
         held, stop = _with_ends(rows, b - a, np.where(there, classes, -1), CLASSES)
         rare = np.flatnonzero(~there)
         place = rare + rows[rare]
