@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,10 @@ CODE_BITS = 13
 HELD_KEYS, TABLED = 1 << 21, 32
 # Words with counts that a task holds before it hands them on, a batch more at most.
 HELD_WORDS = 1 << 19
+# Leading bits of a hash by which it is looked up, and by which neighbours are shuffled.
+FIND_BITS, RANGE_BITS = 20, 12
+# Neighbours whose gains are computed together, those of one word more at most.
+WEIGHED = 1 << 14
 
 
 def _ending_units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -77,11 +82,24 @@ class Lexicon:
     counts: np.ndarray
     units: np.ndarray
 
+    @cached_property
+    def _ranges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where the hashes with the same leading bits begin, and the hashes with one more that none is above."""
+        lead = (self.hashes >> np.uint64(64 - FIND_BITS)).astype(np.int64)
+        first = np.cumsum(np.bincount(lead + 1, minlength=1 << FIND_BITS)[: 1 << FIND_BITS])
+        return first, np.append(self.hashes, np.uint64(2**64 - 1))
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place and whether it is there."""
         if not len(self.hashes):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        first, held = self._ranges
+        at = first[(hashes >> np.uint64(64 - FIND_BITS)).astype(np.int64)]
+        below = np.flatnonzero(held[at] < hashes)
+        while len(below):
+            at[below] += 1
+            below = below[held[at[below]] < hashes[below]]
+        at = np.minimum(at, len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
     def units_of(self, data, starts, ends, hashes, found=None) -> np.ndarray:
@@ -204,16 +222,58 @@ def _count_pairs(lexicon: Lexicon):
                 codes, n = np.unique(np.append(END_UNIT, units[:-1]).astype(np.int64) * size + units, return_counts=True)
                 total[codes] += n
         some = np.flatnonzero(total)
-        for a in range(0, len(some), 1 << 18):
-            at = some[a : a + (1 << 18)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at // size).astype(np.int32)), pa.array((at % size).astype(np.int32)), pa.array(total[at])],
-                ["a", "b", "n"],
-            )
+        first = np.flatnonzero(np.diff(some // size, prepend=-1))
+        stops = np.append(first, len(some))
+        for i in range(0, len(first), 100):
+            cuts = stops[i : i + 101]
+            at = some[cuts[0] : cuts[-1]]
+            lists = [pa.ListArray.from_arrays(pa.array((cuts - cuts[0]).astype(np.int32)), pa.array(x))
+                     for x in ((at % size).astype(np.int32), total[at])]
+            units = (some[cuts[:-1]] // size).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(units), *lists], ["a", "others", "counts"])
 
     return run
 
 
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list]]:
+    """Each ``key`` with the values of its lists, of batches that are sorted by it; the lists are the other columns."""
+    held, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        lists = [batch.column(c) for c in batch.schema.names if c != key]
+        offsets = lists[0].offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        values = [x.flatten().to_numpy() for x in lists]
+        cuts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if parts and keys[a] != held:
+                yield held, parts
+                parts = []
+            held = keys[a]
+            parts.append([v[offsets[a] : offsets[b]] for v in values])
+    if parts:
+        yield held, parts
+
+
+def _sum_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for unit, parts in _groups(batches, "a"):
+        total = np.zeros(END_UNIT + 1, np.int64)
+        for others, counts in parts:
+            total += np.bincount(others, counts, len(total)).astype(np.int64)
+        b = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(b), unit, np.int32)), pa.array(b.astype(np.int32)), pa.array(total[b])], ["a", "b", "n"]
+        )
+
+
+def count_pairs(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(a, b, n) of all pairs of units; what tasks have counted is moved as one row of lists per unit."""
+    counted = texts.mapInArrow(_count_pairs(lexicon), "a int, others array<int>, counts array<long>")
+    return counted.repartition("a").sortWithinPartitions("a").mapInArrow(_sum_pairs, "a int, b int, n long")
+
+
 def _neighbours(pairs: DataFrame) -> DataFrame:
     """One row per unit: right neighbours, left neighbours and their counts (UNITS + ENDINGS + 1 at most)."""
     right = pairs.select(F.col("a").alias("unit"), F.lit(True).alias("right"), F.col("b").alias("other"), "n")
@@ -327,8 +387,21 @@ def cluster(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
-    found, which = np.unique(np.concatenate(keys), return_inverse=True)
-    return found, np.bincount(which, np.concatenate(counts)).astype(np.int64)
+    """Distinct keys in order with sums of their counts."""
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys, kind="stable")  # the parts are sorted, which this makes use of
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def _by_range(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """One row for all keys with the same leading bits; the keys are sorted."""
+    lead = (keys >> np.uint64(64 - RANGE_BITS)).astype(np.int32)
+    first = np.flatnonzero(np.diff(lead, prepend=-1))
+    stops = pa.array(np.append(first, len(keys)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(stops, pa.array(x)) for x in (keys.view(np.int64), counts)]
+    return pa.RecordBatch.from_arrays([pa.array(lead[first]), *lists], ["range", "keys", "counts"])
 
 
 def _count_neighbours(lexicon: Lexicon, of: np.ndarray):
@@ -355,11 +428,10 @@ def _count_neighbours(lexicon: Lexicon, of: np.ndarray):
                     found, n = _summed(keys, counts)
                     keys, counts, held = [found], [n], len(found)
                     if held > HELD_KEYS // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["key", "n"])
+                        yield _by_range(found, n)
                         keys, counts, held = [], [], 0
         if keys:
-            found, n = _summed(keys, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["key", "n"])
+            yield _by_range(*_summed(keys, counts))
 
     return run
 
@@ -394,29 +466,35 @@ def best_classes(which: np.ndarray, code: np.ndarray, n: np.ndarray, words: int,
 def _choose(joint: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gains = gains_of(joint)
-        for batch in batches:
-            if batch.num_rows:
-                lists = batch.column("seen")
-                which = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-                code, n = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in lists.flatten().flatten())
-                sides = np.concatenate([code // SIDE, SIDE + code % SIDE])
-                best = best_classes(np.tile(which, 2), sides, np.tile(n, 2), batch.num_rows, joint, gains)
+        for _, parts in _groups(batches, "range"):
+            # All rows of a word are in one range.
+            keys, n = _summed([p[0] for p in parts], [p[1] for p in parts])
+            hashes, code = keys >> CODE_BITS, keys & ((1 << CODE_BITS) - 1)
+            first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+            stops = np.append(first, len(keys))
+            a = 0
+            while a < len(first):
+                b = max(a + 1, int(np.searchsorted(stops, stops[a] + WEIGHED, side="right")) - 1)
+                here = slice(stops[a], stops[b])
+                which = np.repeat(np.arange(b - a), np.diff(stops[a : b + 1]))
+                sides = np.concatenate([code[here] // SIDE, SIDE + code[here] % SIDE])
+                best = best_classes(np.tile(which, 2), sides, np.tile(n[here], 2), b - a, joint, gains)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("hash"), pa.array(best.astype(np.int32))], ["hash", "klass"]
+                    [pa.array(hashes[first[a:b]]), pa.array(best.astype(np.int32))], ["hash", "klass"]
                 )
+                a = b
 
     return run
 
 
 def place(texts: DataFrame, lexicon: Lexicon, of: np.ndarray, joint: np.ndarray) -> DataFrame:
-    """(hash, klass) of all training words that are no units of their own; ``hash`` has 51 bits."""
-    found = texts.mapInArrow(_count_neighbours(lexicon, of), "key long, n long")
-    code = F.col("key").bitwiseAND((1 << CODE_BITS) - 1).cast("int")
-    # A word has few rows by now, as tasks have added up what they could.
-    found = found.select(F.shiftright("key", CODE_BITS).alias("hash"), code.alias("code"), "n").repartition("hash")
-    by_class = found.groupBy("hash", "code").agg(F.sum("n").alias("n"))
-    words = by_class.groupBy("hash").agg(F.collect_list(F.struct("code", "n")).alias("seen"))
-    return stage(words.mapInArrow(_choose(joint), "hash long, klass int"), "placed")
+    """(hash, klass) of all training words that are no units of their own; ``hash`` has 51 bits.
+
+    Tasks hand on what they have counted as one row of lists per range of hashes; a range is summed in one task.
+    """
+    found = texts.mapInArrow(_count_neighbours(lexicon, of), "range int, keys array<long>, counts array<long>")
+    found = found.repartition("range").sortWithinPartitions("range")
+    return stage(found.mapInArrow(_choose(joint), "hash long, klass int"), "placed")
 
 
 def _short(hashes: np.ndarray) -> np.ndarray:
@@ -616,9 +694,7 @@ def _learn(texts: DataFrame) -> tuple[Lexicon, np.ndarray, DataFrame, DataFrame]
     texts = texts.select("text")
     vocabulary = stage(count_words(texts), "vocabulary")
     lexicon = frequent_words(vocabulary)
-    pairs = texts.mapInArrow(_count_pairs(lexicon), "a int, b int, n long")
-    pairs = stage(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
-    of, joint = cluster(pairs)
+    of, joint = cluster(stage(count_pairs(texts, lexicon), "pairs"))
     placed = place(texts, lexicon, of, joint)
     of = np.append(of, np.arange(CLASSES))
     beyond = vocabulary.select("word").mapInArrow(_beyond(lexicon), "word string, hash long")

@@ -21,6 +21,8 @@ _LOWER[65:91] += 32
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 # Bytes of text that are worked on together; one longer text is taken alone.
 BLOCK = 1 << 19
+# Places in a word for which the mixed values of all bytes are tabulated.
+PLACES = 64
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,6 +46,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _mixed(code: np.ndarray) -> np.ndarray:
+    """Mixed values of places and bytes, the byte in the last eight bits."""
+    return mix(code + np.uint64(0x51ED270B9F2D4A7B))
+
+
+_MIXED = _mixed(np.arange(PLACES << 8, dtype=np.uint64)).reshape(PLACES, 256)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offsets of its rows; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -126,13 +136,27 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     Unlike in a polynomial, no arrangement of the same bytes cancels out.
     """
     lengths = ends - starts
-    upto = np.cumsum(lengths)
-    place = np.arange(upto[-1] if len(upto) else 0) - np.repeat(upto - lengths, lengths)
-    byte = data[place + np.repeat(starts, lengths)]
-    each = mix((place.astype(np.uint64) << np.uint64(8)) + byte + np.uint64(0x51ED270B9F2D4A7B))
-    total = np.zeros(len(each) + 1, np.uint64)
-    np.cumsum(each, out=total[1:])
-    return mix(total[upto] - total[upto - lengths] + lengths.astype(np.uint64))
+    total = lengths.astype(np.uint64)
+    at, rest = starts, np.arange(len(starts))
+    for place in range(PLACES):
+        some = np.flatnonzero(lengths[rest] > place) if place else np.flatnonzero(lengths)
+        rest, at = (rest, at) if len(some) == len(rest) else (rest[some], at[some])
+        if not len(rest):
+            return mix(total)
+        each = _MIXED[place][data[at + place]]
+        if len(rest) == len(total):
+            total += each
+        else:
+            total[rest] += each
+    # What is longer is taken byte by byte.
+    sizes = np.maximum(lengths[rest] - PLACES, 0)
+    upto = np.cumsum(sizes)
+    place = np.arange(upto[-1]) - np.repeat(upto - sizes, sizes) + PLACES
+    byte = data[place + np.repeat(at, sizes)]
+    sums = np.zeros(len(place) + 1, np.uint64)
+    np.cumsum(_mixed((place.astype(np.uint64) << np.uint64(8)) + byte), out=sums[1:])
+    total[rest] += sums[upto] - sums[upto - sizes]
+    return mix(total)
 
 
 def is_space(data: np.ndarray) -> np.ndarray:

@@ -586,6 +586,35 @@ def test_class_bigrams(docs, spark):
     assert sum(r[5] for r in held) > 0.8 * sum(r[4] for r in held)  # log probabilities are negative
 
 
+def test_counts_move_as_lists_and_keep_their_sums(docs, monkeypatch):
+    """Tasks hand on one row per unit or range of hashes, however many counts there are."""
+    words = [f"w{i % 61}x{i * i % 37}" for i in range(3000)]
+    texts = [(i, " ".join(words[i * 30 : i * 30 + 30]) + " " + "q" * (60 + i)) for i in range(100)]
+    lexicon = ngram.frequent_words(ngram.count_words(docs(texts)))
+    import pyarrow as pa
+
+    wanted = Counter()
+    for _, text in texts:
+        data, offsets = tokens.text_bytes(pa.array([text]))
+        units = lexicon.units_of(data, *(found := tokens.words(data, offsets))[:2], tokens.hash_words(data, *found[:2]))
+        row = [ngram.END_UNIT, *units.tolist(), ngram.END_UNIT]
+        wanted.update(zip(row, row[1:]))
+    counted = docs(texts).select("text").mapInArrow(
+        ngram._count_pairs(lexicon), "a int, others array<int>, counts array<long>"
+    ).collect()
+    assert len(counted) <= docs(texts).rdd.getNumPartitions() * len({a for a, _ in wanted})
+    pairs = {(r["a"], r["b"]): r["n"] for r in ngram.count_pairs(docs(texts).select("text"), lexicon).collect()}
+    assert pairs == dict(wanted)
+    rng = np.random.default_rng(5)
+    keys, n = np.unique(rng.integers(0, 2**64, 9000, np.uint64)), np.ones(9000, np.int64)
+    rows = ngram._by_range(keys, n[: len(keys)])
+    assert rows.num_rows <= 1 << ngram.RANGE_BITS and rows.column("keys").flatten().to_numpy().view(np.uint64).tolist() == keys.tolist()
+    held = ngram.Lexicon(keys[::2], n, n.astype(np.int32))
+    at, there = held.find(keys)
+    assert there.tolist() == [i % 2 == 0 for i in range(len(keys))]
+    assert at.tolist() == np.minimum(np.searchsorted(keys[::2], keys), len(keys[::2]) - 1).tolist()
+
+
 def test_probabilities_sum_to_one_at_most(docs):
     rows = [(i, f"a{i % 5} b{i % 3} c") for i in range(50)]
     model, vocabulary = ngram.train(docs(rows))
