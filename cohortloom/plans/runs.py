@@ -43,7 +43,8 @@ class TableSpec:
     """One extract into one table; ``eras`` are the tables derived after each load of it.
 
     ``fields`` defaults to the registry's field list. Any two functions of the given shapes
-    make a spec, which is how own tables are added.
+    make a spec, which is how own tables are added. ``spread`` deals the rows of the extract over
+    all cores first: for extracts of few bytes, which are few splits, and much work on each row.
     """
 
     source: str
@@ -52,6 +53,7 @@ class TableSpec:
     load_stage: LoadStage
     eras: tuple[str, ...] = ()
     fields: tuple[str, ...] | None = None
+    spread: bool = False
 
 
 ERAS: dict[str, EraSpec] = {
@@ -72,14 +74,14 @@ DRUG_ERAS = ("drug_era", "dose_era")
 
 # In dependency order. One extract may feed several tables and two may feed one.
 SPECS: tuple[TableSpec, ...] = (
-    TableSpec("patients", "location", entities.location, loads.location),
-    TableSpec("patients", "person", entities.person, loads.person),
-    TableSpec("patients", "death", entities.death, loads.death),
+    TableSpec("patients", "location", entities.location, loads.location, spread=True),
+    TableSpec("patients", "person", entities.person, loads.person, spread=True),
+    TableSpec("patients", "death", entities.death, loads.death, spread=True),
     TableSpec(
         "encounters", "observation_period", entities.observation_period, loads.observation_period
     ),
-    TableSpec("providers", "care_site", entities.care_site, loads.care_site),
-    TableSpec("providers", "provider", entities.provider, loads.provider),
+    TableSpec("providers", "care_site", entities.care_site, loads.care_site, spread=True),
+    TableSpec("providers", "provider", entities.provider, loads.provider, spread=True),
     TableSpec(
         "encounters", "visit_occurrence", entities.visit_occurrence, loads.visit_occurrence
     ),
@@ -137,6 +139,8 @@ def map_rows(spec: TableSpec, extract: DataFrame, settings: Settings) -> DataFra
 def _new_rows(
     spec: TableSpec, extract: DataFrame, tables: Tables, settings: Settings
 ) -> DataFrame | None:
+    if spec.spread:
+        extract = extract.repartition(tables.spark.sparkContext.defaultParallelism)
     found = spec.load_stage(_plain_rows(spec, extract, settings), tables, settings)
     return None if found is None else _hide_keys(found, settings)
 

@@ -21,6 +21,12 @@ def test_surrogate_id_equals_uuid5(spark, source, modulus):
     assert one(spark, source, lambda c: keys.surrogate_id(c, "person", modulus)) == expected
 
 
+def test_reveal_deciphers_once(spark):
+    df = spark.sql("SELECT concat('x', id) AS c FROM range(3)")
+    plan = df.select(keys.reveal(F.col("c"), "secret").alias("r"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aesDecrypt") == 1
+
+
 def test_surrogate_id_known_value(spark):
     assert one(spark, "p1", lambda c: keys.surrogate_id(c, "person")) == 42662595
     assert one(spark, None, lambda c: keys.surrogate_id(c, "person")) is None

@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.operators import intervals, joins, vocabulary
+from cohortloom.plans.runs import new_rows, spec_for
+from cohortloom.plans.settings import Settings
+from cohortloom.sources.tables import Tables
 
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -118,3 +121,17 @@ def test_same_eras_under_any_partitioning(spark, partitions):
         assert sorted(map(tuple, intervals.drug_eras(rows, window=3).collect())) == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_small_extracts_are_mapped_by_all_cores(spark):
+    """A file of few bytes is one split, however much there is to compute of each row."""
+    columns = ("zip", "city", "state", "gender", "race", "ethnicity")
+    patients = spark.range(0, 40, 1, 1).select(
+        F.concat(F.lit("p"), "id").alias("id"), F.lit("1970-01-01").alias("birthdate"),
+        *[(F.col("id") % 7).cast("string").alias(c) for c in columns],
+    )
+    dealt = f"RoundRobinPartitioning({spark.sparkContext.defaultParallelism})"
+    for table, rows in (("location", 7), ("person", 40)):
+        df = new_rows(spec_for(table), patients, Tables(spark), Settings(secret="s"))
+        assert dealt in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == rows
