@@ -14,7 +14,8 @@ ID_SPACE = 10**9
 def surrogate_id(source_id: Column, source_type: str, modulus: int = ID_SPACE) -> Column:
     """Version-5 UUID of ``source_id`` in the namespace of ``source_type``, modulo ``modulus``.
 
-    The 128 bits are handled as four 32-bit words, so that everything is long arithmetic.
+    The 128 bits are read as two longs and handled as four 32-bit words, so that everything is
+    long arithmetic.
     The default id space holds 10^9 values; a larger modulus (up to 10^18) keeps ids of very
     large tables from colliding.
     """
@@ -23,15 +24,17 @@ def surrogate_id(source_id: Column, source_type: str, modulus: int = ID_SPACE) -
     namespace = uuid.uuid5(uuid.NAMESPACE_DNS, source_type).bytes
     digest = F.sha1(F.concat(F.lit(namespace), F.encode(source_id.cast("string"), "UTF-8")))
 
-    def word(k: int) -> Column:
-        return F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("long")
+    def half(k: int) -> Column:
+        # a negative base makes a signed number, so all 64 bits fit a long
+        return F.conv(F.substring(digest, 16 * k + 1, 16), 16, -10).cast("long")
 
+    high, low = half(0), half(1)
     # version nibble 5 and the variant bits, as the UUID standard sets them
     words = [
-        word(0),
-        word(1).bitwiseAND(F.lit(0xFFFF0FFF)).bitwiseOR(F.lit(0x5000)),
-        word(2).bitwiseAND(F.lit(0x3FFFFFFF)).bitwiseOR(F.lit(0x80000000)),
-        word(3),
+        F.shiftrightunsigned(high, 32),
+        high.bitwiseAND(F.lit(0xFFFF0FFF)).bitwiseOR(F.lit(0x5000)),
+        F.shiftrightunsigned(low, 32).bitwiseAND(F.lit(0x3FFFFFFF)).bitwiseOR(F.lit(0x80000000)),
+        low.bitwiseAND(F.lit(0xFFFFFFFF)),
     ]
     weights = [2 ** (96 - 32 * k) % modulus for k in range(4)]
     if modulus <= 2**30:
