@@ -1,4 +1,5 @@
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,3 +221,28 @@ def test_follow_stores_what_a_batch_run_stores(spark, settings, tmp_path):
     (folder / "b.csv").write_text("state,city,id,zip\nLeinster,Dublin,4,D01\nMunster,Cork,5,T12\n")
     assert len(follow()) == 3
     assert len(follow()) == 3
+
+
+def test_parts_are_joined_while_the_next_table_is_written(spark, tmp_path, monkeypatch):
+    """The driver copies one file after the other; the tasks do not wait for that."""
+    frames = {"a": spark.range(3), "b": spark.range(2), "c": spark.range(0)}
+    going_on, real = threading.Event(), extracts._copied
+    waited = []
+
+    def copied(spark, path, names, header):
+        if path.endswith("a.csv"):
+            waited.append(going_on.wait(60))
+        real(spark, path, names, header)
+
+    def read(table):
+        if table == "c":
+            going_on.set()
+        return frames[table]
+
+    monkeypatch.setattr(extracts, "_copied", copied)
+    store = type("Store", (), {"read": staticmethod(read)})
+    paths = extracts.export_tables(store, ["a", "b", "", "c"], str(tmp_path), one_file=True)
+    assert waited == [True]
+    lines = [(tmp_path / p.split("/")[-1]).read_text().splitlines() for p in paths]
+    assert [(found[0], sorted(found[1:])) for found in lines] == [("id", ["0", "1", "2"]), ("id", ["0", "1"]), ("id", [])]
+    assert not list(tmp_path.glob("*.parts"))
