@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.operators import intervals, joins, vocabulary
-from cohortloom.plans.runs import new_rows, spec_for
+from cohortloom.plans.runs import _plain_rows, new_rows, spec_for
 from cohortloom.plans.settings import Settings
 from cohortloom.sources.tables import Tables
 
@@ -135,3 +135,30 @@ def test_small_extracts_are_mapped_by_all_cores(spark):
         df = new_rows(spec_for(table), patients, Tables(spark), Settings(secret="s"))
         assert dealt in df._jdf.queryExecution().executedPlan().toString()
         assert df.count() == rows
+
+
+def test_filters_do_not_parse_again(spark):
+    """Dates are parsed and keys cleaned once a row, not for a filter as well."""
+    text = "patient string, encounter string, code string, description string, start string, stop string"
+    columns = text.replace(" string", "").split(", ")
+    rows = spark.createDataFrame([("p-1", "e", "c", "d", "2020-01-01", None), ("p-1", "e", "c", "d", "x", None)], text)
+    rows = rows.select(*[F.concat(c, F.lit("")).alias(c) for c in columns])
+    mapped = _plain_rows(spec_for("condition_occurrence"), rows, Settings(secret="s"))
+    kept = mapped.filter(F.col("person_source_value").isNotNull())
+    assert [r.condition_end_date.isoformat() for r in kept.collect()] == ["2020-01-01"]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert filters and not [line for line in filters if "translate" in line or "cast" in line]
+
+
+def test_equal_eras_are_not_multiplied(spark):
+    """Many equal facts give one era, so no row for each of them is made on the way."""
+    rows = spark.range(50).select(
+        F.lit(1).cast("long").alias("person_id"),
+        F.lit(1).cast("long").alias("drug_concept_id"),
+        F.lit("2020-06-01").cast("date").alias("drug_exposure_start_date"),
+        F.lit("2020-01-01").cast("date").alias("drug_exposure_end_date"),
+    )
+    eras = intervals.drug_eras(rows, window=3)
+    assert "sequence(" not in eras._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.drug_era_end_date.isoformat() for r in eras.collect()] == ["2020-01-01"]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom import schema, session
+from cohortloom.checks.inputs import Inputs
 from cohortloom.plans.runs import load_table, spec_for
 from cohortloom.sources import extracts, tables
 from cohortloom.streaming.follow import follow_extracts
@@ -246,3 +247,33 @@ def test_parts_are_joined_while_the_next_table_is_written(spark, tmp_path, monke
     lines = [(tmp_path / p.split("/")[-1]).read_text().splitlines() for p in paths]
     assert [(found[0], sorted(found[1:])) for found in lines] == [("id", ["0", "1", "2"]), ("id", ["0", "1"]), ("id", [])]
     assert not list(tmp_path.glob("*.parts"))
+
+
+def test_scratches_may_be_nested(spark):
+    with session.scratch(spark):
+        with session.scratch(spark):
+            pass
+        kept = session.staged(spark.range(3))
+        assert kept.count() == 3
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert not session.exists(spark, path)
+
+
+def test_events_are_joined_once_for_all_extracts(spark, tmp_path):
+    for name, text in {
+        "orders": """SELECT CAST(k AS BIGINT) AS o_orderkey, CAST(k % 3 AS BIGINT) AS o_custkey,
+            TIMESTAMP_NTZ '1995-01-01 00:00:00' AS o_orderdate FROM VALUES (1), (2), (3), (NULL) AS t(k)""",
+        "lineitem": """SELECT CAST(k AS BIGINT) AS l_orderkey, CAST(q AS BIGINT) AS l_partkey, 1 AS l_linenumber,
+            CAST(q AS DOUBLE) AS l_quantity, 'A' AS l_returnflag, IF(q = 5, NULL, 'F') AS l_linestatus,
+            TIMESTAMP_NTZ '1995-02-01 00:00:00' AS l_shipdate
+            FROM VALUES (1, 7), (1, 9), (1, 9), (2, 11), (2, 5), (NULL, 3), (9, 1) AS t(k, q)""",
+    }.items():
+        spark.sql(text).write.parquet(str(tmp_path / f"{name}.parquet"))
+    x = Inputs(spark, str(tmp_path))
+    names = ["conditions", "procedures", "medications", "immunizations"]
+    for name, rows in x.together(names).items():
+        assert rows.dtypes == x[name].dtypes
+        assert sorted(map(str, rows.collect())) == sorted(map(str, x[name].collect()))
+        assert len(rows.collect()) == 5
+        assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in x.together(["conditions"])["conditions"]._jdf.queryExecution().optimizedPlan().toString()
