@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom import schema
+from cohortloom.checks import table_checks
 from cohortloom.functions.keys import pseudonym, surrogate_id
 from cohortloom.plans.runs import SPECS, TableSpec, load_table, new_rows, read_extracts, run_load, spec_for
 from cohortloom.plans.settings import Settings
@@ -435,3 +436,20 @@ def test_foreign_keys_do_not_stop_a_load(spark, settings, extracts, loaded, tmp_
     blank = extracts["conditions"].withColumn("patient", F.when(F.col("code") == "22", "").otherwise(F.col("patient")))
     found = new_rows(spec_for("condition_occurrence"), blank, store, settings).collect()
     assert len(found) == 1 and found[0].person_id < 10**9 and found[0].person_id not in range(900, 904)
+
+
+def test_stored_rows_are_counted_in_their_buckets(spark, tmp_path):
+    """Every row of a stored table as text takes no exchange of these rows."""
+    store = ParquetStore(spark, str(tmp_path), buckets=3).create(["death", "drug_era"])
+    text = "person_id long, death_date date, cause_source_value string"
+    dead = spark.createDataFrame([(1, None, "a"), (1, None, "a"), (1, None, "b\x1f1"), (None, None, "a")], text)
+    empty = schema.empty_table(spark, "death")
+    store.append("death", empty.unionByName(dead, allowMissingColumns=True))
+    eras = spark.createDataFrame([(5, 1, 2, None, None), (5, 1, 2, None, None), (6, 1, 2, None, None)], schema.table_schema("drug_era"))
+    store.append("drug_era", eras)
+    found = table_checks._as_text({t: store.read(t) for t in ("death", "drug_era")})
+    assert sorted((r.table_name, r.times) for r in found.collect()) == [
+        ("death", 1), ("death", 1), ("death", 2), ("drug_era", 1), ("drug_era", 2),
+    ]
+    assert len({r.stored for r in found.collect()}) == 5
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
